@@ -133,11 +133,12 @@ def running_totals(
     )
 
 
-def value_blocks(df: DataFrame, column: str, n_blocks: int = 256) -> Column:
-    """A block number that rises with ``column`` and cuts the rows into about equal parts.
+def with_value_blocks(df: DataFrame, column: str, n_blocks: int = 256) -> DataFrame:
+    """Add ``block``, which rises with ``column`` and cuts the rows into about equal parts.
 
-    The cuts are approximate quantiles, one fixed-size array used as a scalar subquery.
+    The cuts are approximate quantiles: one array of fixed size from a scalar subquery.
     """
     points = [i / n_blocks for i in range(1, n_blocks)]
     cuts = df.agg(F.percentile_approx(column, points, 10 * n_blocks)).scalar()
-    return F.size(F.filter(cuts, lambda cut: cut < F.col(column)))
+    below = F.filter("_cuts", lambda cut: cut < F.col(column))
+    return df.withColumn("_cuts", cuts).withColumn("block", F.size(below)).drop("_cuts")

@@ -65,6 +65,9 @@ def _by_frames(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
     )
 
 
+SIDES = ("head", "tail")
+
+
 def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
     """The same columns without a frame that is summed again for every row.
 
@@ -75,17 +78,15 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
     before. A task never holds more than the 2W rows of one block and its markers.
     """
     columns = sorted({s.column for s in specs})
-    numeric = {s.column for s in specs if s.function != "count"}
+    summed = sorted({s.column for s in specs if s.function == "avg"})
+    spread = sorted({s.column for s in specs if s.function == "stddev"})
     lengths = sorted({s.seconds for s in specs})
 
     per_second = df.groupBy(key, ts).agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.avg(c).alias(f"mean_{c}") for c in columns if c in numeric],
-        *[
-            F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)).alias(f"m2_{c}")
-            for c in columns
-            if c in numeric
-        ],
+        *[F.sum(c).alias(f"sum_{c}") for c in summed],
+        *[F.avg(c).alias(f"mean_{c}") for c in spread],
+        *[F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)).alias(f"m2_{c}") for c in spread],
     )
     places = [
         F.struct(
@@ -97,35 +98,35 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
         for w in lengths
         for own in (True, False)
     ]
+    # Rows without a time are each other's frame and leave no marker.
     placed = per_second.select("*", F.inline(F.array(*places))).where(
         F.col("own") | F.col(ts).isNotNull()
     )
 
+    def own(column: str) -> Column:
+        return F.when(F.col("own"), F.coalesce(column, F.lit(0))).otherwise(0)
+
     block = Window.partitionBy(key, "length", "block")
-    own_n = {c: F.when(F.col("own"), F.col(f"n_{c}")).otherwise(0) for c in columns}
-    # Values enter the sums as distances from the mean of their block, against cancellation.
+    # Deviations are taken from the mean of the block, against cancellation.
     centred = placed.select(
         "*",
         *[
             F.coalesce(
                 F.try_divide(
-                    F.sum(own_n[c] * F.col(f"mean_{c}")).over(block), F.sum(own_n[c]).over(block)
+                    F.sum(own(f"n_{c}") * F.col(f"mean_{c}")).over(block),
+                    F.sum(own(f"n_{c}")).over(block),
                 ),
                 F.lit(0.0),
             ).alias(f"centre_{c}")
-            for c in columns
-            if c in numeric
+            for c in spread
         ],
     )
-    terms: dict[str, Column] = {}
-    for c in columns:
-        terms[f"sn_{c}"] = own_n[c]
-        if c in numeric:
-            shift = F.coalesce(F.col(f"mean_{c}") - F.col(f"centre_{c}"), F.lit(0.0))
-            terms[f"s1_{c}"] = own_n[c] * shift
-            terms[f"s2_{c}"] = F.when(F.col("own"), F.col(f"m2_{c}")).otherwise(0.0) + (
-                own_n[c] * shift * shift
-            )
+    terms = {f"n_{c}": own(f"n_{c}") for c in columns}
+    terms |= {f"sum_{c}": own(f"sum_{c}") for c in summed}
+    for c in spread:
+        shift = F.coalesce(F.col(f"mean_{c}") - F.col(f"centre_{c}"), F.lit(0.0))
+        terms[f"s1_{c}"] = own(f"n_{c}") * shift
+        terms[f"s2_{c}"] = own(f"m2_{c}") + own(f"n_{c}") * shift * shift
     start, now = Window.unboundedPreceding, Window.currentRow
     forwards = block.orderBy(F.asc("offset")).rangeBetween(start, now)
     backwards = block.orderBy(F.desc("offset")).rangeBetween(start, now)
@@ -134,45 +135,48 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
         ts,
         "length",
         "own",
-        *[f"centre_{c}" for c in columns if c in numeric],
+        *[F.col(f"centre_{c}").alias(f"{side}_centre_{c}") for c in spread for side in SIDES],
         *[F.sum(term).over(forwards).alias(f"head_{name}") for name, term in terms.items()],
         *[F.sum(term).over(backwards).alias(f"tail_{name}") for name, term in terms.items()],
     )
-    wanted = sorted({(s.column, s.seconds) for s in specs})
-
-    def side(name: str, column: str, length: int, own: bool) -> Column:
-        return F.max(F.when((F.col("length") == length) & (F.col("own") == own), F.col(name)))
 
+    statistics = {"count": ("n",), "avg": ("n", "sum"), "stddev": ("n", "s1", "s2", "centre")}
+    wanted = sorted(
+        {(f"{x}_{s.column}", s.seconds) for s in specs for x in statistics[s.function]}
+    )
     gathered = sides.groupBy(key, ts).agg(
         *[
-            side(f"{part}_{stat}_{c}", c, w, own).alias(f"{part}_{stat}_{c}_{w}")
-            for c, w in wanted
-            for part, own in (("head", True), ("tail", False))
-            for stat in (("sn", "s1", "s2") if c in numeric else ("sn",))
-        ],
-        *[
-            side(f"centre_{c}", c, w, own).alias(f"{part}_centre_{c}_{w}")
-            for c, w in wanted
-            if c in numeric
-            for part, own in (("head", True), ("tail", False))
-        ],
+            F.max(
+                F.when(
+                    (F.col("length") == w) & (F.col("own") == (side == "head")),
+                    F.col(f"{side}_{name}"),
+                )
+            ).alias(f"{side}_{name}_{w}")
+            for name, w in wanted
+            for side in SIDES
+        ]
     )
 
-    def count_of(part: str, c: str, w: int) -> Column:
-        return F.coalesce(F.col(f"{part}_sn_{c}_{w}"), F.lit(0))
+    def both(name: str, w: int) -> Column:
+        head, tail = (F.coalesce(f"{side}_{name}_{w}", F.lit(0)) for side in SIDES)
+        return head + tail
 
-    def moments(part: str, c: str, w: int) -> Moments:
-        n = count_of(part, c, w)
-        s1, s2 = F.col(f"{part}_s1_{c}_{w}"), F.col(f"{part}_s2_{c}_{w}")
-        mean = F.when(n > 0, F.col(f"{part}_centre_{c}_{w}") + s1 / n)
+    def moments(side: str, c: str, w: int) -> Moments:
+        n, s1, s2, centre = (
+            F.coalesce(f"{side}_{x}_{c}_{w}", F.lit(0)) for x in ("n", "s1", "s2", "centre")
+        )
+        mean = F.when(n > 0, centre + s1 / n)
         m2 = F.when(n > 0, F.greatest(s2 - s1 * s1 / n, F.lit(0.0))).otherwise(0.0)
         return Moments(n, mean, m2)
 
     def result(s: Trailing) -> Column:
+        n = both(f"n_{s.column}", s.seconds)
         if s.function == "count":
-            return count_of("head", s.column, s.seconds) + count_of("tail", s.column, s.seconds)
-        both = moments("head", s.column, s.seconds).merge(moments("tail", s.column, s.seconds))
-        return both.mean if s.function == "avg" else both.stddev()
+            return n
+        if s.function == "avg":
+            return F.when(n > 0, both(f"sum_{s.column}", s.seconds) / n)
+        head, tail = (moments(side, s.column, s.seconds) for side in SIDES)
+        return head.merge(tail).stddev()
 
     frames = gathered.select(key, ts, *[result(s).alias(s.alias) for s in specs])
     return equal_on(df, frames, [key, ts])
