@@ -573,3 +573,77 @@ SELECT feature, round(f_score, 4) AS f_score
 FROM f WHERE feature IN (SELECT feature FROM v WHERE variance > 0.01)
 ORDER BY f_score DESC LIMIT 8""",
 }
+
+LEARNED: dict[str, str] = {}
+_AREAS = """
+, plain AS (
+  SELECT 0 AS seq, 'v17' AS name, round(-V17, 4) AS s, is_fraud FROM tx
+  UNION ALL SELECT 1, 'v14', round(-V14, 4), is_fraud FROM tx
+  UNION ALL SELECT 2, 'both', round(-(V14 + V17), 4), is_fraud FROM tx
+), bins AS (
+  SELECT seq, name, s, count(*) FILTER (is_fraud = 1) AS pos,
+         count(*) FILTER (is_fraud = 0) AS neg
+  FROM plain GROUP BY ALL
+), cum AS (
+  SELECT *, sum(pos) OVER (PARTITION BY seq ORDER BY s DESC) AS cp FROM bins
+), areas AS (
+  SELECT seq, name,
+         sum(neg * (cp - pos / 2.0::DOUBLE)) / (sum(pos)::DOUBLE * sum(neg)) AS auc_roc
+  FROM cum GROUP BY ALL
+)"""
+LEARNED["best_model"] = (
+    TX
+    + _AREAS
+    + """
+SELECT name AS run_name, round(auc_roc, 6) AS auc_roc
+FROM areas ORDER BY areas.auc_roc DESC, seq LIMIT 1"""
+)
+LEARNED["latest_run"] = (
+    TX + _AREAS + "\nSELECT 'run-' || arg_max(name, seq) AS run_id FROM areas"
+)
+
+_WINDOW_STATS = (
+    TX
+    + """
+, slid AS (
+  SELECT client_id, transaction_id, ("timestamp" // 600 - i) * 600 AS window_start
+  FROM tx, range(6) r(i)
+), weeks AS (
+  SELECT client_id, ("timestamp" // 604800) * 604800 AS window_start, merchant_id FROM tx
+), months AS (
+  SELECT client_id, ("timestamp" // 2592000) * 2592000 AS window_start, hour FROM tx
+)"""
+)
+STREAMS: dict[str, str] = {
+    "stream_velocity": _WINDOW_STATS
+    + """
+SELECT client_id, window_start, window_start + 3600 AS window_end,
+       count(transaction_id) AS velocity
+FROM slid GROUP BY ALL""",
+    "stream_trailing_velocity": BATCH["velocity_1h"],
+    "stream_distinct_merchants": _WINDOW_STATS
+    + """
+SELECT client_id, window_start, window_start + 604800 AS window_end,
+       count(DISTINCT merchant_id) AS distinct_merchants
+FROM weeks
+WHERE window_start + 604800 <= (SELECT max(epoch(ts)) - 600 FROM events)
+GROUP BY ALL""",
+    "stream_night_ratio": _WINDOW_STATS
+    + f"""
+SELECT client_id, window_start, window_start + 2592000 AS window_end,
+       {_r('avg(CASE WHEN hour < 5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)')} AS night_tx_ratio
+FROM months GROUP BY ALL""",
+    "stream_running_zscore": BATCH["zscore_running"],
+    "stream_reuse": _REUSE.format(key="user_id, event_type")
+    + """
+SELECT s.user_id, s.event_type AS merchant_category, s.id AS transaction_id, s.t AS "timestamp"
+FROM seen s JOIN kept USING (user_id, event_type, t)""",
+    "stream_scoring": BATCH["score_batch"],
+    "stream_stats": BATCH["prediction_stats"],
+    "stream_feature_upsert": TX
+    + """
+SELECT client_id, max("timestamp") AS updated_at,
+       arg_max(amount, "timestamp" * 1000000000 + transaction_id) AS last_amount,
+       count(*) AS n_seen
+FROM tx GROUP BY client_id""",
+}
