@@ -33,6 +33,14 @@ def validate(df: DataFrame) -> DataFrame:
     return df.withColumn("violations", F.array_compact(F.array(*names)))
 
 
+def is_valid(columns: Sequence[str]) -> Column:
+    """True where no rule is broken: a plain condition, without building the list of names."""
+    broken = F.lit(False)
+    for condition in rules(columns).values():
+        broken = broken | condition
+    return ~broken
+
+
 def accepted(validated: DataFrame) -> DataFrame:
     return validated.where(F.size("violations") == 0).drop("violations")
 

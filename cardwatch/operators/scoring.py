@@ -68,7 +68,7 @@ def score_batch(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Decisions for the valid requests; ``quality.rejected`` gives the others."""
-    valid = quality.accepted(quality.validate(requests))
+    valid = requests.where(quality.is_valid(requests.columns))
     resolved = quality.resolve_features(quality.apply_defaults(valid))
     scored = model(feature_frame(resolved, features))
     return decide(scored, threshold, model_version).select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,48 +32,62 @@ def variance_filter(
     )
 
 
-def anova_f(
-    df: DataFrame, features: Sequence[str] | None = None, label: str = "is_fraud"
-) -> DataFrame:
-    """F statistic of each feature between the classes. One aggregate over the table."""
-    features = features or numeric_features(df)
-    per_class = (
-        df.where(F.col(label).isNotNull())
-        .groupBy(label)
-        .agg(
-            *[
-                F.struct(
-                    F.count(c).alias("n"),
-                    F.avg(c).alias("mean"),
-                    F.coalesce(F.var_samp(c), F.lit(0.0)).alias("var"),
-                ).alias(c)
-                for c in features
-            ]
-        )
+def _class_moments(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Count, mean and variance per feature and class: one aggregate over the table."""
+    per_class = df.groupBy(label).agg(
+        *[
+            F.struct(
+                F.count(c).alias("n"),
+                F.avg(c).alias("mean"),
+                F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)).alias("m2"),
+            ).alias(c)
+            for c in features
+        ]
     )
     lines = [
         F.struct(
             F.lit(c).alias("feature"),
-            F.col(c)["n"].alias("n"),
-            F.col(c)["mean"].alias("mean"),
-            F.col(c)["var"].alias("var"),
+            *[F.col(c)[part].alias(part) for part in ("n", "mean", "m2")],
         )
         for c in features
     ]
-    rows = per_class.select(F.inline(F.array(*lines))).where("n > 0")
-    whole = Window.partitionBy("feature")
-    grand = F.sum(F.col("n") * F.col("mean")).over(whole) / F.sum("n").over(whole)
+    labelled = F.col(label).isNotNull().alias("labelled")
+    return per_class.select(labelled, F.inline(F.array(*lines))).where("n > 0")
+
+
+def feature_scores(
+    df: DataFrame, features: Sequence[str] | None = None, label: str = "is_fraud"
+) -> DataFrame:
+    """Population variance and ANOVA F of each feature between the classes.
+
+    Both follow from the moments per class, so the table is read once for all features. Rows
+    without a label count for the variance only.
+    """
+    moments = _class_moments(df, features or numeric_features(df), label)
+    whole, known = Window.partitionBy("feature"), Window.partitionBy("feature", "labelled")
+
+    def away(window: Window) -> Column:
+        centre = F.sum(F.col("n") * F.col("mean")).over(window) / F.sum("n").over(window)
+        return F.col("n") * F.pow(F.col("mean") - centre, F.lit(2))
+
+    spread = moments.select("*", away(whole).alias("around_all"), away(known).alias("around"))
+    of_classes = F.col("labelled")
+
+    def labelled_sum(column: str) -> Column:
+        return F.sum(F.when(of_classes, F.col(column)))
+
     return (
-        rows.withColumn("away", F.col("mean") - grand)
-        .groupBy("feature")
+        spread.groupBy("feature")
         .agg(
-            F.count(F.lit(1)).alias("classes"),
-            F.sum("n").alias("n"),
-            F.sum(F.col("n") * F.col("away") * F.col("away")).alias("between"),
-            F.sum((F.col("n") - 1) * F.col("var")).alias("within"),
+            (F.sum(F.col("m2") + F.col("around_all")) / F.sum("n")).alias("variance"),
+            F.count_if(of_classes).alias("classes"),
+            labelled_sum("n").alias("n"),
+            labelled_sum("around").alias("between"),
+            labelled_sum("m2").alias("within"),
         )
         .select(
             "feature",
+            "variance",
             F.try_divide(
                 F.try_divide("between", F.col("classes") - 1),
                 F.try_divide("within", F.col("n") - F.col("classes")),
@@ -90,11 +104,9 @@ def anova_topk(
     threshold: float = 0.01,
 ) -> DataFrame:
     """The k features of highest F among those that pass the variance filter."""
-    features = features or numeric_features(df)
-    kept = variance_filter(df, features, threshold).where("kept").select("feature")
-    # One row per feature on both sides.
-    scored = anova_f(df, features, label).join(kept, "feature", "left_semi")
-    return scored.orderBy(F.desc_nulls_last("f_score"), "feature").limit(k)
+    kept = feature_scores(df, features, label).where(F.col("variance") > threshold)
+    best = kept.orderBy(F.desc_nulls_last("f_score"), "feature").limit(k)
+    return best.select("feature", "f_score")
 
 
 def select_top_features(

@@ -24,7 +24,11 @@ from cardwatch.operators.skew import (
 
 @dataclass(frozen=True)
 class Trailing:
-    """One output column: ``function`` (count, avg or stddev) of ``column`` over the frame."""
+    """One output column: ``function`` of ``column`` over the frame.
+
+    ``count``, ``avg`` and ``stddev`` as in SQL; ``share`` is the part of true values among the
+    non-null ones of a boolean column.
+    """
 
     alias: str
     function: str
@@ -53,16 +57,31 @@ def _frame(key: str, ts: str, seconds: int) -> Window:
     return Window.partitionBy(key).orderBy(ts).rangeBetween(-seconds, 0)
 
 
+def _counted(key: str, ts: str, seconds: int, column: Column) -> Column:
+    """Non-null values in the frame, as the difference of two counts that only grow.
+
+    A sliding frame is summed again for every row; a growing one takes each row once.
+    """
+    order = Window.partitionBy(key).orderBy(ts)
+    up_to_now = F.count(column).over(order.rangeBetween(Window.unboundedPreceding, 0))
+    too_old = F.count(column).over(order.rangeBetween(Window.unboundedPreceding, -seconds - 1))
+    return up_to_now - F.when(F.col(ts).isNull(), 0).otherwise(too_old)
+
+
 def _by_frames(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
-    functions = {"count": F.count, "avg": F.avg, "stddev": F.stddev}
+    def result(s: Trailing) -> Column:
+        if s.function == "avg":
+            return F.avg(s.column).over(_frame(key, ts, s.seconds))
+        if s.function == "stddev":
+            return F.stddev(s.column).over(_frame(key, ts, s.seconds))
+        known = _counted(key, ts, s.seconds, F.col(s.column))
+        if s.function == "count":
+            return known
+        true = _counted(key, ts, s.seconds, F.when(F.col(s.column), 1))
+        return F.try_divide(true.cast("double"), known)
+
     # One select, so that all frames share one exchange, one sort and one window node.
-    return df.select(
-        "*",
-        *[
-            functions[s.function](s.column).over(_frame(key, ts, s.seconds)).alias(s.alias)
-            for s in specs
-        ],
-    )
+    return df.select("*", *[result(s).alias(s.alias) for s in specs])
 
 
 SIDES = ("head", "tail")
@@ -78,13 +97,14 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
     before. A task never holds more than the 2W rows of one block and its markers.
     """
     columns = sorted({s.column for s in specs})
-    summed = sorted({s.column for s in specs if s.function == "avg"})
+    summed = {s.column: "double" for s in specs if s.function == "avg"}
+    summed |= {s.column: "int" for s in specs if s.function == "share"}
     spread = sorted({s.column for s in specs if s.function == "stddev"})
     lengths = sorted({s.seconds for s in specs})
 
     per_second = df.groupBy(key, ts).agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.sum(c).alias(f"sum_{c}") for c in summed],
+        *[F.sum(F.col(c).cast(kind)).alias(f"sum_{c}") for c, kind in summed.items()],
         *[F.avg(c).alias(f"mean_{c}") for c in spread],
         *[F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)).alias(f"m2_{c}") for c in spread],
     )
@@ -140,7 +160,12 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
         *[F.sum(term).over(backwards).alias(f"tail_{name}") for name, term in terms.items()],
     )
 
-    statistics = {"count": ("n",), "avg": ("n", "sum"), "stddev": ("n", "s1", "s2", "centre")}
+    statistics = {
+        "count": ("n",),
+        "share": ("n", "sum"),
+        "avg": ("n", "sum"),
+        "stddev": ("n", "s1", "s2", "centre"),
+    }
     wanted = sorted(
         {(f"{x}_{s.column}", s.seconds) for s in specs for x in statistics[s.function]}
     )
@@ -173,7 +198,7 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
         n = both(f"n_{s.column}", s.seconds)
         if s.function == "count":
             return n
-        if s.function == "avg":
+        if s.function in ("avg", "share"):
             return F.when(n > 0, both(f"sum_{s.column}", s.seconds) / n)
         head, tail = (moments(side, s.column, s.seconds) for side in SIDES)
         return head.merge(tail).stddev()
@@ -189,17 +214,17 @@ def trailing_distinct(
     ts: str = "timestamp",
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Add, per ``(alias, column, seconds)``, the number of distinct values in the frame."""
+    """Add, per ``(alias, column, seconds)``, the number of distinct values in the frame.
+
+    An occurrence of a value covers the seconds from its own up to the value's next occurrence
+    or the end of its frame, whichever is first. Spans of one value do not overlap, so the
+    number of open spans at t is the number of distinct values in the frame of t. Rows need a
+    time.
+    """
     hot = hot or find_hot_keys(df, key)
 
     def usual(rows: DataFrame) -> DataFrame:
-        return rows.select(
-            "*",
-            *[
-                F.size(F.collect_set(c).over(_frame(key, ts, seconds))).cast("long").alias(alias)
-                for alias, c, seconds in specs
-            ],
-        )
+        return _distinct_by_markers(rows, specs, key, ts)
 
     def blocked(rows: DataFrame) -> DataFrame:
         for alias, c, seconds in specs:
@@ -210,18 +235,63 @@ def trailing_distinct(
     return by_heat(df, hot, usual, blocked)
 
 
+def _distinct_by_markers(
+    df: DataFrame, specs: Sequence[tuple[str, str, int]], key: str, ts: str
+) -> DataFrame:
+    """Spans per key in one exchange: each row opens its spans, a marker row closes each."""
+    columns = list(dict.fromkeys(c for _, c, _ in specs))
+    # Rows of a key are together, which also serves the windows by key and value.
+    placed = df.repartition(F.col(key)).select(
+        F.struct(*df.columns).alias("_row"),
+        key,
+        ts,
+        *[
+            F.lead(ts).over(Window.partitionBy(key, c).orderBy(ts)).alias(f"_next_{c}")
+            for c in columns
+        ],
+        *[F.col(c).isNotNull().alias(f"_known_{c}") for c in columns],
+    )
+
+    def change(at: Column, row: Column, steps: dict[int, Column]) -> Column:
+        return F.struct(
+            row.alias("_row"),
+            at.alias("_at"),
+            *[steps.get(i, F.lit(0)).alias(f"_step_{i}") for i in range(len(specs))],
+        )
+
+    known = [F.col(f"_known_{c}").cast("int") for _, c, _ in specs]
+    no_row = F.lit(None).cast(placed.schema["_row"].dataType)
+    closing = [
+        F.least(F.col(ts) + seconds + 1, F.col(f"_next_{c}")) for _, c, seconds in specs
+    ]
+    changes = placed.select(
+        key,
+        F.inline(
+            F.array(
+                change(F.col(ts), F.col("_row"), dict(enumerate(known))),
+                *[change(closing[i], no_row, {i: -known[i]}) for i in range(len(specs))],
+            )
+        ),
+    )
+    so_far = (
+        Window.partitionBy(key)
+        .orderBy("_at")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    counted = changes.select(
+        "_row",
+        *[F.sum(f"_step_{i}").over(so_far).alias(s[0]) for i, s in enumerate(specs)],
+    )
+    return counted.where(F.col("_row").isNotNull()).select("_row.*", *[s[0] for s in specs])
+
+
 DAY = 86_400
 
 
 def _distinct_by_spans(
     df: DataFrame, alias: str, column: str, seconds: int, key: str, ts: str
 ) -> DataFrame:
-    """Distinct values per key and second, from the time spans in which each value is present.
-
-    An occurrence of a value covers the seconds from its own up to the value's next occurrence
-    or the end of its frame, whichever is first. Spans of one value do not overlap, so the
-    number of open spans at t is the number of distinct values in the frame of t.
-    """
+    """Distinct values per key and second; spans are found per value, then counted by day."""
     day = F.floor(F.col(ts) / DAY)
     seen = df.select(key, column, ts).distinct().withColumn("day", day)
     in_day = Window.partitionBy(key, column, "day").orderBy(ts)

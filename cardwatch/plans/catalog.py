@@ -136,21 +136,21 @@ def project_core(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def positive_amount_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir)
+    tx = transactions(spark, sf_dir, labelled=False)
     return tx.where(F.col("amount") > 0).agg(F.count(F.lit(1)).alias("n"))
 
 
 def iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = quality.outlier_report(transactions(spark, sf_dir))
+    report = quality.outlier_report(transactions(spark, sf_dir, labelled=False))
     return _rounded(report, "q1", "q3", "lower_bound", "upper_bound", "outlier_pct")
 
 
 def amount_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(quality.quartiles(transactions(spark, sf_dir)), "q1", "q3")
+    return _rounded(quality.quartiles(transactions(spark, sf_dir, labelled=False)), "q1", "q3")
 
 
 def amount_quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quartiles(transactions(spark, sf_dir), exact=False)
+    return quality.quartiles(transactions(spark, sf_dir, labelled=False), exact=False)
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,14 +216,14 @@ def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _merchant_join(hint: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         merchants = joins.merchant_table(spark, derived.MERCHANT_ROWS)
-        tx = transactions(spark, sf_dir).select("transaction_id", "merchant_category", "amount")
+        tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "merchant_category", "amount")
         return joins.enrich_merchants(tx, merchants, hint)
 
     return query
 
 
 def feature_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir)
+    tx = transactions(spark, sf_dir, labelled=False)
     found = joins.asof_lookup(
         tx.select("transaction_id", "client_id", "timestamp"), derived.feature_snapshots(tx)
     )
@@ -298,14 +298,14 @@ def class_weight_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _velocity(spec: trailing.Trailing) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tx = transactions(spark, sf_dir).select("transaction_id", "client_id", "timestamp")
+        tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp")
         return gold.velocity(tx, spec)
 
     return query
 
 
 def avg_amount_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir).select("transaction_id", "client_id", "timestamp", "amount")
+    tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp", "amount")
     return _rounded(
         trailing.trailing(tx, [gold.AVG_AMOUNT_7D]).select("transaction_id", "avg_amount_7d_calc"),
         "avg_amount_7d_calc",
@@ -313,7 +313,7 @@ def avg_amount_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zscore_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir).select("transaction_id", "client_id", "timestamp", "amount")
+    tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp", "amount")
     return _rounded(
         gold.amount_zscore(tx).select("transaction_id", "zscore_amount_calc"),
         "zscore_amount_calc",
@@ -359,7 +359,7 @@ def gold_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(
-        gold.night_ratio(transactions(spark, sf_dir)).select("transaction_id", "night_tx_ratio"),
+        gold.night_ratio(transactions(spark, sf_dir, labelled=False)).select("transaction_id", "night_tx_ratio"),
         "night_tx_ratio",
     )
 
@@ -383,7 +383,7 @@ def _distinct(hot: skew.HotKeys | None) -> Query:
 
 def _running(hot: skew.HotKeys | None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tx = transactions(spark, sf_dir).select(
+        tx = transactions(spark, sf_dir, labelled=False).select(
             "transaction_id", "client_id", "timestamp", "amount"
         )
         scored = trailing.running_zscore(tx, hot=hot)
@@ -393,7 +393,7 @@ def _running(hot: skew.HotKeys | None) -> Query:
 
 
 def trailing_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tx = transactions(spark, sf_dir).select("transaction_id", "client_id", "timestamp", "amount")
+    tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp", "amount")
     return _rounded(
         trailing.trailing(tx, [gold.TX_COUNT_7D, gold.AVG_AMOUNT_30D]).select(
             "transaction_id", "tx_count_7d", "avg_amount_30d"
@@ -404,7 +404,7 @@ def trailing_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ttl_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events that are not repeats, within an hour, of the same user and type."""
-    events = as_transactions(read_table(spark, sf_dir, "events")).select(
+    events = as_transactions(read_table(spark, sf_dir, "events"), labelled=False).select(
         "transaction_id", "user_id", "merchant_category", "timestamp"
     )
     return reuse.ttl_dedup(events, ["user_id", "merchant_category"])

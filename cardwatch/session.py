@@ -16,6 +16,8 @@ def local_session(cpus: int | str = "*", app: str = "cardwatch", **conf: str) ->
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # Small local tables: keep all cores busy where a stage computes more than it reads.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CARDWATCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")

@@ -47,6 +47,6 @@ def tumbling_night_ratio(tx: DataFrame, length: str = "30 days") -> DataFrame:
     """Share of night transactions per client and tumbling window."""
     return (
         tx.groupBy("client_id", F.window("at", length))
-        .agg(F.avg(is_night(F.col("hour"))).alias("night_tx_ratio"))
+        .agg(F.avg(is_night(F.col("hour")).cast("double")).alias("night_tx_ratio"))
         .select("client_id", *_bounds(), "night_tx_ratio")
     )
