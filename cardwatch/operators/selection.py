@@ -33,26 +33,24 @@ def variance_filter(
 
 
 def _class_moments(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Count, mean and variance per feature and class: one aggregate over the table."""
-    per_class = df.groupBy(label).agg(
-        *[
-            F.struct(
-                F.count(c).alias("n"),
-                F.avg(c).alias("mean"),
-                F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)).alias("m2"),
-            ).alias(c)
-            for c in features
-        ]
-    )
-    lines = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            *[F.col(c)[part].alias(part) for part in ("n", "mean", "m2")],
+    """Count, mean and squared deviations per feature and class: one aggregate over the table.
+
+    Features become rows of one double column, which are combined before they are shuffled.
+    """
+    values = df.select(label, *[F.col(c).cast("double").alias(c) for c in features])
+    return (
+        values.unpivot(label, list(features), "feature", "value")
+        .groupBy(label, "feature")
+        .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("v"))
+        .where("n > 0")
+        .select(
+            "feature",
+            F.col(label).isNotNull().alias("labelled"),
+            "n",
+            "mean",
+            (F.col("v") * F.col("n")).alias("m2"),
         )
-        for c in features
-    ]
-    labelled = F.col(label).isNotNull().alias("labelled")
-    return per_class.select(labelled, F.inline(F.array(*lines))).where("n > 0")
+    )
 
 
 def feature_scores(

@@ -336,10 +336,14 @@ def running_zscore(
     ts: str = "timestamp",
     tie: str = "transaction_id",
     alias: str = "zscore_running",
-    block_seconds: int = 3600,
+    block_seconds: int = 60,
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Add the z-score of ``column`` against all rows of the key so far, in (ts, tie) order."""
+    """Add the z-score of ``column`` against all rows of the key so far, in (ts, tie) order.
+
+    Rows of a hot key are scanned per block of ``block_seconds`` and continued from the
+    moments of the blocks before.
+    """
     hot = hot or find_hot_keys(df, key)
     so_far = (Window.unboundedPreceding, Window.currentRow)
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch import schemas
-from cardwatch.ml import registry, training
+from cardwatch.ml import isolation, registry, training
 from cardwatch.operators import evaluation, gold, scoring
 from cardwatch.plans.catalog import MODEL_VERSION, Query, _requests, _rounded
 from cardwatch.session import scratch_path
@@ -65,6 +65,20 @@ def score_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def combined_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction with its anomaly score, classifier probability and their mean."""
+    table = _gold(spark, sf_dir).na.fill(0, subset=schemas.MODEL_FEATURES)
+    forest = isolation.fit_isolation_forest(table, schemas.MODEL_FEATURES)
+    model = scoring.fitted_model(_linear(spark, sf_dir).models["LR"])
+    return (
+        model(table)
+        .select("transaction_id", "probability", forest.score().alias("anomaly_score"))
+        .withColumn(
+            "combined", isolation.combined_score(F.col("anomaly_score"), F.col("probability"))
+        )
+    )
+
+
 def plain_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run table whose models are plain scores: one row per score with its AUC."""
     tx = transactions(spark, sf_dir)
@@ -100,4 +114,5 @@ LEARNED: dict[str, Query] = {
     "feature_importance": feature_importance,
     "promote": promote,
     "score_fitted": score_fitted,
+    "combined_score": combined_score,
 }

@@ -9,17 +9,14 @@ from pyspark.sql import types as T
 PARTITION = "transaction_date"
 
 
-def write_by_date(df: DataFrame, path: str, fmt: str = "parquet", files_per_day: int = 8) -> None:
+def write_by_date(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Overwrite the days that ``df`` holds and leave other days alone.
 
-    Rows are spread over ``files_per_day`` tasks per day, so neither one task writes a
-    whole day nor every task writes a small file into every day.
+    Rows are rebalanced by day: adaptive execution splits a large day over several tasks and
+    merges small ones, so files come out near the advisory size at any volume.
     """
-    piece = F.pmod(F.xxhash64(*[c for c in df.columns if c != PARTITION]), F.lit(files_per_day))
     (
-        df.withColumn("_piece", piece)
-        .repartition(F.col(PARTITION), F.col("_piece"))
-        .drop("_piece")
+        df.hint("rebalance", PARTITION)
         .write.format(fmt)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -30,7 +27,7 @@ def write_by_date(df: DataFrame, path: str, fmt: str = "parquet", files_per_day:
 
 def append_by_date(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Append raw rows, partitioned by date."""
-    df.write.format(fmt).mode("append").partitionBy(PARTITION).save(path)
+    df.hint("rebalance", PARTITION).write.format(fmt).mode("append").partitionBy(PARTITION).save(path)
 
 
 def read_lake(

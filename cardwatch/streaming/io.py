@@ -11,9 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from cardwatch import schemas
 from cardwatch.session import scratch_path
+from cardwatch.sources.lake import PARTITION
 from cardwatch.sources.tables import as_transactions
 
 LATENESS = "10 minutes"
@@ -50,6 +52,41 @@ def transaction_stream(
     return tx.withColumn("at", F.timestamp_seconds("timestamp")).withWatermark("at", lateness)
 
 
+def encode_decisions(decisions: DataFrame) -> DataFrame:
+    """Decisions as message key and JSON value."""
+    return decisions.select(
+        F.col("transaction_id").cast("string").alias("key"),
+        F.to_json(F.struct(*decisions.columns)).alias("value"),
+    )
+
+
+def write_topic(
+    decisions: DataFrame, servers: str, topic: str, checkpoint: str
+) -> StreamingQuery:
+    """Send decisions to a Kafka topic; needs the connector on the class path."""
+    return (
+        encode_decisions(decisions)
+        .writeStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("topic", topic)
+        .option("checkpointLocation", checkpoint)
+        .start()
+    )
+
+
+def append_bronze(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append raw rows of a stream to a date-partitioned table, once for what is there."""
+    return (
+        stream.writeStream.format("parquet")
+        .outputMode("append")
+        .partitionBy(PARTITION)
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def run_append(stream: DataFrame, name: str) -> str:
     """Process what is there in append mode and return the path of the output table."""
     spark = stream.sparkSession

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cardwatch import schemas
-from cardwatch.ml import registry, training
+from cardwatch.ml import isolation, registry, training
 from cardwatch.operators import gold, quality, scoring
 from cardwatch.plans import learned
 from cardwatch.sources import derived
@@ -88,3 +88,27 @@ def test_threshold_is_inclusive(spark):
 
 def test_registered_training_queries_read_the_tables(spark, sf_dir):
     assert learned.plain_runs(spark, sf_dir).count() == len(learned.PLAIN_SCORES)
+
+
+def test_isolation_forest_finds_the_outlier(spark):
+    rows = [(i, (i * 37 % 101) / 101, (i * 53 % 97) / 97) for i in range(2000)]
+    rows.append((2000, 9.0, -9.0))
+    df = spark.createDataFrame(rows, "transaction_id long, a double, b double")
+    forest = isolation.fit_isolation_forest(df, ["a", "b"], trees=50, subsample=64)
+    assert len(forest.trees) == 50
+    scored = df.withColumn("s", forest.score()).orderBy(F.desc("s")).collect()
+    assert scored[0]["transaction_id"] == 2000 and scored[0]["s"] > scored[1]["s"]
+    assert all(0 < r["s"] < 1 for r in scored)
+
+
+def test_isolation_forest_does_not_depend_on_partitioning(spark):
+    df = spark.range(3000).select(
+        F.col("id").alias("transaction_id"), (F.col("id") % 71).alias("a"))
+    one = isolation.fit_isolation_forest(df, ["a"], trees=5)
+    two = isolation.fit_isolation_forest(df.repartition(7), ["a"], trees=5)
+    assert all((x["cut"] == y["cut"]).all() for x, y in zip(one.trees, two.trees, strict=True))
+
+
+def test_paths_of_small_samples():
+    assert isolation._path_length(1) == 0 and isolation._path_length(2) == 1
+    assert isolation._path_length(256) == pytest.approx(10.24, abs=0.01)

@@ -92,6 +92,21 @@ def test_scoring(spark, stream, batch):
     assert same(got, scoring.score_batch(derived.requests(batch), model, 0.5, "v"))
 
 
+def test_bronze_is_partitioned_and_complete(spark, stream, batch, tmp_path):
+    path = str(tmp_path / "bronze")
+    io.append_bronze(stream.drop("at"), path, str(tmp_path / "cp")).awaitTermination()
+    got = spark.read.parquet(path)
+    assert same(got, batch.drop("at").select(*got.columns))
+    assert len(list((tmp_path / "bronze").glob("transaction_date=*"))) == (
+        batch.select("transaction_date").distinct().count())
+
+
+def test_decisions_become_messages(spark):
+    df = spark.createDataFrame([("a", True)], "transaction_id string, is_fraud boolean")
+    row = io.encode_decisions(df).first()
+    assert (row["key"], row["value"]) == ("a", '{"transaction_id":"a","is_fraud":true}')
+
+
 def test_running_stats(spark, stream, batch):
     path = io.run_updates(
         pipeline.running_stats(derived.prediction_log(stream)), "s", mode="complete")
