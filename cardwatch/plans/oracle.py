@@ -244,13 +244,14 @@ SELECT transaction_id,
 FROM tx"""
 )
 
+_RUNNING_SCORE = (
+    "coalesce((amount - avg(amount) OVER w) / (stddev_samp(amount) OVER w + 1e-6::DOUBLE), "
+    "0.0::DOUBLE)"
+)
 _RUNNING = (
     TX
-    + """
-SELECT transaction_id,
-       round(coalesce((amount - avg(amount) OVER w)
-                      / (stddev_samp(amount) OVER w + 1e-6::DOUBLE), 0.0::DOUBLE), 6)
-         AS zscore_running
+    + f"""
+SELECT transaction_id, {_r(_RUNNING_SCORE)} AS zscore_running
 FROM tx
 WINDOW w AS (PARTITION BY client_id ORDER BY "timestamp", transaction_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
