@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +21,20 @@ from cardwatch.operators import (
     skew,
     trailing,
 )
+from cardwatch.plans.common import (
+    DIGITS,
+    LINEAR_INTERCEPT,
+    LINEAR_THRESHOLD,
+    LINEAR_WEIGHTS,
+    MODEL_VERSION,
+    Query,
+    request_table,
+    rounded,
+)
 from cardwatch.session import scratch_path
 from cardwatch.sources import derived, lake, requests
 from cardwatch.sources.tables import as_transactions, read_table, transactions
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-DIGITS = 6
 PROBE_DAY = "2024-01-15"
 FEATURES = [
     "amount",
@@ -45,19 +50,6 @@ FEATURES = [
     "zscore_amount_calc",
     "risk_score",
 ]
-# A linear model over the published inputs, in their order.
-LINEAR_WEIGHTS = dict(
-    zip(schemas.MODEL_FEATURES, [-0.6, -1.5, 0.05, 0.4, -0.002, 0.3, -0.2, 0.1], strict=True)
-)
-LINEAR_INTERCEPT = -1.0
-LINEAR_THRESHOLD = 0.5
-MODEL_VERSION = "p1-fraud-model/1"
-
-
-def _rounded(df: DataFrame, *columns: str, digits: int = DIGITS) -> DataFrame:
-    """Round for comparison; the first rounding takes off what the order of a sum leaves."""
-    return df.withColumns({c: F.round(F.round(c, 10), digits) for c in columns})
-
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions(spark, sf_dir).select(
@@ -74,7 +66,7 @@ def _gold(spark: SparkSession, sf_dir: str, **dims: bool) -> DataFrame:
 
 def scan_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, country=True, pca=True)
-    return _rounded(tx, "V14", "V17", "V4", "V11", "V12").drop("hour", "merchant_id")
+    return rounded(tx, "V14", "V17", "V4", "V11", "V12").drop("hour", "merchant_id")
 
 
 def daily_slice_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +120,7 @@ def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def project_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         transactions(spark, sf_dir).select("transaction_id", "is_fraud", "V14", "V17", "amount"),
         "V14",
         "V17",
@@ -142,23 +134,19 @@ def positive_amount_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     report = quality.outlier_report(transactions(spark, sf_dir, labelled=False))
-    return _rounded(report, "q1", "q3", "lower_bound", "upper_bound", "outlier_pct")
+    return rounded(report, "q1", "q3", "lower_bound", "upper_bound", "outlier_pct")
 
 
 def amount_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(quality.quartiles(transactions(spark, sf_dir, labelled=False)), "q1", "q3")
+    return rounded(quality.quartiles(transactions(spark, sf_dir, labelled=False)), "q1", "q3")
 
 
 def amount_quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quartiles(transactions(spark, sf_dir, labelled=False), exact=False)
 
 
-def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.requests(transactions(spark, sf_dir))
-
-
 def validate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = quality.validate(_requests(spark, sf_dir))
+    checked = quality.validate(request_table(spark, sf_dir))
     return checked.select(
         "transaction_id",
         F.array_join("violations", ",").alias("violations"),
@@ -167,28 +155,28 @@ def validate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejects_by_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.rejects_by_rule(quality.validate(_requests(spark, sf_dir)))
+    return quality.rejects_by_rule(quality.validate(request_table(spark, sf_dir)))
 
 
 def apply_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    filled = quality.apply_defaults(_requests(spark, sf_dir))
-    return _rounded(
+    filled = quality.apply_defaults(request_table(spark, sf_dir))
+    return rounded(
         filled.select("transaction_id", *schemas.REQUEST_DEFAULTS),
         *[c for c in schemas.REQUEST_DEFAULTS if c != "merchant_category"],
     )
 
 
 def resolve_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resolved = quality.resolve_features(quality.apply_defaults(_requests(spark, sf_dir)))
+    resolved = quality.resolve_features(quality.apply_defaults(request_table(spark, sf_dir)))
     names = ["velocity_1h_calc", "zscore_amount_calc", "risk_score", "V4", "V11", "V12"]
-    return _rounded(resolved.select("transaction_id", *names), *names)
+    return rounded(resolved.select("transaction_id", *names), *names)
 
 
 def decode_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests written as JSON text and read back with the declared schema."""
-    bodies = requests.encode_requests(_requests(spark, sf_dir))
+    bodies = requests.encode_requests(request_table(spark, sf_dir))
     parsed = requests.parse_requests(bodies, "body")
-    return _rounded(
+    return rounded(
         parsed.select("transaction_id", "amount", "velocity_1h", "V14", "merchant_category"),
         "V14",
     )
@@ -227,7 +215,7 @@ def feature_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = joins.asof_lookup(
         tx.select("transaction_id", "client_id", "timestamp"), derived.feature_snapshots(tx)
     )
-    return _rounded(found, "avg_amount_day")
+    return rounded(found, "avg_amount_day")
 
 
 def feedback_relabel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,7 +254,7 @@ def top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.null_counts(
-        _requests(spark, sf_dir),
+        request_table(spark, sf_dir),
         ["amount", "V14", "V17", "zscore_amount", "velocity_1h_calc", "merchant_category"],
     )
 
@@ -276,7 +264,7 @@ def gold_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         profiles.class_weights(transactions(spark, sf_dir)),
         "fraud_rate",
         "scale_pos_weight",
@@ -290,7 +278,7 @@ def class_weight_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = profiles.with_class_weight(
         profiles.with_class_weight(tx), alias="positive_weight", balanced=False
     )
-    return _rounded(both, "class_weight", "positive_weight")
+    return rounded(both, "class_weight", "positive_weight")
 
 
 # Windows
@@ -306,7 +294,7 @@ def _velocity(spec: trailing.Trailing) -> Query:
 
 def avg_amount_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp", "amount")
-    return _rounded(
+    return rounded(
         trailing.trailing(tx, [gold.AVG_AMOUNT_7D]).select("transaction_id", "avg_amount_7d_calc"),
         "avg_amount_7d_calc",
     )
@@ -314,7 +302,7 @@ def avg_amount_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zscore_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp", "amount")
-    return _rounded(
+    return rounded(
         gold.amount_zscore(tx).select("transaction_id", "zscore_amount_calc"),
         "zscore_amount_calc",
     )
@@ -339,7 +327,7 @@ GOLD_COLUMNS = [
 
 
 def _gold_rows(features: DataFrame) -> DataFrame:
-    return _rounded(
+    return rounded(
         features.select(*GOLD_COLUMNS),
         "avg_amount_7d_calc",
         "zscore_amount_calc",
@@ -358,7 +346,7 @@ def gold_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         gold.night_ratio(transactions(spark, sf_dir, labelled=False)).select("transaction_id", "night_tx_ratio"),
         "night_tx_ratio",
     )
@@ -387,14 +375,14 @@ def _running(hot: skew.HotKeys | None) -> Query:
             "transaction_id", "client_id", "timestamp", "amount"
         )
         scored = trailing.running_zscore(tx, hot=hot)
-        return _rounded(scored.select("transaction_id", "zscore_running"), "zscore_running")
+        return rounded(scored.select("transaction_id", "zscore_running"), "zscore_running")
 
     return query
 
 
 def trailing_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, labelled=False).select("transaction_id", "client_id", "timestamp", "amount")
-    return _rounded(
+    return rounded(
         trailing.trailing(tx, [gold.TX_COUNT_7D, gold.AVG_AMOUNT_30D]).select(
             "transaction_id", "tx_count_7d", "avg_amount_30d"
         ),
@@ -418,13 +406,13 @@ def confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binary_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         evaluation.binary_metrics(_scored(spark, sf_dir)), "threshold", "precision", "recall", "f1"
     )
 
 
 def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         evaluation.classification_report(confusion_matrix(spark, sf_dir)),
         "precision",
         "recall",
@@ -433,27 +421,27 @@ def classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roc_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluation.roc_curve(_scored(spark, sf_dir)), "threshold", "fpr", "tpr")
+    return rounded(evaluation.roc_curve(_scored(spark, sf_dir)), "threshold", "fpr", "tpr")
 
 
 def roc_corners(spark: SparkSession, sf_dir: str) -> DataFrame:
     curve = evaluation.roc_curve(_scored(spark, sf_dir), corners_only=True)
-    return _rounded(curve, "threshold", "fpr", "tpr")
+    return rounded(curve, "threshold", "fpr", "tpr")
 
 
 def auc_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(evaluation.auc_roc(_scored(spark, sf_dir)), "auc_roc")
+    return rounded(evaluation.auc_roc(_scored(spark, sf_dir)), "auc_roc")
 
 
 def calibrated_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         evaluation.calibrated_threshold(_scored(spark, sf_dir)), "threshold", "tpr", "fpr"
     )
 
 
 def kpi_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     gate = evaluation.kpi_gate(evaluation.score_metrics(_scored(spark, sf_dir)))
-    return _rounded(gate, "value")
+    return rounded(gate, "value")
 
 
 # Monitoring
@@ -493,7 +481,7 @@ def display_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latency_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         monitoring.latency_summary(_log(spark, sf_dir)),
         "p50_ms",
         "p95_ms",
@@ -510,7 +498,7 @@ def risk_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_batch(
-        _requests(spark, sf_dir),
+        request_table(spark, sf_dir),
         scoring.linear_model(LINEAR_WEIGHTS, LINEAR_INTERCEPT),
         LINEAR_THRESHOLD,
         MODEL_VERSION,
@@ -521,13 +509,13 @@ def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def variance_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         selection.variance_filter(_gold(spark, sf_dir, pca=True), FEATURES), "variance"
     )
 
 
 def anova_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(
+    return rounded(
         selection.anova_topk(_gold(spark, sf_dir, pca=True), 8, FEATURES), "f_score", digits=4
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardwatch import schemas
 from cardwatch.ml import isolation, registry, training
 from cardwatch.operators import evaluation, gold, scoring
-from cardwatch.plans.catalog import MODEL_VERSION, Query, _requests, _rounded
+from cardwatch.plans.common import MODEL_VERSION, Query, request_table, rounded
 from cardwatch.session import scratch_path
 from cardwatch.sources.tables import transactions
 
@@ -61,7 +61,7 @@ def score_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     registry.save_model(compared.models["LR"], path, schemas.MODEL_FEATURES, 0.5)
     model, features, threshold = registry.load_model(spark, path)
     return scoring.score_batch(
-        _requests(spark, sf_dir), scoring.fitted_model(model), threshold, MODEL_VERSION, features
+        request_table(spark, sf_dir), scoring.fitted_model(model), threshold, MODEL_VERSION, features
     )
 
 
@@ -100,7 +100,7 @@ def plain_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = training.best_model(plain_runs(spark, sf_dir))
-    return _rounded(best.select("run_name", F.col("metrics")["auc_roc"].alias("auc_roc")), "auc_roc")
+    return rounded(best.select("run_name", F.col("metrics")["auc_roc"].alias("auc_roc")), "auc_roc")
 
 
 def latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.operators import scoring
-from cardwatch.plans.catalog import (
+from cardwatch.plans.common import (
     LINEAR_INTERCEPT,
     LINEAR_THRESHOLD,
     LINEAR_WEIGHTS,
     MODEL_VERSION,
     Query,
-    _rounded,
+    rounded,
 )
 from cardwatch.sources import derived
 from cardwatch.streaming import io, pipeline, stateful, windows
@@ -44,13 +44,13 @@ def stream_distinct_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     ratio = windows.tumbling_night_ratio(_stream(spark, sf_dir))
     latest = io.latest_updates(spark, io.run_updates(ratio, "night"), WINDOW)
-    return _rounded(latest, "night_tx_ratio")
+    return rounded(latest, "night_tx_ratio")
 
 
 def stream_running_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stateful.running_zscore(_stream(spark, sf_dir))
     written = spark.read.parquet(io.run_append(rows, "zscore"))
-    return _rounded(written.select("transaction_id", "zscore_running"), "zscore_running")
+    return rounded(written.select("transaction_id", "zscore_running"), "zscore_running")
 
 
 def stream_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:

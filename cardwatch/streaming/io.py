@@ -20,9 +20,12 @@ from cardwatch.sources.tables import as_transactions
 
 LATENESS = "10 minutes"
 
+#: Bounds a micro-batch, and with it the rows that one client can have in it.
+FILES_PER_BATCH = 16
+
 
 def file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """New Parquet files as they arrive; the batch size is bounded by the number of files."""
     return (
@@ -45,7 +48,7 @@ def topic_stream(spark: SparkSession, servers: str, topic: str, rows_per_batch:
 
 
 def transaction_stream(
-    spark: SparkSession, path: str, lateness: str = LATENESS, files_per_batch: int = 1000
+    spark: SparkSession, path: str, lateness: str = LATENESS, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Transactions with the event time ``at`` and its watermark."""
     tx = as_transactions(file_stream(spark, path, schemas.EVENTS, files_per_batch))

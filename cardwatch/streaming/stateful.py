@@ -1,8 +1,9 @@
 """Operators that keep state per key: exact trailing velocity, running score, result reuse.
 
 Rows of a key are handled in time order within a micro-batch; a row that arrives in a later
-batch than newer rows is counted against the history the state holds. The size of a micro-batch
-is bounded at the source, the state per key by its time span.
+batch than newer rows is counted against the history the state holds. One task gets the rows
+that a key has in one micro-batch, whose size is bounded at the source, and only the columns it
+needs. The state per key is bounded by its time span. Streams carry their event time in ``at``.
 """
 
 from __future__ import annotations
@@ -53,7 +54,8 @@ def trailing_velocity(
             ["transaction_id", "client_id", "timestamp", alias]
         ]
 
-    return tx.groupBy("client_id").applyInPandasWithState(
+    narrow = tx.select("client_id", "transaction_id", "timestamp", "at")
+    return narrow.groupBy("client_id").applyInPandasWithState(
         count,
         f"transaction_id bigint, client_id bigint, timestamp bigint, {alias} bigint",
         "at array<bigint>, n array<bigint>",
@@ -90,7 +92,8 @@ def running_zscore(tx: DataFrame, alias: str = "zscore_running") -> DataFrame:
             ["transaction_id", "client_id", alias]
         ]
 
-    return tx.groupBy("client_id").applyInPandasWithState(
+    narrow = tx.select("client_id", "transaction_id", "timestamp", "amount")
+    return narrow.groupBy("client_id").applyInPandasWithState(
         score,
         f"transaction_id bigint, client_id bigint, {alias} double",
         "n bigint, mean double, m2 double",
@@ -125,7 +128,8 @@ def reuse_results(
         _expire(state, last + lifetime + late)
         yield rows.iloc[kept][names]
 
-    return tx.groupBy(*keys).applyInPandasWithState(
+    narrow = tx.select(*names, "at")
+    return narrow.groupBy(*keys).applyInPandasWithState(
         first_of,
         ", ".join(f"{c} {fields[c]}" for c in names),
         "last bigint",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas
 from cardwatch.operators import gold, monitoring, reuse, scoring, skew, trailing
-from cardwatch.plans import catalog
+from cardwatch.plans import common
 from cardwatch.sources import derived
 from cardwatch.sources.tables import as_transactions, read_table
 from cardwatch.streaming import io, pipeline, stateful, windows
@@ -86,7 +86,7 @@ def test_result_reuse(spark, stream, batch):
 
 
 def test_scoring(spark, stream, batch):
-    model = scoring.linear_model(catalog.LINEAR_WEIGHTS, catalog.LINEAR_INTERCEPT)
+    model = scoring.linear_model(common.LINEAR_WEIGHTS, common.LINEAR_INTERCEPT)
     scored = pipeline.score_stream(derived.requests(stream), model, 0.5, "v")
     got = spark.read.parquet(io.run_append(scored, "d"))
     assert same(got, scoring.score_batch(derived.requests(batch), model, 0.5, "v"))
