@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Above this many rows a key no longer goes through a per-row sliding frame.
-MAX_ROWS = 20_000
+MAX_ROWS = 10_000
 #: At most this many hot keys are broadcast; beyond it, every key counts as hot.
 MAX_KEYS = 10_000
 
