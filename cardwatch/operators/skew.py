@@ -38,7 +38,8 @@ def find_hot_keys(
 ) -> HotKeys:
     """Run one counting job over the key column; at most ``max_keys + 1`` keys reach the driver.
 
-    The result only steers the physical strategy: every strategy gives the same rows.
+    The result only steers the physical strategy: every strategy gives the same rows. Where
+    ``df`` is the outcome of joins that keep its rows, give the table before the joins.
     """
     found = (
         df.groupBy(key)

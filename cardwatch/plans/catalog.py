@@ -57,8 +57,14 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _hot_clients(spark: SparkSession, sf_dir: str) -> skew.HotKeys:
+    """Counted on the bare events: one column, no parsing, no dimension joins."""
+    return skew.find_hot_keys(transactions(spark, sf_dir, labelled=False), "client_id")
+
+
 def _gold(spark: SparkSession, sf_dir: str, **dims: bool) -> DataFrame:
-    return gold.compute_features(transactions(spark, sf_dir, **dims))
+    tx = transactions(spark, sf_dir, **dims)
+    return gold.compute_features(tx, _hot_clients(spark, sf_dir))
 
 
 # Sources, sinks, projections, filters
@@ -358,8 +364,9 @@ DISTINCT_SPECS = [
 ]
 
 
-def _distinct(hot: skew.HotKeys | None) -> Query:
+def _distinct(given: skew.HotKeys | None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        hot = given or _hot_clients(spark, sf_dir)
         tx = transactions(spark, sf_dir, country=True).select(
             "transaction_id", "client_id", "timestamp", "merchant_id", "country"
         )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas
 from cardwatch.ml import isolation, registry, training
-from cardwatch.operators import evaluation, gold, scoring
+from cardwatch.operators import evaluation, gold, scoring, skew
 from cardwatch.plans.common import MODEL_VERSION, Query, request_table, rounded
 from cardwatch.session import scratch_path
 from cardwatch.sources.tables import transactions
@@ -19,7 +19,8 @@ PLAIN_SCORES = {"v17": "-V17", "v14": "-V14", "both": "-(V14 + V17)"}
 
 
 def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.compute_features(transactions(spark, sf_dir, pca=True))
+    hot = skew.find_hot_keys(transactions(spark, sf_dir, labelled=False), "client_id")
+    return gold.compute_features(transactions(spark, sf_dir, pca=True), hot)
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
