@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import ngram_join
+from cardwatch.llm import ngram_join, quality_rules, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,13 +15,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base verdict and adaptive verdict of all documents."""
+    return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op7_quality_rules": op7_quality_rules,
     "op9_ngram_join": op9_ngram_join,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_quality_rules": sql.OP7,
+}
