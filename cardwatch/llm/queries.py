@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import ngram_join, quality_rules, sql
+from cardwatch.llm import language_id, ngram_join, quality_rules, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    return language_id.languages(_table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and adaptive verdict of all documents."""
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
@@ -26,6 +31,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_language_id": op2_language_id,
     "op7_quality_rules": op7_quality_rules,
     "op9_ngram_join": op9_ngram_join,
 }

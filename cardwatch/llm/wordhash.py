@@ -77,30 +77,43 @@ def pieces(offsets: np.ndarray, size: int = PIECE_BYTES) -> Iterator[tuple[int,
         lo = min(hi, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """Words of texts that lie in ``data`` at ``offsets``; a word never crosses a text's end."""
-    base = int(offsets[0])
-    b = data[base : int(offsets[-1])]
-    at = (offsets - base).astype(np.int64)
-    n = len(b)
-    inside = np.zeros(n + 1, bool)
-    inside[:n] = ~_IS_SPACE[b]
+def spans(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every run of true units; a run never crosses an offset in ``at``."""
+    n = len(inside)
     before = np.zeros(n + 1, bool)
-    before[1:] = inside[:-1]
+    before[1:] = inside
     before[at] = False
-    begin = np.flatnonzero(inside & ~before)
-    follows = np.append(inside[1:], False)
-    follows[at[1:][at[1:] > 0] - 1] = False
-    end = np.flatnonzero(inside[:n] & ~follows[:n]) + 1
+    begin = np.flatnonzero(inside & ~before[:n])
+    follows = np.zeros(n + 1, bool)
+    follows[:n] = inside
+    follows[at] = False
+    return begin, np.flatnonzero(inside & ~follows[1:]) + 1
+
+
+def hash_spans(units: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the units of every span."""
+    n = len(units)
     _powers.grow(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(
-        ((_LOWER[b] if lower else b).astype(np.uint64) + np.uint64(1)) * _powers.up[:n], out=sums[1:]
-    )
-    h = mix((sums[end] - sums[begin]) * _powers.down[begin])
+    np.cumsum((units.astype(np.uint64) + np.uint64(1)) * _powers.up[:n], out=sums[1:])
+    return mix((sums[end] - sums[begin]) * _powers.down[begin])
+
+
+def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
+    """Words of texts that lie in ``data`` at ``offsets``; a word never crosses a text's end."""
+    b = data[int(offsets[0]) : int(offsets[-1])]
+    at = (offsets - offsets[0]).astype(np.int64)
+    begin, end = spans(~_IS_SPACE[b], at)
+    h = hash_spans(_LOWER[b] if lower else b, begin, end)
     return Words(h, np.searchsorted(begin, at).astype(np.int64), begin, end)
 
 
+def texts(column: pa.Array) -> list[str]:
+    """Python strings of a column; null counts as empty, bytes that are no UTF-8 become U+FFFD."""
+    raw = pc.fill_null(column.cast(pa.large_binary()), b"")
+    return [x.as_py().decode("utf-8", "replace") for x in raw]
+
+
 def fold(h: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` words, by its first word."""
     n = len(h) - width + 1
