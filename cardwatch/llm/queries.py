@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import language_id, ngram_join, quality_rules, sql
+from cardwatch.llm import decontamination, language_id, ngram_join, quality_rules, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that documents hold, up to two substitutions in 13 words."""
+    found = decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_hash")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and adaptive verdict of all documents."""
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
@@ -32,10 +38,12 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
+    "op5_decontamination": op5_decontamination,
     "op7_quality_rules": op7_quality_rules,
     "op9_ngram_join": op9_ngram_join,
 }
 
 SQL: dict[str, str] = {
+    "op5_decontamination": sql.OP5,
     "op7_quality_rules": sql.OP7,
 }

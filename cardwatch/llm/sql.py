@@ -71,3 +71,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
          AND row_id NOT IN (SELECT row_id FROM outside) AS kept
 FROM counted
 """
+
+OP5 = r"""
+WITH doc_rows AS (
+  SELECT DISTINCT doc_id, text FROM documents
+), docs AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         [w FOR w IN string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') IF w <> ''] AS w FROM doc_rows
+), items AS (
+  SELECT min(item_id) AS item_id, w FROM (
+    SELECT item_id, [w FOR w IN string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') IF w <> ''] AS w
+    FROM benchmark)
+  WHERE len(w) >= 8 GROUP BY w
+), doc_words AS (
+  SELECT row_id, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs
+), item_words AS (
+  SELECT item_id, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM items
+), aligned AS (
+  SELECT row_id, doc_id, item_id, n_words, i - j AS shift, j,
+         count(*) OVER (PARTITION BY row_id, item_id, i - j ORDER BY j RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS run
+  FROM doc_words JOIN item_words USING (word)
+), best AS (
+  SELECT row_id, doc_id, item_id, n_words, shift, count(*) AS n_equal, max(run) AS window_equal
+  FROM aligned GROUP BY ALL
+)
+SELECT doc_id, item_id, CAST(max(n_equal) AS INTEGER) AS n_equal, CAST(n_words AS INTEGER) AS n_words,
+       CAST(max(window_equal) AS INTEGER) AS window_equal
+FROM best
+WHERE CASE WHEN n_words >= 13 THEN window_equal >= 11 ELSE n_equal = n_words END
+GROUP BY row_id, doc_id, item_id, n_words
+"""
