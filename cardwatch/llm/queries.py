@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontamination, language_id, ngram_join, quality_rules, sql
+from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules, sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_hash")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base verdict and adaptive verdict of all documents."""
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
@@ -39,6 +45,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op5_decontamination": op5_decontamination,
+    "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op9_ngram_join": op9_ngram_join,
 }

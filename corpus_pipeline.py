@@ -2,20 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import ngram_join
+from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules
 from cardwatch.llm.common import saved
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the limits of their language and source reject go."""
+    return quality_rules.accepted(docs)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or whose language is not clear, go."""
+    return language_id.accepted(docs)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component stays."""
     return ngram_join.one_of_each(docs)
 
 
+def benchmark_overlap(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of what is left, in sequences of 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 #: (name, function) in order; every function takes (spark, docs, sf_dir).
 STAGES = [
+    ("quality_rules", quality),
+    ("language_id", language),
     ("near_duplicates", near_duplicates),
+    ("decontamination", benchmark_overlap),
+    ("packing", packed),
 ]
 
 #: Models and hashing have no SQL; the tests hold every stage against a plain version.
