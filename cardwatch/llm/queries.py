@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules, sql
+from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules, sql, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from labels that are not held out."""
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items that documents hold, up to two substitutions in 13 words."""
     found = decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -44,6 +49,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
+    "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
