@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules, sql, toxicity
+from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules, sql, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    rules = spark.createDataFrame(url_filter.RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules)
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -53,10 +59,12 @@ QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
+    "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
 }
 
 SQL: dict[str, str] = {
     "op5_decontamination": sql.OP5,
     "op7_quality_rules": sql.OP7,
+    "op8_url_filter": sql.OP8,
 }

@@ -101,3 +101,22 @@ FROM best
 WHERE CASE WHEN n_words >= 13 THEN window_equal >= 11 ELSE n_equal = n_words END
 GROUP BY row_id, doc_id, item_id, n_words
 """
+
+OP8 = r"""
+WITH rules(rule_host, rule_path, verdict) AS (
+  VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), urls AS (
+  SELECT row_number() OVER () AS row_id, page_id,
+         CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT row_id, page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls
+), fits AS (
+  SELECT row_id, rule_host || rule_path AS rule, verdict,
+         row_number() OVER (PARTITION BY row_id ORDER BY length(rule_host || rule_path) DESC) AS place
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN fits f ON f.row_id = p.row_id AND f.place = 1
+"""
