@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import decontamination, language_id, ngram_join, packing, quality_rules, sql, toxicity, url_filter
+from cardwatch.llm import chat_format, decontamination, language_id, ngram_join, packing, quality_rules, sql, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -53,6 +53,11 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation from the perspective of each participant, as digests."""
+    return chat_format.digests(chat_format.rotate(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
@@ -61,10 +66,12 @@ QUERIES: dict[str, Query] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
+    "op10_chat_format": op10_chat_format,
 }
 
 SQL: dict[str, str] = {
     "op5_decontamination": sql.OP5,
     "op7_quality_rules": sql.OP7,
     "op8_url_filter": sql.OP8,
+    "op10_chat_format": sql.OP10,
 }

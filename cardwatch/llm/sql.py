@@ -120,3 +120,33 @@ WITH rules(rule_host, rule_path, verdict) AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN fits f ON f.row_id = p.row_id AND f.place = 1
 """
+
+OP10 = r"""
+WITH messages AS (
+  SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text, CAST(floor(turn / 64) AS BIGINT) AS block
+  FROM conversations
+), speakers AS (
+  SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role IS NOT NULL AND role <> 'system'
+), rendered AS (
+  SELECT m.conv_id, speaker, block, turn, role, text, coalesce(role = speaker, false) AS own,
+         CASE WHEN role = 'system' THEN '<|system|>' || chr(10)
+              WHEN role = speaker THEN '<|assistant|>' || chr(10)
+              ELSE '<|user name=' || regexp_replace(coalesce(role, 'unknown'), '[|<>\r\n]', '_', 'g') || '|>' || chr(10)
+         END AS head,
+         replace(text, '<|', '<\|') || '<|end|>' AS body
+  FROM messages m JOIN speakers s ON m.conv_id IS NOT DISTINCT FROM s.conv_id
+), placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
+           PARTITION BY conv_id, speaker, block ORDER BY turn NULLS FIRST, role NULLS FIRST, text
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS start
+  FROM rendered
+)
+SELECT conv_id, speaker, block, CAST(0 AS BIGINT) AS sub_block, count(*) AS n_messages,
+       count(*) FILTER (own) AS n_own,
+       CAST(sum(length(head) + length(body) + 1) AS BIGINT) AS n_chars,
+       CAST(coalesce(sum(length(body)) FILTER (own), 0) AS BIGINT) AS n_target_chars,
+       md5(string_agg(head || body || chr(10), '' ORDER BY turn NULLS FIRST, role NULLS FIRST, text)) AS text_md5,
+       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(body) AS BIGINT), ',' ORDER BY start)
+         FILTER (own), '') AS targets
+FROM placed GROUP BY conv_id, speaker, block
+"""
