@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import chat_format, decontamination, language_id, ngram_join, packing, quality_rules, sql, toxicity, url_filter
+from cardwatch.llm import chat_format, decontamination, language_id, ngram_join, packing, quality_rules, sharding, sql, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of equal row counts, uniformly shuffled."""
+    return sharding.assignments(_table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     return language_id.languages(_table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
