@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cardwatch.llm import chat_format, decontamination, language_id, ngram_join, packing, quality_rules, sharding, sql, toxicity, url_filter
+from cardwatch.llm import chat_format, decontamination, language_id, ngram_join, packing, quality_rules, sharding, sql, token_counts, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.languages(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), path)
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity of every document, learned from labels that are not held out."""
     return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -66,6 +72,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
+    "op3_token_counts": op3_token_counts,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
