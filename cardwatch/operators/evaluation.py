@@ -16,9 +16,9 @@ from cardwatch.operators.skew import running_totals, with_value_blocks
 
 
 def score_histogram(
-    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = 4
+    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = None
 ) -> DataFrame:
-    """Positives and negatives per score, the score rounded unless ``digits`` is None."""
+    """Positives and negatives per score; ``digits`` rounds the score, which merges thresholds."""
     value = F.col(score) if digits is None else F.round(score, digits)
     return df.groupBy(value.alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
@@ -42,7 +42,7 @@ def roc_curve(
     df: DataFrame,
     score: str = "score",
     label: str = "is_fraud",
-    digits: int | None = 4,
+    digits: int | None = None,
     corners_only: bool = False,
 ) -> DataFrame:
     """False and true positive rate at every score used as threshold.
@@ -68,7 +68,7 @@ def roc_curve(
 
 
 def auc_roc(
-    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = 4
+    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = None
 ) -> DataFrame:
     """Area under the ROC curve by trapezoids, so equal scores count half."""
     area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2))
@@ -81,7 +81,7 @@ def calibrated_threshold(
     df: DataFrame,
     score: str = "score",
     label: str = "is_fraud",
-    digits: int | None = 4,
+    digits: int | None = None,
     recall: float = 0.90,
     corners_only: bool = False,
 ) -> DataFrame:
@@ -131,31 +131,55 @@ def metrics_of(matrix: DataFrame) -> DataFrame:
     ).withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
-def binary_metrics(
-    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = 4
+def score_summary(
+    df: DataFrame,
+    score: str = "score",
+    label: str = "is_fraud",
+    digits: int | None = None,
+    recall: float = 0.90,
 ) -> DataFrame:
-    """Precision, recall and F1 at 0.5 and at the calibrated threshold: two rows."""
-    tuned = calibrated_threshold(df, score, label, digits).select("threshold").scalar()
-    value = F.col(score) if digits is None else F.round(score, digits)
-    cuts = F.inline(
-        F.array(
-            F.struct(F.lit("default").alias("cut"), F.lit(0.5).alias("threshold")),
-            F.struct(F.lit("calibrated").alias("cut"), tuned.alias("threshold")),
-        )
+    """One row from one pass over the ranked histogram: class totals, AUC, threshold, counts at both cuts.
+
+    ``threshold`` is the calibrated one; ``tp`` and ``fp`` are counted at it, ``tp_half`` and ``fp_half`` at 0.5.
+    """
+    area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2))
+    counts = ("cum_pos", "cum_neg")
+    reached = F.when(F.col("tpr") >= recall, F.struct("threshold", *counts))
+    # The lowest score of 0.5 or more has counted all of them.
+    at_half = F.when(F.col("threshold") >= 0.5, F.struct((-F.col("threshold")).alias("t"), *counts))
+    found = _ranked(df, score, label, digits).agg(
+        F.sum("pos").alias("pos"), F.sum("neg").alias("neg"),
+        F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("auc_roc"),
+        F.max(reached).alias("best"), F.max(at_half).alias("half"),
     )
-    counts = df.groupBy(value.alias("value")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg")
+    high = F.col("best.threshold") >= 1.0
+    half = [F.coalesce(F.col(f"half.{c}"), F.lit(0)) for c in counts]
+    return found.select(
+        "pos", "neg", "auc_roc",
+        F.when(high, 0.5).otherwise(F.col("best.threshold")).alias("threshold"),
+        *[
+            F.when(high, h).otherwise(F.col(f"best.{c}")).alias(name)
+            for name, c, h in zip(("tp", "fp"), counts, half)
+        ],
+        *[h.alias(name) for name, h in zip(("tp_half", "fp_half"), half)],
     )
-    hit = F.col("value") >= F.col("threshold")
-    matrix = (
-        counts.select("*", cuts)
-        .groupBy("cut", "threshold")
-        .agg(
-            F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-            F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
-            F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
+
+
+def binary_metrics(
+    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = None
+) -> DataFrame:
+    """Precision, recall and F1 at 0.5 and at the calibrated threshold: two rows."""
+
+    def line(cut: str, threshold: Column, tp: str, fp: str) -> Column:
+        return F.struct(
+            F.lit(cut).alias("cut"), threshold.alias("threshold"), F.col(tp).alias("tp"), F.col(fp).alias("fp"),
+            (F.col("pos") - F.col(tp)).alias("fn"),
         )
+
+    lines = F.array(
+        line("default", F.lit(0.5), "tp_half", "fp_half"), line("calibrated", F.col("threshold"), "tp", "fp")
     )
+    matrix = score_summary(df, score, label, digits).select(F.inline(lines))
     return metrics_of(matrix).select("cut", "threshold", "precision", "recall", "f1")
 
 
@@ -217,15 +241,11 @@ def kpi_gate(
 
 
 def score_metrics(
-    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = 4
+    df: DataFrame, score: str = "score", label: str = "is_fraud", digits: int | None = None
 ) -> DataFrame:
     """One row: precision, recall, F1 at the calibrated threshold, and the AUC."""
-    area = auc_roc(df, score, label, digits).scalar()
-    return (
-        binary_metrics(df, score, label, digits)
-        .where("cut = 'calibrated'")
-        .select("threshold", "precision", "recall", "f1", area.alias("auc_roc"))
-    )
+    summary = score_summary(df, score, label, digits).withColumn("fn", F.col("pos") - F.col("tp"))
+    return metrics_of(summary).select("threshold", "precision", "recall", "f1", "auc_roc")
 
 
 def probability_histogram(

@@ -30,7 +30,7 @@ WITH base AS (
   FROM labelled e
   LEFT JOIN customer c ON e.user_id = c.c_custkey
   LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-  LEFT JOIN embeddings v ON v.vec_id = e.event_id % 500
+  LEFT JOIN embeddings v ON v.vec_id = e.event_id % (SELECT count(*) FROM embeddings)
 )"""
 
 
@@ -151,7 +151,7 @@ ROC = (
     TX
     + """
 , hist AS (
-  SELECT round(-V17, 4) AS threshold,
+  SELECT -V17 AS threshold,
          count(*) FILTER (is_fraud = 1) AS pos, count(*) FILTER (is_fraud = 0) AS neg
   FROM tx GROUP BY 1
 ), ranked AS (
@@ -177,9 +177,9 @@ ROC = (
   UNION ALL SELECT 'calibrated', threshold FROM tuned
 ), cells AS (
   SELECT cut, c.threshold,
-         count(*) FILTER (round(-V17, 4) >= c.threshold AND is_fraud = 1)::DOUBLE AS tp,
-         count(*) FILTER (round(-V17, 4) >= c.threshold AND is_fraud = 0)::DOUBLE AS fp,
-         count(*) FILTER (round(-V17, 4) < c.threshold AND is_fraud = 1)::DOUBLE AS fn
+         count(*) FILTER (-V17 >= c.threshold AND is_fraud = 1)::DOUBLE AS tp,
+         count(*) FILTER (-V17 >= c.threshold AND is_fraud = 0)::DOUBLE AS fp,
+         count(*) FILTER (-V17 < c.threshold AND is_fraud = 1)::DOUBLE AS fn
   FROM tx, cuts c GROUP BY 1, 2
 ), rates AS (
   SELECT *, tp / (tp + fp) AS "precision", tp / (tp + fn) AS recall,
@@ -629,8 +629,15 @@ FROM slid GROUP BY ALL""",
 SELECT client_id, window_start, window_start + 604800 AS window_end,
        count(DISTINCT merchant_id) AS distinct_merchants
 FROM weeks
+GROUP BY ALL""",
+    "stream_distinct_merchants_closed": _WINDOW_STATS
+    + """
+SELECT client_id, window_start, window_start + 604800 AS window_end,
+       count(DISTINCT merchant_id) AS distinct_merchants
+FROM weeks
 WHERE window_start + 604800 <= (SELECT max(epoch(ts)) - 600 FROM events)
 GROUP BY ALL""",
+    "stream_velocity_10min": BATCH["velocity_10min"],
     "stream_night_ratio": _WINDOW_STATS
     + f"""
 SELECT client_id, window_start, window_start + 2592000 AS window_end,

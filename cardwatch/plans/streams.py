@@ -32,13 +32,24 @@ def stream_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_trailing_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stateful.trailing_velocity(_stream(spark, sf_dir))
-    return spark.read.parquet(io.run_append(rows, "trailing"))
+    return io.read_output(spark, io.run_append(rows, "trailing"), rows)
 
 
 def stream_distinct_merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows that the watermark has closed."""
+    """The current state of every window, open ones included."""
     counted = windows.tumbling_merchants(_stream(spark, sf_dir))
-    return spark.read.parquet(io.run_append(counted, "merchants"))
+    return io.latest_updates(spark, io.run_updates(counted, "merchants"), WINDOW)
+
+
+def stream_distinct_merchants_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that the watermark has closed, each given out once."""
+    counted = windows.tumbling_merchants(_stream(spark, sf_dir), closed_only=True)
+    return io.read_output(spark, io.run_append(counted, "merchants"), counted)
+
+
+def stream_velocity_10min(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stateful.trailing_velocity(_stream(spark, sf_dir), 600, "velocity_10min_calc")
+    return io.read_output(spark, io.run_append(rows, "trailing"), rows)
 
 
 def stream_night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,14 +60,14 @@ def stream_night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_running_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stateful.running_zscore(_stream(spark, sf_dir))
-    written = spark.read.parquet(io.run_append(rows, "zscore"))
+    written = io.read_output(spark, io.run_append(rows, "zscore"), rows)
     return rounded(written.select("transaction_id", "zscore_running"), "zscore_running")
 
 
 def stream_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = _stream(spark, sf_dir)
     kept = stateful.reuse_results(tx, ["user_id", "merchant_category"])
-    return spark.read.parquet(io.run_append(kept, "reuse"))
+    return io.read_output(spark, io.run_append(kept, "reuse"), kept)
 
 
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +77,8 @@ def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(io.run_append(_decisions(spark, sf_dir), "decisions"))
+    decisions = _decisions(spark, sf_dir)
+    return io.read_output(spark, io.run_append(decisions, "decisions"), decisions)
 
 
 def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,6 +96,8 @@ STREAMS: dict[str, Query] = {
     "stream_velocity": stream_velocity,
     "stream_trailing_velocity": stream_trailing_velocity,
     "stream_distinct_merchants": stream_distinct_merchants,
+    "stream_distinct_merchants_closed": stream_distinct_merchants_closed,
+    "stream_velocity_10min": stream_velocity_10min,
     "stream_night_ratio": stream_night_ratio,
     "stream_running_zscore": stream_running_zscore,
     "stream_reuse": stream_reuse,

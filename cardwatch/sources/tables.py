@@ -15,7 +15,6 @@ _SCHEMAS = {
 }
 
 USERS_PER_CLIENT = 15
-VECTORS = 500
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,10 +85,9 @@ def transactions(
             home.select("c_custkey", "country"), F.col("user_id") == F.col("c_custkey"), "left"
         ).drop("c_custkey")
     if pca:
+        table = read_table(spark, sf_dir, "embeddings")
         vectors = (
-            read_table(spark, sf_dir, "embeddings")
-            .where(F.col("vec_id").between(0, VECTORS - 1))
-            .select(
+            table.select(
                 "vec_id",
                 *[
                     (10.0 * F.element_at("embedding", i).cast("double")).alias(f"V{i}")
@@ -98,8 +96,11 @@ def transactions(
             )
             .dropDuplicates(["vec_id"])
         )
-        # The filter and the deduplication bound this side to VECTORS rows at any scale.
-        tx = tx.join(
-            F.broadcast(vectors), F.col("transaction_id") % VECTORS == F.col("vec_id"), "left"
-        ).drop("vec_id")
+        # This side grows with the data, so there is no hint: the planner goes by measured size.
+        n = table.agg(F.count(F.lit(1))).scalar()
+        tx = (
+            tx.withColumn("_vector", F.try_mod("transaction_id", n))
+            .join(vectors, F.col("_vector") == F.col("vec_id"), "left")
+            .drop("vec_id", "_vector")
+        )
     return tx.drop("user_id")

@@ -106,6 +106,11 @@ def run_append(stream: DataFrame, name: str) -> str:
     return f"{out}/data"
 
 
+def read_output(spark: SparkSession, path: str, stream: DataFrame) -> DataFrame:
+    """What a stream wrote, by the stream's schema, so that a run without rows reads as empty."""
+    return spark.read.schema(stream.schema).parquet(path)
+
+
 def run_updates(stream: DataFrame, name: str, mode: str = "update") -> str:
     """Process what is there and keep the changed rows of every batch, tagged with the batch.
 

@@ -27,12 +27,24 @@ def sliding_velocity(
     )
 
 
-def tumbling_merchants(tx: DataFrame, length: str = "7 days") -> DataFrame:
+def tumbling_merchants(
+    tx: DataFrame, length: str = "7 days", closed_only: bool = False
+) -> DataFrame:
     """Distinct merchants per client and tumbling window.
 
-    Two stages, so that a busy client is first reduced to its different merchants, spread over
-    the tasks by merchant. On a stream a window is given out once the watermark has passed it.
+    The set of merchants is combined before the shuffle and is the state on a stream, so that open
+    windows can be given out in update mode. With ``closed_only`` there are two stages, which spread a
+    busy client over the tasks by merchant; on a stream these give a window out once the watermark has
+    passed it.
     """
+    if not closed_only:
+        merchants = F.size(F.collect_set("merchant_id")).cast("long")
+        return (
+            tx.where(F.col("merchant_id").isNotNull())
+            .groupBy("client_id", F.window("at", length))
+            .agg(merchants.alias("distinct_merchants"))
+            .select("client_id", *_bounds(), "distinct_merchants")
+        )
     return (
         tx.where(F.col("merchant_id").isNotNull())
         .select("client_id", "merchant_id", F.window("at", length).alias("window"))
