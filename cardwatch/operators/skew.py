@@ -1,88 +1,17 @@
-"""Finding keys that are too large for one task, and running totals that never need one.
+"""Null-safe joins, and running totals that never need one task per key.
 
-A window over ``partitionBy(key)`` puts a whole key into one task. The operators of this
-package use such a window only for keys below a row limit. Keys above it are cut into blocks
-of their ordering column: each block is scanned on its own, and what the earlier blocks
-contribute is one row per block.
+A window over ``partitionBy(key)`` puts a whole key into one task. The operators of this package cut
+keys into blocks of their ordering column instead: each block is scanned on its own, and what the
+earlier blocks contribute is one row per block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Above this many rows a key no longer goes through a per-row sliding frame.
-MAX_ROWS = 10_000
-#: At most this many hot keys are broadcast; beyond it, every key counts as hot.
-MAX_KEYS = 10_000
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Which keys are hot: none, some (a bounded table), or all of them."""
-
-    key: str
-    keys: DataFrame | None = None
-    every: bool = False
-
-    @property
-    def none(self) -> bool:
-        return self.keys is None and not self.every
-
-
-def find_hot_keys(
-    df: DataFrame, key: str, max_rows: int = MAX_ROWS, max_keys: int = MAX_KEYS
-) -> HotKeys:
-    """Run one counting job over the key column; at most ``max_keys + 1`` keys reach the driver.
-
-    The result only steers the physical strategy: every strategy gives the same rows. Where
-    ``df`` is the outcome of joins that keep its rows, give the table before the joins.
-    """
-    found = (
-        df.groupBy(key)
-        .count()
-        .where(F.col("count") > max_rows)
-        .select(key)
-        .limit(max_keys + 1)
-        .collect()
-    )
-    if not found:
-        return HotKeys(key)
-    if len(found) > max_keys:
-        return HotKeys(key, every=True)
-    keys = df.sparkSession.createDataFrame(found, df.select(key).schema)
-    return HotKeys(key, keys)
-
-
-def all_hot(key: str) -> HotKeys:
-    return HotKeys(key, every=True)
-
-
-def none_hot(key: str) -> HotKeys:
-    return HotKeys(key)
-
-
-def by_heat(
-    df: DataFrame,
-    hot: HotKeys,
-    usual: Callable[[DataFrame], DataFrame],
-    blocked: Callable[[DataFrame], DataFrame],
-) -> DataFrame:
-    """Send hot keys through ``blocked`` and all others through ``usual``."""
-    if hot.none:
-        return usual(df)
-    if hot.every:
-        return blocked(df)
-    # The hot keys were counted: never more than MAX_KEYS.
-    keys = F.broadcast(hot.keys.withColumnRenamed(hot.key, "_hot"))
-    same = df[hot.key].eqNullSafe(F.col("_hot"))
-    return usual(df.join(keys, same, "left_anti")).unionByName(
-        blocked(df.join(keys, same, "left_semi"))
-    )
-
 
 def equal_on(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join in which a null key equals a null key, keeping the left key columns."""

@@ -13,13 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.moments import Moments, zscore
-from cardwatch.operators.skew import (
-    HotKeys,
-    by_heat,
-    equal_on,
-    find_hot_keys,
-    running_totals,
-)
+from cardwatch.operators.skew import equal_on, running_totals
 
 
 @dataclass(frozen=True)
@@ -36,77 +30,79 @@ class Trailing:
     seconds: int
 
 
-def trailing(
-    df: DataFrame,
-    specs: Sequence[Trailing],
-    key: str = "client_id",
-    ts: str = "timestamp",
-    hot: HotKeys | None = None,
-) -> DataFrame:
-    """Add one column per spec; see ``skew`` for how large keys are treated."""
-    hot = hot or find_hot_keys(df, key)
-    return by_heat(
-        df,
-        hot,
-        lambda rows: _by_frames(rows, specs, key, ts),
-        lambda rows: _by_blocks(rows, specs, key, ts),
-    )
+INF = float("inf")
 
 
-def _frame(key: str, ts: str, seconds: int) -> Window:
-    return Window.partitionBy(key).orderBy(ts).rangeBetween(-seconds, 0)
+def _finite(c: Column) -> Column:
+    """The value where it is a usual number, else null; NaN compares above all others."""
+    x = c.cast("double")
+    return F.when(F.abs(x) < INF, x)
 
 
-def _counted(key: str, ts: str, seconds: int, column: Column) -> Column:
-    """Non-null values in the frame, as the difference of two counts that only grow.
+#: Values that spoil a sum are counted by themselves instead, so that they only reach frames that hold them.
+ODD = {
+    "nan": lambda x: F.isnan(x),
+    "up": lambda x: x == INF,
+    "down": lambda x: x == -INF,
+}
 
-    A sliding frame is summed again for every row; a growing one takes each row once.
-    """
-    order = Window.partitionBy(key).orderBy(ts)
-    up_to_now = F.count(column).over(order.rangeBetween(Window.unboundedPreceding, 0))
-    too_old = F.count(column).over(order.rangeBetween(Window.unboundedPreceding, -seconds - 1))
-    return up_to_now - F.when(F.col(ts).isNull(), 0).otherwise(too_old)
 
+def _mean(finite: Column, nan: Column, up: Column, down: Column) -> Column:
+    """The mean of all values from that of the finite ones and the numbers of the others."""
+    return (
+        F.when((nan > 0) | ((up > 0) & (down > 0)), float("nan"))
+        .when(up > 0, INF)
+        .when(down > 0, -INF)
+        .otherwise(finite)
+    )
 
-def _by_frames(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
-    def result(s: Trailing) -> Column:
-        if s.function == "avg":
-            return F.avg(s.column).over(_frame(key, ts, s.seconds))
-        if s.function == "stddev":
-            return F.stddev(s.column).over(_frame(key, ts, s.seconds))
-        known = _counted(key, ts, s.seconds, F.col(s.column))
-        if s.function == "count":
-            return known
-        true = _counted(key, ts, s.seconds, F.when(F.col(s.column), 1))
-        return F.try_divide(true.cast("double"), known)
 
-    # One select, so that all frames share one exchange, one sort and one window node.
-    return df.select("*", *[result(s).alias(s.alias) for s in specs])
+def _deviation(finite: Column, n: Column, nan: Column, up: Column, down: Column) -> Column:
+    """The deviation of all values, ``n`` of them finite: undefined once another one is among them."""
+    odd = nan + up + down
+    return F.when(odd == 0, finite).otherwise(F.when(n + odd > 1, float("nan")))
 
 
 SIDES = ("head", "tail")
 
 
-def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
-    """The same columns without a frame that is summed again for every row.
+def trailing(
+    df: DataFrame, specs: Sequence[Trailing], key: str = "client_id", ts: str = "timestamp"
+) -> DataFrame:
+    """Add one column per spec, in work linear in the rows whatever the size of a key.
 
     Rows first collapse to one row per key and second. For each frame length W time is cut
     into blocks of W seconds, so the frame ending at t is the tail of the block before, from
     t - W on, plus the head of the block of t. Heads are running sums forwards. Tails are
     running sums backwards, read off at a marker row that every second leaves in the block
-    before. A task never holds more than the 2W rows of one block and its markers.
+    before. A task never holds more than the 2W rows of one block and its markers, and no frame is
+    summed again for a row.
+
+    NaN and infinities count as in SQL, but only in frames that hold them; nulls count nowhere. Rows without a
+    time, or without a key, are each other's.
     """
     columns = sorted({s.column for s in specs})
-    summed = {s.column: "double" for s in specs if s.function == "avg"}
-    summed |= {s.column: "int" for s in specs if s.function == "share"}
+    means = sorted({s.column for s in specs if s.function == "avg"})
+    shares = sorted({s.column for s in specs if s.function == "share"})
     spread = sorted({s.column for s in specs if s.function == "stddev"})
+    measured = sorted({*means, *spread})
     lengths = sorted({s.seconds for s in specs})
 
     per_second = df.groupBy(key, ts).agg(
         *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.sum(F.col(c).cast(kind)).alias(f"sum_{c}") for c, kind in summed.items()],
-        *[F.avg(c).alias(f"mean_{c}") for c in spread],
-        *[F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0)).alias(f"m2_{c}") for c in spread],
+        *[F.sum(F.col(c).cast("int")).alias(f"true_{c}") for c in shares],
+        *[F.count(_finite(F.col(c))).alias(f"f_{c}") for c in measured],
+        *[
+            F.count_if(odd(F.col(c).cast("double"))).alias(f"{name}_{c}")
+            for c in measured
+            for name, odd in ODD.items()
+        ],
+        *[F.sum(_finite(F.col(c))).alias(f"sum_{c}") for c in means],
+        *[F.avg(_finite(F.col(c))).alias(f"mean_{c}") for c in spread],
+        *[
+            F.coalesce(F.var_pop(_finite(F.col(c))) * F.count(_finite(F.col(c))), F.lit(0.0)).alias(f"m2_{c}")
+            for c in spread
+        ],
     )
     places = [
         F.struct(
@@ -133,8 +129,8 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
         *[
             F.coalesce(
                 F.try_divide(
-                    F.sum(own(f"n_{c}") * F.col(f"mean_{c}")).over(block),
-                    F.sum(own(f"n_{c}")).over(block),
+                    F.sum(own(f"f_{c}") * F.col(f"mean_{c}")).over(block),
+                    F.sum(own(f"f_{c}")).over(block),
                 ),
                 F.lit(0.0),
             ).alias(f"centre_{c}")
@@ -142,11 +138,13 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
         ],
     )
     terms = {f"n_{c}": own(f"n_{c}") for c in columns}
-    terms |= {f"sum_{c}": own(f"sum_{c}") for c in summed}
+    terms |= {f"true_{c}": own(f"true_{c}") for c in shares}
+    terms |= {f"sum_{c}": own(f"sum_{c}") for c in means}
+    terms |= {f"{x}_{c}": own(f"{x}_{c}") for c in measured for x in ("f", *ODD)}
     for c in spread:
         shift = F.coalesce(F.col(f"mean_{c}") - F.col(f"centre_{c}"), F.lit(0.0))
-        terms[f"s1_{c}"] = own(f"n_{c}") * shift
-        terms[f"s2_{c}"] = own(f"m2_{c}") + own(f"n_{c}") * shift * shift
+        terms[f"s1_{c}"] = own(f"f_{c}") * shift
+        terms[f"s2_{c}"] = own(f"m2_{c}") + own(f"f_{c}") * shift * shift
     start, now = Window.unboundedPreceding, Window.currentRow
     forwards = block.orderBy(F.asc("offset")).rangeBetween(start, now)
     backwards = block.orderBy(F.desc("offset")).rangeBetween(start, now)
@@ -162,9 +160,9 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
 
     statistics = {
         "count": ("n",),
-        "share": ("n", "sum"),
-        "avg": ("n", "sum"),
-        "stddev": ("n", "s1", "s2", "centre"),
+        "share": ("n", "true"),
+        "avg": ("f", "sum", *ODD),
+        "stddev": ("f", "s1", "s2", "centre", *ODD),
     }
     wanted = sorted(
         {(f"{x}_{s.column}", s.seconds) for s in specs for x in statistics[s.function]}
@@ -188,20 +186,25 @@ def _by_blocks(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> D
 
     def moments(side: str, c: str, w: int) -> Moments:
         n, s1, s2, centre = (
-            F.coalesce(f"{side}_{x}_{c}_{w}", F.lit(0)) for x in ("n", "s1", "s2", "centre")
+            F.coalesce(f"{side}_{x}_{c}_{w}", F.lit(0)) for x in ("f", "s1", "s2", "centre")
         )
         mean = F.when(n > 0, centre + s1 / n)
         m2 = F.when(n > 0, F.greatest(s2 - s1 * s1 / n, F.lit(0.0))).otherwise(0.0)
         return Moments(n, mean, m2)
 
     def result(s: Trailing) -> Column:
-        n = both(f"n_{s.column}", s.seconds)
+        def total(name: str) -> Column:
+            return both(f"{name}_{s.column}", s.seconds)
+
         if s.function == "count":
-            return n
-        if s.function in ("avg", "share"):
-            return F.when(n > 0, both(f"sum_{s.column}", s.seconds) / n)
+            return total("n")
+        if s.function == "share":
+            return F.when(total("n") > 0, total("true").cast("double") / total("n"))
+        n, odd = total("f"), [total(name) for name in ODD]
+        if s.function == "avg":
+            return _mean(F.when(n > 0, total("sum") / n), *odd)
         head, tail = (moments(side, s.column, s.seconds) for side in SIDES)
-        return head.merge(tail).stddev()
+        return _deviation(head.merge(tail).stddev(), n, *odd)
 
     frames = gathered.select(key, ts, *[result(s).alias(s.alias) for s in specs])
     return equal_on(df, frames, [key, ts])
@@ -212,77 +215,18 @@ def trailing_distinct(
     specs: Sequence[tuple[str, str, int]],
     key: str = "client_id",
     ts: str = "timestamp",
-    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add, per ``(alias, column, seconds)``, the number of distinct values in the frame.
 
     An occurrence of a value covers the seconds from its own up to the value's next occurrence
     or the end of its frame, whichever is first. Spans of one value do not overlap, so the
-    number of open spans at t is the number of distinct values in the frame of t. Rows need a
-    time.
+    number of open spans at t is the number of distinct values in the frame of t. Spans are found per
+    day and counted in day blocks, so no key needs a task of its own. Rows need a time.
     """
-    hot = hot or find_hot_keys(df, key)
-
-    def usual(rows: DataFrame) -> DataFrame:
-        return _distinct_by_markers(rows, specs, key, ts)
-
-    def blocked(rows: DataFrame) -> DataFrame:
-        for alias, c, seconds in specs:
-            counts = _distinct_by_spans(rows.select(key, ts, c), alias, c, seconds, key, ts)
-            rows = equal_on(rows, counts, [key, ts])
-        return rows
-
-    return by_heat(df, hot, usual, blocked)
-
-
-def _distinct_by_markers(
-    df: DataFrame, specs: Sequence[tuple[str, str, int]], key: str, ts: str
-) -> DataFrame:
-    """Spans per key in one exchange: each row opens its spans, a marker row closes each."""
-    columns = list(dict.fromkeys(c for _, c, _ in specs))
-    # Rows of a key are together, which also serves the windows by key and value.
-    placed = df.repartition(F.col(key)).select(
-        F.struct(*df.columns).alias("_row"),
-        key,
-        ts,
-        *[
-            F.lead(ts).over(Window.partitionBy(key, c).orderBy(ts)).alias(f"_next_{c}")
-            for c in columns
-        ],
-        *[F.col(c).isNotNull().alias(f"_known_{c}") for c in columns],
-    )
-
-    def change(at: Column, row: Column, steps: dict[int, Column]) -> Column:
-        return F.struct(
-            row.alias("_row"),
-            at.alias("_at"),
-            *[steps.get(i, F.lit(0)).alias(f"_step_{i}") for i in range(len(specs))],
-        )
-
-    known = [F.col(f"_known_{c}").cast("int") for _, c, _ in specs]
-    no_row = F.lit(None).cast(placed.schema["_row"].dataType)
-    closing = [
-        F.least(F.col(ts) + seconds + 1, F.col(f"_next_{c}")) for _, c, seconds in specs
-    ]
-    changes = placed.select(
-        key,
-        F.inline(
-            F.array(
-                change(F.col(ts), F.col("_row"), dict(enumerate(known))),
-                *[change(closing[i], no_row, {i: -known[i]}) for i in range(len(specs))],
-            )
-        ),
-    )
-    so_far = (
-        Window.partitionBy(key)
-        .orderBy("_at")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    counted = changes.select(
-        "_row",
-        *[F.sum(f"_step_{i}").over(so_far).alias(s[0]) for i, s in enumerate(specs)],
-    )
-    return counted.where(F.col("_row").isNotNull()).select("_row.*", *[s[0] for s in specs])
+    for alias, c, seconds in specs:
+        counts = _distinct_by_spans(df.select(key, ts, c), alias, c, seconds, key, ts)
+        df = equal_on(df, counts, [key, ts])
+    return df
 
 
 DAY = 86_400
@@ -336,53 +280,47 @@ def running_zscore(
     ts: str = "timestamp",
     tie: str = "transaction_id",
     alias: str = "zscore_running",
-    block_seconds: int = 60,
-    hot: HotKeys | None = None,
+    block_seconds: int = 86_400,
 ) -> DataFrame:
     """Add the z-score of ``column`` against all rows of the key so far, in (ts, tie) order.
 
-    Rows of a hot key are scanned per block of ``block_seconds`` and continued from the
-    moments of the blocks before.
+    Rows are scanned per block of ``block_seconds`` and continued from the moments of the blocks
+    before, which are one row each. NaN and infinities count as in SQL, from their row on.
     """
-    hot = hot or find_hot_keys(df, key)
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-
-    def usual(rows: DataFrame) -> DataFrame:
-        w = Window.partitionBy(key).orderBy(ts, tie).rowsBetween(*so_far)
-        return rows.withColumn(
-            alias, zscore(F.col(column), F.avg(column).over(w), F.stddev(column).over(w))
-        )
-
-    def blocked(rows: DataFrame) -> DataFrame:
-        block = F.floor(F.col(ts) / block_seconds)
-        rows = rows.withColumn("_block", block)
-        w = Window.partitionBy(key, "_block").orderBy(ts, tie).rowsBetween(*so_far)
-        local = rows.select(
-            "*",
-            F.count(column).over(w).alias("_n"),
-            F.avg(column).over(w).alias("_mean"),
-            F.var_pop(column).over(w).alias("_var"),
-        )
-        equal = equal_on(local, _moments_before(rows, column, key), [key, "_block"])
-        both = Moments(
-            F.coalesce("_n0", F.lit(0)), F.col("_mean0"), F.coalesce("_m20", F.lit(0.0))
-        ).merge(
-            Moments(F.col("_n"), F.col("_mean"), F.coalesce(F.col("_var") * F.col("_n"), F.lit(0.0)))
-        )
-        return equal.select(
-            *[c for c in df.columns],
-            zscore(F.col(column), both.mean, both.stddev()).alias(alias),
-        )
-
-    return by_heat(df, hot, usual, blocked)
+    rows = df.withColumn("_block", F.floor(F.col(ts) / block_seconds)).withColumn(
+        "_finite", _finite(F.col(column))
+    )
+    w = (
+        Window.partitionBy(key, "_block")
+        .orderBy(ts, tie)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    local = rows.select(
+        "*",
+        F.count("_finite").over(w).alias("_n"),
+        F.avg("_finite").over(w).alias("_mean"),
+        F.var_pop("_finite").over(w).alias("_var"),
+        *[F.count_if(odd(F.col(column).cast("double"))).over(w).alias(f"_{x}") for x, odd in ODD.items()],
+    )
+    joined = equal_on(local, _moments_before(rows, column, key), [key, "_block"])
+    both = Moments(
+        F.coalesce("_n0", F.lit(0)), F.col("_mean0"), F.coalesce("_m20", F.lit(0.0))
+    ).merge(
+        Moments(F.col("_n"), F.col("_mean"), F.coalesce(F.col("_var") * F.col("_n"), F.lit(0.0)))
+    )
+    odd = [F.col(f"_{x}") + F.coalesce(f"_{x}0", F.lit(0)) for x in ODD]
+    mean = _mean(F.when(both.n > 0, both.mean), *odd)
+    score = zscore(F.col(column), mean, _deviation(both.stddev(), both.n, *odd))
+    return joined.select(*[c for c in df.columns], score.alias(alias))
 
 
 def _moments_before(df: DataFrame, column: str, key: str) -> DataFrame:
     """Moments of all blocks of the key before this one: one row per key and block."""
     blocks = df.groupBy(key, "_block").agg(
-        F.count(column).alias("n"),
-        F.avg(column).alias("mean"),
-        F.coalesce(F.var_pop(column) * F.count(column), F.lit(0.0)).alias("m2"),
+        F.count("_finite").alias("n"),
+        F.avg("_finite").alias("mean"),
+        F.coalesce(F.var_pop("_finite") * F.count("_finite"), F.lit(0.0)).alias("m2"),
+        *[F.count_if(odd(F.col(column).cast("double"))).alias(x) for x, odd in ODD.items()],
     )
     whole = Window.partitionBy(key)
     centre = F.coalesce(
@@ -399,12 +337,14 @@ def _moments_before(df: DataFrame, column: str, key: str) -> DataFrame:
         F.sum("n").over(earlier).alias("_n0"),
         F.sum(F.col("n") * shift).over(earlier).alias("s1"),
         F.sum(F.col("m2") + F.col("n") * shift * shift).over(earlier).alias("s2"),
+        *[F.sum(x).over(earlier).alias(f"_{x}0") for x in ODD],
     )
     some = F.col("_n0") > 0
     return sums.select(
         key,
         "_block",
         "_n0",
+        *[f"_{x}0" for x in ODD],
         F.when(some, F.col("centre") + F.col("s1") / F.col("_n0")).alias("_mean0"),
         F.when(some, F.col("s2") - F.col("s1") * F.col("s1") / F.col("_n0"))
         .otherwise(0.0)

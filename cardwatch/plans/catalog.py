@@ -18,7 +18,6 @@ from cardwatch.operators import (
     sampling,
     scoring,
     selection,
-    skew,
     trailing,
 )
 from cardwatch.plans.common import (
@@ -57,14 +56,8 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _hot_clients(spark: SparkSession, sf_dir: str) -> skew.HotKeys:
-    """Counted on the bare events: one column, no parsing, no dimension joins."""
-    return skew.find_hot_keys(transactions(spark, sf_dir, labelled=False), "client_id")
-
-
 def _gold(spark: SparkSession, sf_dir: str, **dims: bool) -> DataFrame:
-    tx = transactions(spark, sf_dir, **dims)
-    return gold.compute_features(tx, _hot_clients(spark, sf_dir))
+    return gold.compute_features(transactions(spark, sf_dir, **dims))
 
 
 # Sources, sinks, projections, filters
@@ -346,9 +339,13 @@ def gold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_features_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table with every client treated as too large for one task."""
-    tx = transactions(spark, sf_dir)
-    return _gold_rows(gold.compute_features(tx, skew.all_hot("client_id")))
+    """The features with a third of all rows on one client."""
+    return _gold_rows(gold.compute_features(_one_hot_client(transactions(spark, sf_dir))))
+
+
+def _one_hot_client(tx: DataFrame) -> DataFrame:
+    hot = F.when(F.col("transaction_id") % 3 == 0, F.lit(0).cast("long")).otherwise(F.col("client_id"))
+    return tx.withColumn("client_id", hot)
 
 
 def night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,24 +361,23 @@ DISTINCT_SPECS = [
 ]
 
 
-def _distinct(given: skew.HotKeys | None) -> Query:
+def _distinct(one_hot: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        hot = given or _hot_clients(spark, sf_dir)
         tx = transactions(spark, sf_dir, country=True).select(
             "transaction_id", "client_id", "timestamp", "merchant_id", "country"
         )
-        counted = trailing.trailing_distinct(tx, DISTINCT_SPECS, hot=hot)
+        counted = trailing.trailing_distinct(_one_hot_client(tx) if one_hot else tx, DISTINCT_SPECS)
         return counted.select("transaction_id", *[spec[0] for spec in DISTINCT_SPECS])
 
     return query
 
 
-def _running(hot: skew.HotKeys | None) -> Query:
+def _running(one_hot: bool) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tx = transactions(spark, sf_dir, labelled=False).select(
             "transaction_id", "client_id", "timestamp", "amount"
         )
-        scored = trailing.running_zscore(tx, hot=hot)
+        scored = trailing.running_zscore(_one_hot_client(tx) if one_hot else tx)
         return rounded(scored.select("transaction_id", "zscore_running"), "zscore_running")
 
     return query
@@ -570,10 +566,10 @@ BATCH: dict[str, Query] = {
     "gold_features": gold_features,
     "gold_features_hot": gold_features_hot,
     "night_ratio": night_ratio,
-    "distinct_trailing": _distinct(None),
-    "distinct_trailing_hot": _distinct(skew.all_hot("client_id")),
-    "zscore_running": _running(None),
-    "zscore_running_hot": _running(skew.all_hot("client_id")),
+    "distinct_trailing": _distinct(False),
+    "distinct_trailing_hot": _distinct(True),
+    "zscore_running": _running(False),
+    "zscore_running_hot": _running(True),
     "trailing_volume": trailing_volume,
     "ttl_dedup": ttl_dedup,
     "confusion_matrix": confusion_matrix,

@@ -46,53 +46,32 @@ def brute(rows):
     return out
 
 
-def heat(name, df):
-    if name == "usual":
-        return skew.none_hot("client_id")
-    if name == "blocked":
-        return skew.all_hot("client_id")
-    return skew.find_hot_keys(df, "client_id", max_rows=120)
-
-
 def close(a, b):
     return a == b or (a is not None and b is not None and math.isclose(a, b, abs_tol=1e-9))
 
 
-@pytest.mark.parametrize("way", ["usual", "blocked", "mixed"])
-def test_trailing_equals_brute_force(spark, way):
+def test_trailing_equals_brute_force(spark):
     rows = make()
     df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], SCHEMA + ", k long")
-    hot = heat(way, df)
-    got = trailing.trailing(df, SPECS, hot=hot).orderBy("k")
+    got = trailing.trailing(df, SPECS).orderBy("k")
     got = [tuple(r) for r in got.select("n_1h", "n_10min", "mean", "std").collect()]
     assert len(got) == len(rows)
     for mine, want in zip(got, brute(rows), strict=True):
         assert all(close(a, b) for a, b in zip(mine, want, strict=True)), (mine, want)
 
 
-def test_mixed_split_found_only_the_large_client(spark):
-    df = spark.createDataFrame(make(), SCHEMA)
-    hot = skew.find_hot_keys(df, "client_id", max_rows=120)
-    assert [r[0] for r in hot.keys.collect()] == [1]
-    assert skew.find_hot_keys(df, "client_id", max_rows=1, max_keys=2).every
-
-
 def test_frame_edges_are_inclusive(spark):
     rows = [(1, 7, 0), (2, 7, 3600), (3, 7, 3600), (4, 7, 7201)]
     df = spark.createDataFrame(rows, "transaction_id long, client_id long, timestamp long")
-    for hot in (skew.none_hot("client_id"), skew.all_hot("client_id")):
-        got = {
-            r["transaction_id"]: r["velocity_1h_calc"]
-            for r in gold.velocity(df, hot=hot).collect()
-        }
-        # Exactly 3600 s apart counts, same-second rows count each other, 3601 s does not.
-        assert got == {1: 1, 2: 3, 3: 3, 4: 1}
+    got = {r["transaction_id"]: r["velocity_1h_calc"] for r in gold.velocity(df).collect()}
+    # Exactly 3600 s apart counts, same-second rows count each other, 3601 s does not.
+    assert got == {1: 1, 2: 3, 3: 3, 4: 1}
 
 
 def test_equal_amounts_have_no_spread_in_blocks(spark):
     rows = [(i, 1, i * 50, 19.99, 12, 0.0) for i in range(500)]
     df = spark.createDataFrame(rows, SCHEMA)
-    z = gold.amount_zscore(df, skew.all_hot("client_id"))
+    z = gold.amount_zscore(df)
     assert z.agg(F.max(F.abs("zscore_amount_calc"))).first()[0] < 1e-6
 
 
@@ -100,14 +79,14 @@ def test_large_values_keep_their_spread_in_blocks(spark):
     rows = [(i, 1, i, 1e9 + i % 2, 12, 0.0) for i in range(100)]
     df = spark.createDataFrame(rows, SCHEMA)
     spec = [Trailing("std", "stddev", "amount", 86400)]
-    got = trailing.trailing(df, spec, hot=skew.all_hot("client_id"))
+    got = trailing.trailing(df, spec)
     last = got.where("transaction_id = 99").first()["std"]
     assert math.isclose(last, statistics.stdev([i % 2 for i in range(100)]), rel_tol=1e-6)
 
 
 def test_single_row_has_zero_zscore(spark):
     df = spark.createDataFrame([(1, 1, 5, 9.0, 1, -4.0)], SCHEMA)
-    row = gold.compute_features(df, skew.none_hot("client_id")).first()
+    row = gold.compute_features(df).first()
     assert (row["zscore_amount_calc"], row["velocity_1h_calc"], row["night_tx_ratio"]) == (0, 1, 1)
 
 
@@ -122,7 +101,7 @@ def test_supplied_night_ratio_is_kept(spark):
     df = spark.createDataFrame([(1, 1, 5, 9.0, 1, -4.0)], SCHEMA).withColumn(
         "night_tx_ratio", F.lit(0.41)
     )
-    row = gold.compute_features(df, skew.none_hot("client_id")).first()
+    row = gold.compute_features(df).first()
     assert (row["night_tx_ratio"], row["risk_score"]) == (0.41, 0.6)
 
 
@@ -133,8 +112,7 @@ def test_ten_minutes_never_exceed_the_hour(spark, sf_dir):
     assert got.where("velocity_10min_calc > velocity_1h_calc").count() == 0
 
 
-@pytest.mark.parametrize("way", ["usual", "blocked", "mixed"])
-def test_distinct_equals_brute_force(spark, way):
+def test_distinct_equals_brute_force(spark):
     rng = random.Random(11)
     rows = [
         (i, rng.choice([1, 1, 1, None, 2]), rng.randrange(0, 400_000), rng.choice("abcde" + "-"))
@@ -144,10 +122,7 @@ def test_distinct_equals_brute_force(spark, way):
     df = spark.createDataFrame(
         rows, "transaction_id long, client_id long, timestamp long, merchant string"
     )
-    hot = heat(way, df)
-    got = trailing.trailing_distinct(
-        df, [("d_1h", "merchant", 3600), ("d_2d", "merchant", 172_800)], hot=hot
-    )
+    got = trailing.trailing_distinct(df, [("d_1h", "merchant", 3600), ("d_2d", "merchant", 172_800)])
     got = {r["transaction_id"]: (r["d_1h"], r["d_2d"]) for r in got.collect()}
     for i, c, t, _ in rows:
         want = tuple(
@@ -157,11 +132,10 @@ def test_distinct_equals_brute_force(spark, way):
         assert got[i] == want
 
 
-@pytest.mark.parametrize("way", ["usual", "blocked", "mixed"])
-def test_running_zscore_equals_brute_force(spark, way):
+def test_running_zscore_equals_brute_force(spark):
     rows = [(i, *r[1:]) for i, r in enumerate(make(300, 9))]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = trailing.running_zscore(df, hot=heat(way, df))
+    got = trailing.running_zscore(df)
     got = {r["transaction_id"]: r["zscore_running"] for r in got.collect()}
     for i, c, t, x, *_ in rows:
         past = [r[3] for r in rows if r[1] == c and (r[2], r[0]) <= (t, i) and r[3] is not None]
@@ -171,6 +145,56 @@ def test_running_zscore_equals_brute_force(spark, way):
         assert math.isclose(got[i], want, abs_tol=1e-6)
 
 
+ODD_VALUES = [float("nan"), float("inf"), float("-inf"), None]
+
+
+def odd_rows(n=240):
+    """Clients of few and of many rows, with odd amounts in some and rows without a time or client."""
+    rng = random.Random(5)
+    rows = []
+    for i in range(n):
+        amount = rng.choice(ODD_VALUES) if rng.random() < 0.06 else round(rng.uniform(1, 9), 2)
+        at = None if rng.random() < 0.05 else rng.randrange(0, 2_000_000)
+        rows.append((i, rng.choice([1, 1, 1, 1, 2, 3, None]), at, amount, 1, 0.0))
+    return rows
+
+
+def moments(values):
+    """Mean and sample deviation as SQL has them."""
+    values = [v for v in values if v is not None]
+    if all(math.isfinite(v) for v in values):
+        return (statistics.fmean(values) if values else None, statistics.stdev(values) if len(values) > 1 else None)
+    up, down = float("inf") in values, float("-inf") in values
+    nan = any(v != v for v in values) or (up and down)
+    mean = float("nan") if nan else float("inf" if up else "-inf")
+    return mean, float("nan") if len(values) > 1 else None
+
+
+def alike(a, b):
+    return (a is None) == (b is None) and (a is None or (a != a and b != b) or a == b or math.isclose(a, b, abs_tol=1e-6))
+
+
+def test_odd_values_reach_only_their_frames(spark):
+    rows = odd_rows()
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["transaction_id"]: (r["mean"], r["std"]) for r in trailing.trailing(df, SPECS[2:]).collect()}
+    for i, c, t, *_ in rows:
+        frame = [r[3] for r in rows if r[1] == c and (
+            r[2] is None if t is None else r[2] is not None and t - 7 * 86400 <= r[2] <= t)]
+        assert all(alike(a, b) for a, b in zip(got[i], moments(frame), strict=True)), (i, got[i], moments(frame))
+
+
+def test_odd_values_in_the_running_score(spark):
+    rows = [r for r in odd_rows() if r[2] is not None]
+    for block in (60, 86_400, 10**9):
+        df = spark.createDataFrame(rows, SCHEMA)
+        got = {r["transaction_id"]: r["zscore_running"] for r in trailing.running_zscore(df, block_seconds=block).collect()}
+        for i, c, t, x, *_ in rows:
+            mean, std = moments([r[3] for r in rows if r[1] == c and (r[2], r[0]) <= (t, i)])
+            want = 0.0 if x is None or mean is None or std is None else (x - mean) / (std + 1e-6)
+            assert alike(got[i], want), (block, i)
+
+
 def test_running_totals_descending(spark):
     df = spark.createDataFrame([(i, i // 3, 1) for i in range(10)], "x int, block int, n int")
     got = skew.running_totals(df, "x", "block", ["n"], descending=True)
