@@ -36,6 +36,23 @@ def promote(versions: DataFrame, name: str, run_id: str, path: str) -> DataFrame
     return versions.withColumn("stage", stage).unionByName(new)
 
 
+def promote_if_better(
+    versions: DataFrame, runs: DataFrame, name: str, run_id: str, path: str, metric: str = "auc_roc"
+) -> DataFrame:
+    """Promote ``run_id`` unless the run in production has the metric as high or higher."""
+    current = in_production(versions, name).select("run_id").first()
+    wanted = [run_id, current["run_id"]] if current else [run_id]
+    value = {
+        r["run_id"]: r["metrics"].get(metric)
+        for r in runs.where(F.col("run_id").isin(wanted)).select("run_id", "metrics").collect()
+    }
+    old = value.get(current["run_id"]) if current else None
+    new = value.get(run_id)
+    if new is None or (old is not None and old >= new):
+        return versions
+    return promote(versions, name, run_id, path)
+
+
 def in_production(versions: DataFrame, name: str) -> DataFrame:
     return versions.where((F.col("name") == name) & (F.col("stage") == PRODUCTION))
 

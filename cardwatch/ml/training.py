@@ -6,6 +6,7 @@ No row leaves the executors: the driver sees fitted models, one row of counts an
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -18,7 +19,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +34,16 @@ def available_features(df: DataFrame, wanted: Sequence[str]) -> list[str]:
 
 
 def training_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Features without nulls, label, both class weights and the split."""
+    """Features without nulls, label and the split."""
     filled = df.select("transaction_id", LABEL, *features).na.fill(0, subset=list(features))
-    weighted = profiles.with_class_weight(
-        profiles.with_class_weight(filled, alias=WEIGHT), alias=POSITIVE_WEIGHT, balanced=False
+    return sampling.stratified_split(filled)
+
+
+def weighted(train: DataFrame) -> DataFrame:
+    """Training rows with both class weights, which come from these rows alone."""
+    return profiles.with_class_weight(
+        profiles.with_class_weight(train, alias=WEIGHT), alias=POSITIVE_WEIGHT, balanced=False
     )
-    return sampling.stratified_split(weighted)
 
 
 @dataclass(frozen=True)
@@ -78,7 +83,8 @@ def candidates(n_train: int, trees: int = 100, seed: int = 42) -> list[Candidate
                 # The balanced weights sum to the number of training rows.
                 regParam=1.0 / (linear_c * max(n_train, 1)),
                 elasticNetParam=0.0,
-                standardization=True,
+                # The features are standardised before, so coefficients are on one scale.
+                standardization=False,
                 maxIter=max_iter,
             ),
             {"C": linear_c, "maxIter": max_iter},
@@ -87,8 +93,12 @@ def candidates(n_train: int, trees: int = 100, seed: int = 42) -> list[Candidate
 
 
 def fit(candidate: Candidate, train: DataFrame, features: Sequence[str]) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    return Pipeline(stages=[assembler, candidate.estimator]).fit(train)
+    """Assembler, a scaler for the linear model, estimator."""
+    linear = isinstance(candidate.estimator, LogisticRegression)
+    assembler = VectorAssembler(inputCols=list(features), outputCol="raw" if linear else "features")
+    scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True)
+    stages = [assembler, *[scaler] * linear, candidate.estimator]
+    return Pipeline(stages=stages).fit(train)
 
 
 def scored(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -128,7 +138,8 @@ def compare_models(
     features = available_features(df, features)
     table = training_table(df, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        train, test = (table.where(F.col("split") == s) for s in ("train", "test"))
+        train = weighted(table.where("split = 'train'"))
+        test = table.where("split = 'test'")
         sizes = table.agg(
             F.count_if(F.col("split") == "train").alias("train"),
             F.count_if(F.col("split") == "test").alias("test"),
@@ -171,6 +182,47 @@ def best_model(runs: DataFrame, metric: str = "auc_roc") -> DataFrame:
     return runs.orderBy(F.col("metrics")[metric].desc_nulls_last(), "seq").limit(1)
 
 
+@dataclass
+class Chosen:
+    """The best of the compared models, calibrated on its test scores."""
+
+    name: str
+    model: PipelineModel
+    threshold: float
+    scores: DataFrame
+    runs: DataFrame
+
+
+def choose(
+    df: DataFrame,
+    features: Sequence[str] = schemas.MODEL_FEATURES,
+    trees: int = 100,
+    recall: float = 0.90,
+    experiment: str = "p1-model-comparison",
+) -> Chosen:
+    """Compare, pick the best by AUC, calibrate its threshold on its test scores, and log that as one more run.
+
+    The threshold is the highest test score that reaches the recall; it is rounded down to three digits, as it
+    is saved, so that the saved one reaches the recall too.
+    """
+    spark = df.sparkSession
+    compared = compare_models(df, features, trees=trees, experiment=experiment)
+    best = best_model(compared.runs).first()
+    model = compared.models[best["run_name"]]
+    table = training_table(df, available_features(df, features))
+    scores = scored(model, table.where("split = 'test'"))
+    exact = evaluation.calibrated_threshold(scores, recall=recall).first()["threshold"]
+    threshold = 0.5 if exact is None else math.floor(exact * 1000) / 1000
+    summary = evaluation.metrics_of(evaluation.confusion_matrix(scores, threshold)).first()
+    run = (
+        uuid.uuid4().hex, experiment, f"best-{best['run_name']}", best["seq"] + 100, dt.datetime.now(),
+        {**best["params"], "threshold": str(threshold)},
+        {"auc_roc": best["metrics"]["auc_roc"], **{k: float(summary[k]) for k in ("f1", "precision", "recall")}},
+    )
+    runs = compared.runs.unionByName(spark.createDataFrame([run], schemas.RUNS))
+    return Chosen(best["run_name"], model, threshold, scores, runs)
+
+
 def latest_run(runs: DataFrame, experiment: str | None = None) -> DataFrame:
     """The identifier of the run that started last."""
     rows = runs if experiment is None else runs.where(F.col("experiment") == experiment)
@@ -178,7 +230,7 @@ def latest_run(runs: DataFrame, experiment: str | None = None) -> DataFrame:
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
-    """Importance per feature, or the size of its coefficient, highest first."""
+    """Importance per feature, or the size of its coefficient on standardised features, highest first."""
     assembler, predictor = model.stages[0], model.stages[-1]
     if hasattr(predictor, "featureImportances"):
         values = predictor.featureImportances.toArray()

@@ -141,7 +141,18 @@ def amount_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def amount_quartiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.quartiles(transactions(spark, sf_dir, labelled=False), exact=False)
+    """Whether the sketch's quartiles have ranks within one hundredth of the exact ones."""
+    tx = transactions(spark, sf_dir, labelled=False)
+    found = quality.quartiles(tx, exact=False).select(F.struct("q1", "q3")).scalar()
+
+    def near(q: str, share: float):
+        below = F.avg((F.col("amount") < found[q]).cast("double"))
+        upto = F.avg((F.col("amount") <= found[q]).cast("double"))
+        return (below <= share + 0.01) & (upto >= share - 0.01)
+
+    return tx.where(F.col("amount").isNotNull()).agg(
+        near("q1", 0.25).alias("q1_within_one_percent"), near("q3", 0.75).alias("q3_within_one_percent")
+    )
 
 
 def validate_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,6 +13,8 @@ from cardwatch.session import scratch_path
 from cardwatch.sources.tables import transactions
 
 MODEL_NAME = "p1-fraud-model"
+#: Trees of the registered fits, and the AUC that every model must exceed.
+TREES, AUC_FLOOR = 20, 0.9
 
 # Scores that need no fit, in the order in which ties are resolved.
 PLAIN_SCORES = {"v17": "-V17", "v14": "-V14", "both": "-(V14 + V17)"}
@@ -23,12 +25,13 @@ def _gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three models on the whole gold table."""
-    compared = training.compare_models(_gold(spark, sf_dir))
-    return compared.runs.select(
+    """All three models on the whole gold table: sizes of the split, and whether they pass the floor."""
+    runs = training.compare_models(_gold(spark, sf_dir), trees=TREES).runs
+    return runs.select(
         "run_name",
         "seq",
-        *[F.col("metrics")[m].alias(m) for m in ("auc_roc", "f1", "precision", "recall")],
+        *[F.col("params")[c].cast("long").alias(c) for c in ("train_size", "test_size", "n_features")],
+        (F.col("metrics")["auc_roc"] > AUC_FLOOR).alias("above_floor"),
     )
 
 
@@ -37,51 +40,111 @@ def _linear(spark: SparkSession, sf_dir: str) -> training.Comparison:
 
 
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training.feature_importance(_linear(spark, sf_dir).models["LR"], spark).limit(10)
+    """Importances of all three models, checked as a table: names, signs, and the sum for trees."""
+    models = training.compare_models(_gold(spark, sf_dir), trees=TREES).models
+    rows = None
+    for name, model in models.items():
+        own = training.feature_importance(model, spark).withColumn("run_name", F.lit(name))
+        rows = own if rows is None else rows.unionByName(own)
+    total = F.round(F.sum("importance"), 6)
+    return rows.groupBy("run_name").agg(
+        F.array_join(F.sort_array(F.collect_list("feature")), ",").alias("features"),
+        (F.min("importance") >= 0).alias("non_negative"),
+        F.when(F.col("run_name") != "LR", total).alias("total"),
+    )
 
 
 def promote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit, save, promote; then promote again, which archives the first version."""
-    compared = _linear(spark, sf_dir)
+    """The runs of the plain scores one after another; each that beats production becomes a version."""
+    runs = plain_runs(spark, sf_dir).cache()
+    versions = registry.no_versions(spark)
+    for name in PLAIN_SCORES:
+        versions = registry.promote_if_better(versions, runs, MODEL_NAME, f"run-{name}", f"plain/{name}")
+    return versions.select("name", "version", "stage", "run_id")
+
+
+def training_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, pick, calibrate, report, gate, promote, save, load and score with the saved threshold.
+
+    One row: sizes of the split, the lines of report and gate, whether the recall is reached and the saved model
+    decides as the fitted one does.
+    """
+    chosen = training.choose(_gold(spark, sf_dir), trees=TREES)
     path = scratch_path(spark, "model")
-    run = training.best_model(compared.runs).first()
-    registry.save_model(
-        compared.models[run["run_name"]], path, schemas.MODEL_FEATURES, 0.5
+    registry.save_model(chosen.model, path, schemas.MODEL_FEATURES, chosen.threshold)
+    best = training.latest_run(chosen.runs).first()["run_id"]
+    versions = registry.promote_if_better(registry.no_versions(spark), chosen.runs, MODEL_NAME, best, path)
+    live = registry.in_production(versions, MODEL_NAME).first()
+    model, _, threshold = registry.load_model(spark, live["path"])
+    table = training.training_table(_gold(spark, sf_dir), schemas.MODEL_FEATURES)
+    again = training.scored(model, table.where("split = 'test'"))
+    matrix = evaluation.confusion_matrix(again, threshold)
+    report = evaluation.classification_report(matrix)
+    gate = evaluation.kpi_gate(evaluation.score_metrics(again))
+    fitted = chosen.scores.select("transaction_id", (F.col("score") >= chosen.threshold).alias("fitted"))
+    agreed = (
+        again.join(fitted, "transaction_id")
+        .agg(F.count(F.lit(1)).alias("n_test"), F.count_if((F.col("score") >= threshold) != F.col("fitted")).alias("n_changed"))
+    )
+    reached = report.where("class = 'Fraudes'").select((F.col("recall") >= 0.9).alias("recall_reached"))
+    return agreed.select(
+        table.where("split = 'train'").agg(F.count(F.lit(1))).scalar().alias("n_train"),
+        "n_test", "n_changed",
+        reached.scalar().alias("recall_reached"),
+        report.agg(F.count(F.lit(1))).scalar().alias("n_report"),
+        gate.agg(F.array_join(F.sort_array(F.collect_list("kpi")), ",")).scalar().alias("gates"),
+        versions.agg(F.count(F.lit(1))).scalar().alias("n_versions"),
+        F.lit(live["stage"]).alias("stage"),
     )
-    versions = registry.no_versions(spark)
-    for _ in range(2):
-        versions = registry.promote(versions, MODEL_NAME, run["run_id"], path)
-    return versions.select("name", "version", "stage")
 
 
 def score_fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Requests scored by a model that was saved and loaded again."""
-    compared = _linear(spark, sf_dir)
+    """Requests scored by a model that was saved and loaded again, with the checks on every decision."""
+    chosen = _linear(spark, sf_dir)
+    test = training.training_table(_gold(spark, sf_dir), schemas.MODEL_FEATURES).where("split = 'test'")
+    tuned = evaluation.calibrated_threshold(training.scored(chosen.models["LR"], test)).first()
     path = scratch_path(spark, "model")
-    registry.save_model(compared.models["LR"], path, schemas.MODEL_FEATURES, 0.5)
+    registry.save_model(chosen.models["LR"], path, schemas.MODEL_FEATURES, tuned["threshold"])
     model, features, threshold = registry.load_model(spark, path)
-    return scoring.score_batch(
+    decided = scoring.score_batch(
         request_table(spark, sf_dir), scoring.fitted_model(model), threshold, MODEL_VERSION, features
     )
+    p = F.col("fraud_probability")
+    # The probability is rounded to four digits, the decision is not.
+    return decided.select(
+        "transaction_id",
+        p.between(0.0, 1.0).alias("in_range"),
+        ((F.col("is_fraud") == (p >= threshold)) | (F.abs(p - threshold) <= 5e-5)).alias("consistent"),
+        "model_version",
+    )
 
 
 def combined_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every transaction with its anomaly score, classifier probability and their mean."""
+    """Every transaction with its anomaly score, classifier probability and their mean, checked row by row."""
     table = _gold(spark, sf_dir).na.fill(0, subset=schemas.MODEL_FEATURES)
     forest = isolation.fit_isolation_forest(table, schemas.MODEL_FEATURES)
     model = scoring.fitted_model(_linear(spark, sf_dir).models["LR"])
-    return (
+    scores = (
         model(table)
         .select("transaction_id", "probability", forest.score().alias("anomaly_score"))
         .withColumn(
             "combined", isolation.combined_score(F.col("anomaly_score"), F.col("probability"))
         )
     )
+    a, p, both = F.col("anomaly_score"), F.col("probability"), F.col("combined")
+    return scores.select(
+        "transaction_id",
+        (a.between(0.0, 1.0) & p.between(0.0, 1.0)).alias("in_range"),
+        (F.abs(both - (a + p) / 2) < 1e-9).alias("is_mean"),
+    )
 
 
 def plain_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run table whose models are plain scores: one row per score with its AUC."""
     tx = transactions(spark, sf_dir)
+    # A run starts with the last transaction of its share of the table.
+    share = F.col("transaction_id") % len(PLAIN_SCORES)
+    begun = tx.groupBy(share.alias("seq")).agg(F.max("timestamp").alias("at"))
     table = None
     for seq, (name, score) in enumerate(PLAIN_SCORES.items()):
         scored = tx.select("is_fraud", F.expr(score).alias("score"))
@@ -90,7 +153,7 @@ def plain_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("plain-scores").alias("experiment"),
             F.lit(name).alias("run_name"),
             F.lit(seq).alias("seq"),
-            F.timestamp_seconds(F.lit(1_700_000_000 + 60 * seq)).alias("start_time"),
+            F.timestamp_seconds(begun.where(F.col("seq") == seq).select("at").scalar()).alias("start_time"),
             F.create_map(F.lit("score"), F.lit(score)).alias("params"),
             F.create_map(F.lit("auc_roc"), F.col("auc_roc")).alias("metrics"),
         )
@@ -113,6 +176,7 @@ LEARNED: dict[str, Query] = {
     "model_comparison": model_comparison,
     "feature_importance": feature_importance,
     "promote": promote,
+    "training_chain": training_chain,
     "score_fitted": score_fitted,
     "combined_score": combined_score,
 }

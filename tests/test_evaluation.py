@@ -131,3 +131,20 @@ def test_split_is_stable_and_proportional(spark):
     again = sampling.stratified_split(df.repartition(13))
     assert split.exceptAll(again).count() == 0
     assert sampling.hash_sample(df).count() == pytest.approx(4_000, rel=0.1)
+
+
+def test_close_scores_stay_apart(spark):
+    rows = [(0.50001, 1), (0.50002, 0), (0.50003, 1), (0.50004, 1)]
+    df = spark.createDataFrame(rows, "score double, is_fraud int")
+    assert evaluation.auc_roc(df).first()["auc_roc"] == pytest.approx(2 / 3)
+    frauds = spark.createDataFrame([(0.84996, 1)] * 10 + [(0.1, 0)] * 10, "score double, is_fraud int")
+    cut = evaluation.calibrated_threshold(frauds).first()["threshold"]
+    assert evaluation.confusion_matrix(frauds, cut).first()["tp"] == 10
+
+
+def test_metrics_from_one_summary_equal_the_confusion_matrix(spark):
+    rows = [((i * 37 % 101) / 50, int(i * 53 % 7 < 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "score double, is_fraud int")
+    for r in evaluation.binary_metrics(df).collect():
+        want = evaluation.metrics_of(evaluation.confusion_matrix(df, float(r["threshold"]))).first()
+        assert (r["precision"], r["recall"], r["f1"]) == (want["precision"], want["recall"], want["f1"])

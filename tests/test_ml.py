@@ -112,3 +112,41 @@ def test_isolation_forest_does_not_depend_on_partitioning(spark):
 def test_paths_of_small_samples():
     assert isolation._path_length(1) == 0 and isolation._path_length(2) == 1
     assert isolation._path_length(256) == pytest.approx(10.24, abs=0.01)
+
+
+def test_linear_importance_does_not_depend_on_scale(spark):
+    rows = [(i, int((i * 7919) % 10 < 5), float((i * 7919) % 10 < 5) + (i * 31 % 17) / 17) for i in range(600)]
+    df = spark.createDataFrame(rows, "transaction_id long, is_fraud int, a double").withColumn("b", F.col("a") * 1000)
+    model = training.compare_models(df, ["a", "b"], only=("LR",)).models["LR"]
+    small, large = (r["importance"] for r in training.feature_importance(model, spark).orderBy("feature").collect())
+    assert small == pytest.approx(large, rel=1e-3) and small > 0
+
+
+def test_class_weights_come_from_training_rows(table):
+    train = training.training_table(table, schemas.MODEL_FEATURES).where("split = 'train'")
+    weighted = training.weighted(train)
+    total, n = weighted.agg(F.sum(training.WEIGHT), F.count(F.lit(1))).first()
+    assert total == pytest.approx(n)
+
+
+def test_chosen_threshold_reaches_the_recall(table):
+    from cardwatch.operators import evaluation
+
+    chosen = training.choose(table, trees=5)
+    got = evaluation.metrics_of(evaluation.confusion_matrix(chosen.scores, chosen.threshold)).first()
+    assert got["recall"] >= 0.90
+    best = training.latest_run(chosen.runs).first()["run_id"]
+    row = chosen.runs.where(F.col("run_id") == best).first()
+    assert row["run_name"] == f"best-{chosen.name}" and float(row["params"]["threshold"]) == chosen.threshold
+
+
+def test_only_a_better_run_is_promoted(spark):
+    runs = spark.createDataFrame(
+        [(r, "e", r, i, None, {}, {"auc_roc": a}) for i, (r, a) in enumerate([("a", 0.8), ("b", 0.8), ("c", 0.9)])],
+        schemas.RUNS,
+    )
+    versions = registry.no_versions(spark)
+    for run in "abc":
+        versions = registry.promote_if_better(versions, runs, "m", run, f"/{run}")
+    assert [(r["run_id"], r["stage"]) for r in versions.orderBy("version").collect()] == [
+        ("a", "Archived"), ("c", "Production")]

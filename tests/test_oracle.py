@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as contract
 from tests.compare import connect, differences
 
-SLOW = {"model_comparison"}
+SLOW = set()
 QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
