@@ -11,6 +11,9 @@ from cardwatch.operators.skew import equal_on
 DAY = 86_400
 
 
+HINTED_ROWS = 100_000
+
+
 def merchant_table(
     spark: SparkSession, rows: list[tuple[str, str, float]]
 ) -> DataFrame:
@@ -19,7 +22,9 @@ def merchant_table(
 
 
 def enrich_merchants(df: DataFrame, merchants: DataFrame, hint: bool = False) -> DataFrame:
-    """Left join on the merchant category, with a broadcast hint for an inline dimension."""
+    """Left join on the merchant category; the hint holds for at most ``HINTED_ROWS`` counted merchants."""
+    if hint and merchants.limit(HINTED_ROWS + 1).count() > HINTED_ROWS:
+        hint = False
     side = F.broadcast(merchants) if hint else merchants
     return df.join(side, "merchant_category", "left")
 

@@ -93,7 +93,7 @@ def silver_clean(
 ) -> DataFrame:
     """Clean bronze rows: complete, finite components, normalised country, one row per id.
 
-    Of several deliveries of one id the earliest by timestamp stays; the choice is an
+    Of several deliveries of one id the earliest by timestamp stays, one without a time last; the choice is an
     aggregate, so copies of an id collapse before the shuffle.
     """
     components = [c for c in raw.columns if c[0] == "V" and c[1:].isdigit()]
@@ -103,7 +103,8 @@ def silver_clean(
         complete = complete.where(x.isNull() | (F.abs(x) < float("inf")))
     tidy = complete.withColumn("country", F.upper(F.trim("country")))
     rest = [c for c in tidy.columns if c not in (id_column, "timestamp")]
-    first = F.min(F.struct("timestamp", *rest)).alias("first")
+    # A row without a time yields to any that has one.
+    first = F.min(F.struct(F.isnull("timestamp").alias("_late"), "timestamp", *rest)).alias("first")
     return tidy.groupBy(id_column).agg(first).select(id_column, "first.*").select(*tidy.columns)
 
 

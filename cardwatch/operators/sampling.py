@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 10_000
+#: Fine enough for samples down to a billionth.
+BUCKETS = 1_000_000_000
 
 
 def id_bucket(id_column: str = "transaction_id", seed: int = 42) -> Column:
-    """A bucket from 0 to 9999 by MD5, the same in every engine and for every partitioning."""
+    """A bucket from 0 to ``BUCKETS`` - 1 by MD5, the same in every engine and for every partitioning."""
     text = F.concat_ws(":", F.lit(str(seed)), F.col(id_column).cast("string"))
     head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
     return head % BUCKETS

@@ -214,7 +214,7 @@ FEATURES = (
     "avg_amount_7d_calc zscore_amount_calc risk_score"
 ).split()
 
-_BUCKET = "(('0x' || substr(md5('{seed}:' || transaction_id), 1, 8))::BIGINT % 10000)"
+_BUCKET = "(('0x' || substr(md5('{seed}:' || transaction_id), 1, 8))::BIGINT % 1000000000)"
 
 _VARIANCES = "\n  UNION ALL ".join(
     f"SELECT '{c}' AS feature, var_pop({c}::DOUBLE) AS variance FROM gold" for c in FEATURES
@@ -360,10 +360,10 @@ SELECT transaction_id, amount, velocity_1h, round(V14, 6) AS V14, merchant_categ
 FROM requests""",
     "hash_sample": TX
     + f"""
-SELECT transaction_id, is_fraud FROM tx WHERE {_BUCKET.format(seed=42)} < 2000""",
+SELECT transaction_id, is_fraud FROM tx WHERE {_BUCKET.format(seed=42)} < 200000000""",
     "stratified_split_counts": TX
     + f"""
-SELECT is_fraud, CASE WHEN {_BUCKET.format(seed=43)} < 8000 THEN 'train' ELSE 'test' END
+SELECT is_fraud, CASE WHEN {_BUCKET.format(seed=43)} < 800000000 THEN 'train' ELSE 'test' END
          AS split, count(*) AS n
 FROM tx GROUP BY 1, 2""",
     "silver_clean": TX
@@ -632,7 +632,7 @@ FROM better"""
 )
 _SPLIT = TX + f"""
 , split AS (
-  SELECT count(*) FILTER (b < 8000) AS n_train, count(*) FILTER (b >= 8000) AS n_test
+  SELECT count(*) FILTER (b < 800000000) AS n_train, count(*) FILTER (b >= 800000000) AS n_test
   FROM (SELECT {_BUCKET.format(seed=43)} AS b FROM tx)
 )"""
 LEARNED["model_comparison"] = (

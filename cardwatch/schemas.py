@@ -41,19 +41,6 @@ REQUEST = _struct(
     merchant_category=_STRING,
 )
 
-#: A scored transaction.
-DECISION = _struct(
-    transaction_id=_STRING,
-    is_fraud=_BOOL,
-    fraud_probability=_DOUBLE,
-    risk_level=_STRING,
-    model_version=_STRING,
-    latency_ms=_DOUBLE,
-)
-
-#: An operator's correction of a label. ``version`` orders repeated corrections.
-FEEDBACK = _struct(transaction_id=_LONG, true_label=_BOOL, operator_id=_STRING, version=_LONG)
-
 MERCHANTS = _struct(merchant_category=_STRING, sector=_STRING, base_fraud_rate=_DOUBLE)
 
 RUNS = _struct(

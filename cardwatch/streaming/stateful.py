@@ -14,6 +14,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cardwatch.functions.moments import EPSILON
@@ -30,7 +31,9 @@ def trailing_velocity(
 ) -> DataFrame:
     """Per row the number of the client's transactions in the trailing frame, itself included.
 
-    The state holds a count per second over one frame and the lateness, not the rows.
+    As in the batch operator, only transactions with an id are counted. A row without a time has no frame
+    on a stream: it is passed on with a null. The state holds a count per second over one frame and the
+    lateness, not the rows.
     """
 
     def count(
@@ -40,16 +43,20 @@ def trailing_velocity(
             state.remove()
             return
         rows = _collect(parts, ["timestamp", "transaction_id"])
-        old_at, old_n = state.get if state.exists else ([], [])
-        at = np.concatenate([np.asarray(old_at, np.int64), rows["timestamp"].to_numpy(np.int64)])
-        n = np.concatenate([np.asarray(old_n, np.int64), np.ones(len(rows), np.int64)])
-        at, place = np.unique(at, return_inverse=True)
-        total = np.concatenate([[0], np.cumsum(np.bincount(place, weights=n).astype(np.int64))])
-        t = rows["timestamp"].to_numpy(np.int64)
-        inside = total[np.searchsorted(at, t, "right")] - total[np.searchsorted(at, t - seconds)]
-        keep = at >= at[-1] - seconds - late
-        state.update((at[keep].tolist(), np.diff(total)[keep].tolist()))
-        _expire(state, int(at[-1]) + seconds + late)
+        timed = rows["timestamp"].notna().to_numpy()
+        t = rows["timestamp"].to_numpy(float, na_value=np.nan)[timed].astype(np.int64)
+        inside = pd.array([pd.NA] * len(rows), dtype="Int64")
+        if len(t):
+            old_at, old_n = state.get if state.exists else ([], [])
+            known = rows["transaction_id"].notna().to_numpy()[timed].astype(np.int64)
+            at = np.concatenate([np.asarray(old_at, np.int64), t])
+            n = np.concatenate([np.asarray(old_n, np.int64), known])
+            at, place = np.unique(at, return_inverse=True)
+            total = np.concatenate([[0], np.cumsum(np.bincount(place, weights=n).astype(np.int64))])
+            inside[timed] = total[np.searchsorted(at, t, "right")] - total[np.searchsorted(at, t - seconds)]
+            keep = at >= at[-1] - seconds - late
+            state.update((at[keep].tolist(), np.diff(total)[keep].tolist()))
+            _expire(state, int(at[-1]) + seconds + late)
         yield rows[["transaction_id", "timestamp"]].assign(client_id=key[0], **{alias: inside})[
             ["transaction_id", "client_id", "timestamp", alias]
         ]
@@ -70,33 +77,54 @@ def _expire(state: GroupState, second: int) -> None:
 
 
 def running_zscore(tx: DataFrame, alias: str = "zscore_running") -> DataFrame:
-    """Per row the z-score of the amount against all of the client's amounts so far."""
+    """Per row the z-score of the amount against all of the client's amounts so far.
+
+    Nulls are skipped; NaN and infinities count from their row on, as in the batch operator. A score that is NaN
+    there is null here, as rows come back through pandas, which has one value for both.
+    """
 
     def score(
         key: tuple[Any, ...], parts: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
         rows = _collect(parts, ["timestamp", "transaction_id"])
-        n, mean, m2 = state.get if state.exists else (0, 0.0, 0.0)
-        out = np.zeros(len(rows))
-        for i, x in enumerate(rows["amount"].to_numpy(float)):
-            if np.isnan(x):
-                continue
-            n += 1
-            delta = x - mean
-            mean += delta / n
-            m2 += delta * (x - mean)
-            if n > 1:
-                out[i] = (x - mean) / (np.sqrt(m2 / (n - 1)) + EPSILON)
-        state.update((n, float(mean), float(m2)))
+        n0, mean0, m20, odd0 = state.get if state.exists else (0, 0.0, 0.0, [0, 0, 0])
+        x = rows["amount"].to_numpy(float, na_value=np.nan)
+        given = rows["amount_given"].to_numpy(bool)
+        finite = np.isfinite(x)
+        # Sums of deviations from the mean so far, or from the first value, continue the merged state.
+        centre = mean0 if n0 or not finite.any() else float(x[finite][0])
+        d = np.where(finite, x - centre, 0.0)
+        n = n0 + np.cumsum(finite)
+        s1 = n0 * (mean0 - centre) + np.cumsum(d)
+        s2 = m20 + n0 * (mean0 - centre) ** 2 + np.cumsum(d * d)
+        kinds = (np.isnan(x) & given, x == np.inf, x == -np.inf)
+        nan, up, down = (o + np.cumsum(k) for o, k in zip(odd0, kinds))
+        odd = nan + up + down
+        with np.errstate(all="ignore"):
+            mean = centre + s1 / n
+            spread = np.sqrt(np.maximum(s2 - s1 * s1 / n, 0.0) / (n - 1))
+            mean = np.select(
+                [(nan > 0) | ((up > 0) & (down > 0)), up > 0, down > 0], [np.nan, np.inf, -np.inf], mean
+            )
+            spread = np.where(odd > 0, np.nan, spread)
+            score = (x - mean) / (spread + EPSILON)
+        out = np.where(given & (n + odd > 1), score, 0.0)
+        if len(n):
+            last = (int(n[-1]), float(centre + s1[-1] / n[-1]) if n[-1] else 0.0,
+                    float(max(s2[-1] - s1[-1] ** 2 / n[-1], 0.0)) if n[-1] else 0.0)
+            state.update((*last, [int(nan[-1]), int(up[-1]), int(down[-1])]))
         yield rows[["transaction_id"]].assign(client_id=key[0], **{alias: out})[
             ["transaction_id", "client_id", alias]
         ]
 
-    narrow = tx.select("client_id", "transaction_id", "timestamp", "amount")
+    # Pandas has one value for null and NaN, so the difference travels beside it.
+    narrow = tx.select(
+        "client_id", "transaction_id", "timestamp", "amount", F.isnotnull("amount").alias("amount_given")
+    )
     return narrow.groupBy("client_id").applyInPandasWithState(
         score,
         f"transaction_id bigint, client_id bigint, {alias} double",
-        "n bigint, mean double, m2 double",
+        "n bigint, mean double, m2 double, odd array<bigint>",
         "append",
         GroupStateTimeout.NoTimeout,
     )
@@ -117,6 +145,9 @@ def reuse_results(
             state.remove()
             return
         rows = _collect(parts, ["timestamp", *(c for c in columns if c != "timestamp")])
+        rows = rows[rows["timestamp"].notna()]  # without a time nothing can be reused or kept
+        if not len(rows):
+            return
         t = rows["timestamp"].to_numpy(np.int64)
         last = state.get[0] if state.exists else None
         i, kept = 0 if last is None else int(np.searchsorted(t, last + lifetime)), []

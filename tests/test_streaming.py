@@ -49,7 +49,7 @@ def test_sliding_velocity(spark, stream, batch):
 
 
 def test_append_mode_gives_closed_windows_once(spark, stream, batch):
-    got = spark.read.parquet(io.run_append(windows.tumbling_merchants(stream), "m"))
+    got = spark.read.parquet(io.run_append(windows.tumbling_merchants(stream, closed_only=True), "m"))
     limit = batch.agg(F.max("timestamp")).first()[0] - 600
     want = windows.tumbling_merchants(batch).where(F.col("window_end") <= limit)
     assert want.count() > 0 and same(got, want)
@@ -139,3 +139,44 @@ def test_late_row_is_left_out(spark, tmp_path):
     # The second row of noon came when the watermark had passed 13:00.
     velocities = [r["velocity"] for r in got.orderBy("window_start").collect()]
     assert velocities == [1, 2]
+
+
+def _odd_events(spark, path):
+    """Two files in which some rows lack the time or hold amounts that are no usual numbers."""
+    odd = {3: float("nan"), 11: float("inf"), 17: None, 23: float("-inf")}
+    base = 1_700_000_000
+    for part in range(2):
+        rows = []
+        for i in range(part * 15, part * 15 + 15):
+            at = None if i in (5, 20) else F.timestamp_seconds(F.lit(base + 60 * i))
+            rows.append((i, at, i % 2, odd.get(i, float(i))))
+        df = None
+        for i, at, client, amount in rows:
+            row = spark.range(1).select(
+                F.lit(i).cast("long").alias("transaction_id"), F.lit(client).cast("long").alias("client_id"),
+                (F.lit(None) if at is None else F.lit(base + 60 * i)).cast("long").alias("timestamp"),
+                F.lit(amount).cast("double").alias("amount"),
+            )
+            df = row if df is None else df.union(row)
+        df.coalesce(1).write.parquet(f"{path}/part{part}")
+    return f"{path}/part*"
+
+
+def test_odd_rows_on_a_stream(spark, tmp_path):
+    schema = "transaction_id long, client_id long, timestamp long, amount double"
+    folder = _odd_events(spark, str(tmp_path))
+    batch = spark.read.schema(schema).parquet(folder)
+    stream = io.file_stream(spark, folder, batch.schema, 1)
+    stream = stream.withColumn("at", F.timestamp_seconds("timestamp")).withWatermark("at", "10 minutes")
+    got = spark.read.parquet(io.run_append(stateful.trailing_velocity(stream), "t"))
+    timed = batch.where("timestamp IS NOT NULL")
+    assert same(got.where("timestamp IS NOT NULL"), gold.velocity(timed).select(*got.columns))
+    assert {r[0] for r in got.where("velocity_1h_calc IS NULL").select("transaction_id").collect()} == {5, 20}
+    timed_stream = stream.where("timestamp IS NOT NULL")
+    scored = spark.read.parquet(io.run_append(stateful.running_zscore(timed_stream), "z"))
+    want = {r["transaction_id"]: r["zscore_running"] for r in trailing.running_zscore(timed).collect()}
+    for r in scored.collect():
+        w = want[r["transaction_id"]]
+        assert (w != w and r["zscore_running"] is None) or abs(w - r["zscore_running"]) < 1e-6
+    kept = io.read_output(spark, io.run_append(stateful.reuse_results(stream, ["client_id"]), "r"), stateful.reuse_results(stream, ["client_id"]))
+    assert kept.where("timestamp IS NULL").count() == 0 and kept.count() == 2
