@@ -614,9 +614,9 @@ LEARNED["latest_run"] = (
     + _AREAS
     + """
 , begun AS (
-  SELECT transaction_id % 3 AS seq, max("timestamp") AS at FROM tx GROUP BY 1
+  SELECT transaction_id % 3 AS seq, max("timestamp") AS last_seen FROM tx GROUP BY 1
 )
-SELECT 'run-' || name AS run_id FROM areas JOIN begun USING (seq) ORDER BY at DESC, seq DESC LIMIT 1"""
+SELECT 'run-' || name AS run_id FROM areas JOIN begun USING (seq) ORDER BY last_seen DESC, seq DESC LIMIT 1"""
 )
 LEARNED["promote"] = (
     TX
