@@ -170,9 +170,9 @@ def limits(histogram: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     )
 
 
-def judge(measured: DataFrame, min_group: int = MIN_GROUP, name: str = "limits") -> DataFrame:
-    """A written table of measured rows with ``__failed`` (base rules) and ``__kept``."""
-    found = saved(limits(sketches(measured), min_group), name)
+def judge(measured: DataFrame, counted: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    """Measured rows with ``__failed`` (base rules) and ``__kept``, by the limits of the ``counted`` rows."""
+    found = saved(limits(sketches(counted), min_group), "limits")
     side = small_or_shuffled(
         found.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), "__limits"),
         BROADCAST_ROWS,
@@ -204,8 +204,8 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     groups of their own. Repeated rows are judged each, ties in a sketch share a bucket, and an empty
     table gives no rows. Columns other than doc_id, text, lang and source are ignored.
     """
-    measured = measure(docs.select("doc_id", "text", "lang", "source")).drop("text")
-    judged = judge(saved(measured, "measured"), min_group)
+    counted = saved(measure(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measured")
+    judged = judge(counted, counted, min_group)
     return judged.select(
         "doc_id",
         *[F.col("__rules")[c].alias(c) for c in
@@ -218,8 +218,8 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
 def accepted(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with all their columns.
 
-    The measured rows are written once with their text: the limits need all rows before the first one can
-    be judged, and counting words twice costs more than one more copy.
+    The limits need all rows before the first one can be judged. Texts are measured a second time then, which
+    leaves no copy of them behind and moves none.
     """
-    judged = judge(saved(measure(docs), "measured"), min_group)
-    return judged.where("__kept").select(*docs.columns)
+    counted = saved(measure(docs.select("text", "lang", "source")).drop("text"), "measured")
+    return judge(measure(docs), counted, min_group).where("__kept").select(*docs.columns)
