@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm import trie, wordhash
-from cardwatch.llm.common import saved, shuffle_width
+from cardwatch.llm.common import saved, shuffle_width, small_or_shuffled
 from cardwatch.llm.components import components
 
 WIDTH = 5
 PERCENT = 80
 #: Tokens of a group, or of a block of it, that one task holds at a time.
 GROUP_TOKENS = 4_000_000
+#: Ids of rows to drop that are broadcast at most; more are joined by a shuffle.
+BROADCAST_IDS = 2_000_000
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -298,7 +300,9 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     component, one stays; rows with a null doc_id stay as they are.
     """
     found = saved(near_duplicates(docs.select("doc_id", "text"), width, percent), "components")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
+    gone = small_or_shuffled(
+        found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")), BROADCAST_IDS
+    )
     # An id stays with some rows and goes with others only if it repeats; such rows are told by their set.
     repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     odd = saved(repeated.select(F.col("doc_id").alias("__odd")), "repeated")
