@@ -16,7 +16,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the shared folder and read it back: lineage ends here, losses do not hurt."""
     path = scratch_path(df.sparkSession, f"llm/{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.cardwatch_path = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Remove a table that ``saved`` wrote and that nothing will read again."""
+    path = getattr(written, "cardwatch_path", None)
+    if path:
+        spark = written.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def small_or_shuffled(side: DataFrame, rows: int) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import saved
+from cardwatch.llm.common import discard, saved
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -52,8 +52,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     )
     before = _state(at)
     while before[0]:
-        at = saved(_small_star(_large_star(at)), "edges")
+        old, at = at, saved(_small_star(_large_star(at)), "edges")
         after = _state(at)
+        discard(old)
         if after == before:
             break
         before = after

@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm import trie, wordhash
-from cardwatch.llm.common import saved, shuffle_width, small_or_shuffled
+from cardwatch.llm.common import discard, saved, shuffle_width, small_or_shuffled
 from cardwatch.llm.components import components
 
 WIDTH = 5
 PERCENT = 80
 #: Tokens of a group, or of a block of it, that one task holds at a time.
 GROUP_TOKENS = 4_000_000
+#: Tokens of a bucket, about; a task works off its buckets one by one.
+BUCKET_TOKENS = 4_000_000
 #: Ids of rows to drop that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -214,17 +216,20 @@ def _walk(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
                 )
 
 
-def candidate_sets(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+def candidate_sets(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, buckets: int | None = None
+) -> DataFrame:
     """Classes that may have a partner, in the global order: (print, size, n_kept, tokens, prefix)."""
-    buckets = shuffle_width(docs)
+    tasks = shuffle_width(docs)
+    buckets = buckets or tasks
     dealt = docs.select("text").mapInArrow(partial(_deal, width=width, buckets=buckets), _BLOBS)
     repeated = (
-        dealt.repartition(buckets, "bucket")
+        dealt.repartition(tasks, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(partial(_count_bucket, homes=buckets), _BLOBS + ", orders binary")
     )
     return (
-        repeated.repartition(buckets, "bucket")
+        repeated.repartition(tasks, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(partial(_candidates, percent=percent), _CANDIDATE)
     )
@@ -255,7 +260,9 @@ def link_components(sets: DataFrame, percent: int = PERCENT, group_tokens: int =
         .sortWithinPartitions("root", "i", "j")
         .mapInArrow(partial(_walk, percent=percent), "a long, b long")
     )
-    return components(links)
+    found = components(links)
+    discard(placed)
+    return found
 
 
 def near_duplicates(
@@ -269,9 +276,11 @@ def near_duplicates(
     empty table gives no rows. Columns other than doc_id and text are ignored.
     """
     described = saved(shingle_table(docs, width), "shingles")
-    roots = link_components(
-        saved(candidate_sets(docs, width, percent), "sets"), percent, group_tokens
-    )
+    tokens = described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
+    buckets = max(shuffle_width(docs), -(-tokens // BUCKET_TOKENS))
+    sets = saved(candidate_sets(docs, width, percent, buckets), "sets")
+    roots = link_components(sets, percent, group_tokens)
+    discard(sets)
     classes = (
         described.where("n_shingles > 0")
         .groupBy("print", "n_shingles")
