@@ -25,7 +25,7 @@ from cardwatch.llm.common import saved, small_or_shuffled
 LENGTH = 4096
 END_ID = 2
 #: Words whose ids a worker remembers, in either of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: More tasks than this take their offsets by a shuffle join instead of a broadcast.
 BROADCAST_TASKS = 100_000
 

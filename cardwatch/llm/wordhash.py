@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are worked off in pieces of about so many bytes; one text is never cut.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
