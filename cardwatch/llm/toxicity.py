@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm import language_id, wordhash
-from cardwatch.llm.common import saved
+from cardwatch.llm.common import saved, small_or_shuffled
 
 BITS = 18
 FACTORS = 4
@@ -173,8 +173,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     for value in (0, 1):
         share = F.when(F.col("toxic") == value, min(1.0, sample_rows / 2 / max(n.get(value, 0), 1))).otherwise(share)
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (share * (1 << 20)).cast("long"))
+    # Twice the expected number at most is broadcast, so that no text moves but those of the sample.
+    chosen = small_or_shuffled(saved(chosen, "toxic-ids"), 2 * sample_rows)
     rows = saved(
-        docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
+        docs.select("doc_id", "text").join(chosen, "doc_id")
+        # One text for an id, however many rows repeat it.
+        .groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("one")).select("one.*")
         .mapInArrow(_features, "slots binary, counts binary, toxic int"),
         "toxic-sample",
     ).toArrow()
