@@ -108,6 +108,9 @@ def tokenise(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
                 ],
                 names=["doc_id", "task", "place", "n", "ids"],
             )
+        # Workers outlive a task: keep the words of late, give back the rest.
+        words.old = {}
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, task int, place long, n long, ids binary"
