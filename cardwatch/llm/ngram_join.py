@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cardwatch.llm import trie, wordhash
 from cardwatch.llm.common import discard, saved, shuffle_width, small_or_shuffled
@@ -265,16 +266,8 @@ def link_components(sets: DataFrame, percent: int = PERCENT, group_tokens: int =
     return found
 
 
-def near_duplicates(
-    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, group_tokens: int = GROUP_TOKENS
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (least doc_id reachable by links).
-
-    Words are lower-cased in A-Z. A null or empty text, or one without words, has no shingle and is linked
-    with nothing: its component_id is its doc_id. Equal sets are linked. Rows that repeat a doc_id are
-    rows of their own; a null doc_id joins no minimum, so a component of such rows alone has a null id. An
-    empty table gives no rows. Columns other than doc_id and text are ignored.
-    """
+def _resolved(docs: DataFrame, width: int, percent: int, group_tokens: int) -> DataFrame:
+    """(doc_id, n_shingles, print, root, component_id) per row; a row without shingles has no root."""
     described = saved(shingle_table(docs, width), "shingles")
     tokens = described.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
     buckets = max(shuffle_width(docs), -(-tokens // BUCKET_TOKENS))
@@ -291,52 +284,85 @@ def near_duplicates(
     # A component's least id comes by an aggregate and an equality join: a component may be any size.
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "root").select(
-        F.col("print").alias("p"), F.col("n_shingles").alias("s"), "component_id"
+        F.col("print").alias("p"), F.col("n_shingles").alias("s"), "root", "component_id"
     )
     return described.join(
         named, (F.col("print") == F.col("p")) & (F.col("n_shingles") == F.col("s")), "left"
     ).select(
         "doc_id",
         "n_shingles",
+        "print",
+        "root",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def near_duplicates(
+    docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, group_tokens: int = GROUP_TOKENS
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (least doc_id reachable by links).
+
+    Words are lower-cased in A-Z. A null or empty text, or one without words, has no shingle and is linked
+    with nothing: its component_id is its doc_id. Equal sets are linked. Rows that repeat a doc_id are
+    rows of their own; a null doc_id joins no minimum, so a component of such rows alone has a null id. An
+    empty table gives no rows. Columns other than doc_id and text are ignored.
+    """
+    return _resolved(docs, width, percent, group_tokens).select("doc_id", "n_shingles", "component_id")
+
+
 def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component, that of the least doc_id; all columns stay.
 
-    Texts without words are no duplicates and all stay. Of rows that repeat both the doc_id and the
-    component, one stays; rows with a null doc_id stay as they are.
+    Texts without words are no duplicates and all stay. A null doc_id comes after all others. Of several rows
+    of a component that have its least doc_id, or of one that has null ids alone, the row with the least set
+    stays, and of equal sets the least row by text and the other columns, in whatever order the rows came.
     """
-    found = saved(near_duplicates(docs.select("doc_id", "text"), width, percent), "components")
+    found = saved(_resolved(docs.select("doc_id", "text"), width, percent, GROUP_TOKENS), "components")
     gone = small_or_shuffled(
         found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")), BROADCAST_IDS
     )
     # An id stays with some rows and goes with others only if it repeats; such rows are told by their set.
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 OR doc_id IS NULL")
     odd = saved(repeated.select(F.col("doc_id").alias("__odd")), "repeated")
     if odd.isEmpty():
         return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    single = docs.join(odd, F.col("doc_id") == F.col("__odd"), "left_anti").join(
+    odd = small_or_shuffled(odd, BROADCAST_IDS)
+    single = docs.where("doc_id IS NOT NULL").join(odd, F.col("doc_id") == F.col("__odd"), "left_anti").join(
         gone, F.col("doc_id") == F.col("__gone"), "left_anti"
     )
     return single.unionByName(_of_repeated_ids(docs, odd, found, width))
 
 
+def _with_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The rows as they are, with size and print of their sets behind."""
+    for batch, lo, hi, w in _texts(batches):
+        sets = list(wordhash.shingle_sets(w, width))
+        yield pa.RecordBatch.from_arrays(
+            [*batch.slice(lo, hi - lo).columns, pa.array([len(s) for s in sets], pa.int64()),
+             pa.array([wordhash.set_hash(s) if len(s) else 0 for s in sets], pa.int64())],
+            names=[*batch.schema.names, "__size", "__print"],
+        )
+
+
 def _of_repeated_ids(docs: DataFrame, odd: DataFrame, found: DataFrame, width: int) -> DataFrame:
-    """Rows whose doc_id repeats: one row for each set that keeps its place in its component."""
-    rows = docs.join(odd, F.col("doc_id") == F.col("__odd"), "left_semi")
+    """Rows whose doc_id repeats or is null: those without words, and one for each component that such a row stands for."""
     columns = docs.columns
-    keyed = rows.withColumn("__set", F.xxhash64(F.coalesce("text", F.lit(""))))
+    rows = docs.join(odd, F.col("doc_id").eqNullSafe(F.col("__odd")), "left_semi")
+    worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "n_shingles")).alias("first")
     stays = (
-        found.join(odd, F.col("doc_id") == F.col("__odd"), "left_semi")
-        .where("doc_id = component_id")
-        .select(F.col("doc_id").alias("__id"), "n_shingles")
-        .distinct()
+        found.where("n_shingles > 0").groupBy("root").agg(first)
+        .select(F.col("root").alias("__root"), F.col("first.doc_id").alias("__id"), F.col("first.print").alias("__p"),
+                F.col("first.n_shingles").alias("__s"))
+        .join(odd, F.col("__id").eqNullSafe(F.col("__odd")), "left_semi")
     )
-    empty = keyed.where(~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select(*columns)
-    full = keyed.where(F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]"))
-    kept = full.join(
-        stays.where("n_shingles > 0").select("__id").distinct(), F.col("doc_id") == F.col("__id"), "left_semi"
+    sized = StructType([*docs.schema.fields, StructField("__size", LongType()), StructField("__print", LongType())])
+    kept = (
+        rows.where(worded).mapInArrow(partial(_with_sets, width=width), sized)
+        .join(
+            small_or_shuffled(stays, BROADCAST_IDS),
+            F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__p")) & (F.col("__size") == F.col("__s")),
+        )
+        .groupBy("__root").agg(F.min(F.struct("text", *[c for c in columns if c != "text"])).alias("one"))
     )
-    return kept.dropDuplicates(["doc_id"]).select(*columns).unionByName(empty)
+    return kept.select("one.*").select(*columns).unionByName(rows.where(~worded))

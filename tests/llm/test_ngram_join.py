@@ -67,6 +67,27 @@ def test_one_of_each(spark):
     ]
 
 
+def test_rows_that_share_an_id_are_judged_by_their_sets(spark):
+    a, b = ([f"{x}{i}" for i in range(40)] for x in "ab")
+    a, b, a_near, b_near = (" ".join(w) for w in (a, b, ["z", *a], ["z", *b]))
+    cases = [
+        ([(5, a), (5, b)], {(5, a), (5, b)}),
+        ([(3, a_near), (5, a), (5, b), (9, b_near)], {(3, a_near), (5, b)}),
+        ([(None, a), (None, a), (None, a_near), (None, b), (7, b_near)], {(7, b_near)}),
+        ([(None, None), (None, ""), (5, ""), (5, ""), (5, a), (5, a.upper())], {(5, a.upper())}),
+    ]
+    for rows, expected in cases:
+        seen = []
+        for order in (rows, rows[::-1]):
+            kept = ngram_join.one_of_each(spark.createDataFrame(order, SCHEMA).repartition(3)).collect()
+            full = [(r.doc_id, r.text) for r in kept if r.text]
+            assert len(kept) - len(full) == sum(not t for _, t in rows)
+            assert len(full) == len(set(full))
+            seen.append(set(full))
+        assert seen[0] == seen[1] and expected <= seen[0]
+        assert len(seen[0]) == len(expected) + (rows[0] == (None, a))
+
+
 def test_small_table_equals_brute_force(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
