@@ -6,8 +6,8 @@ Terms are words and their prefixes of four to six letters, hashed into a table o
     b + sum(w x) + (|sum(v x)|**2 - sum(|v x|**2)) / 2
 
 so pairs of terms, such as an insult and whom it is aimed at, count beyond what each counts by itself. The fit reads a
-bounded sample of labelled rows, keeps the terms that toxic ones hold clearly more often (others would only be learned
-by heart) and runs AdaGrad on them. Whole texts are scored in numpy, a piece of texts at a time.
+bounded sample of labelled rows, keeps the terms that tell the classes apart, in either direction, by themselves or
+beside another term (others would only be learned by heart), and runs AdaGrad on them. Whole texts are scored in numpy, a piece of texts at a time.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ PREFIXES = (4, 5, 6)
 #: Labelled rows that the fit reads, in expectation, half of them toxic where there are enough.
 SAMPLE_ROWS = 6_000
 THRESHOLD = 0.7
-#: A term is kept if its share of toxic rows lies so many standard errors above that of others, in so many rows.
+#: A term is kept if its shares of toxic and of other rows lie so many standard errors apart, in so many rows.
 MIN_Z = 4.0
 MIN_ROWS = 5
+#: So many standard errors for both terms of a pair; pairs are counted in blocks of so many terms.
+PAIR_Z = 5.0
+PAIR_BLOCK = 1024
 EPOCHS = 30
 BATCH = 128
 RATE = 0.1
@@ -107,14 +110,59 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _telling(slots: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Slots that toxic rows hold clearly more often than others."""
+    """Slots that one class holds clearly more often than the other, and those of pairs that tell beyond their terms."""
     size, toxic = 1 << BITS, labels == 1
     with_1 = sum((np.bincount(s, minlength=size) for s, t in zip(slots, toxic) if t), np.zeros(size))
     with_0 = sum((np.bincount(s, minlength=size) for s, t in zip(slots, toxic) if not t), np.zeros(size))
     n1, n0 = toxic.sum(), (~toxic).sum()
     share = (with_1 + with_0) / (n1 + n0)
     error = np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
-    return np.flatnonzero(((with_1 / n1 - with_0 / n0) / error >= MIN_Z) & (with_1 + with_0 >= MIN_ROWS))
+    alone = (np.abs(with_1 / n1 - with_0 / n0) / error >= MIN_Z) & (with_1 + with_0 >= MIN_ROWS)
+    return np.union1d(np.flatnonzero(alone), _telling_pairs(slots, toxic, with_1, with_0))
+
+
+def _telling_pairs(slots: list[np.ndarray], toxic: np.ndarray, with_1: np.ndarray, with_0: np.ndarray) -> np.ndarray:
+    """Slots of pairs in which each term, among the rows with the other, shifts the share of toxic ones clearly.
+
+    In ``n`` rows a difference is at most ``sqrt(n)`` standard errors, so no pair of rarer terms could pass.
+    """
+    often = np.flatnonzero((with_1 + with_0 >= PAIR_Z**2) & (with_1 > 0) & (with_0 > 0))
+    place = np.full(1 << BITS, -1)
+    place[often] = np.arange(len(often))
+    rows = np.argsort(~toxic, kind="stable")
+    n1 = int(toxic.sum())
+    term = place[np.concatenate([slots[i] for i in rows])]
+    row = np.repeat(np.arange(len(rows)), [len(slots[i]) for i in rows])[term >= 0]
+    term = term[term >= 0]
+    order = np.argsort(term, kind="stable")
+    term, row = term[order], row[order]
+    starts = list(range(0, len(often), PAIR_BLOCK))
+
+    def dense(lo: int) -> np.ndarray:
+        a, z = np.searchsorted(term, (lo, lo + PAIR_BLOCK))
+        block = np.zeros((len(rows), min(PAIR_BLOCK, len(often) - lo)), np.float32)
+        block[row[a:z], term[a:z] - lo] = 1
+        return block
+
+    def shift(k1: np.ndarray, k0: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> np.ndarray:
+        """Standard errors between the shares of k1 in n1 and of k0 in n0 rows."""
+        k, n = k1 + k0, n1 + n0
+        return np.abs(k1 * n0 - k0 * n1) / np.sqrt(np.maximum(k * (n - k) * (n1 * n0 / n), 1e-6))
+
+    found = np.zeros(len(often), bool)
+    w1, w0 = with_1[often], with_0[often]
+    for i in starts:
+        x = dense(i)
+        a = slice(i, i + PAIR_BLOCK)
+        for j in starts[i // PAIR_BLOCK :]:
+            y = x if i == j else dense(j)
+            b = slice(j, j + PAIR_BLOCK)
+            k1, k0 = (x[:n1].T @ y[:n1]).astype(float), (x[n1:].T @ y[n1:]).astype(float)
+            tells = shift(k1, k0, w1[a, None], w0[a, None]) >= PAIR_Z
+            tells &= shift(k1, k0, w1[None, b], w0[None, b]) >= PAIR_Z
+            found[a] |= tells.any(1)
+            found[b] |= tells.any(0)
+    return often[found]
 
 
 def train(slots: list[np.ndarray], counts: list[np.ndarray], labels: np.ndarray, seed: int = 3) -> Machine:

@@ -65,6 +65,32 @@ def test_pairs_count_beyond_their_terms():
     assert pair > 0.7 and one < 0.5 and other < 0.5
 
 
+def sample_of(texts):
+    slots, counts = [], []
+    for t in texts:
+        s = np.stack(toxicity._terms(language_id._read([t])), 1).ravel()
+        v, n = np.unique(s[s >= 0], return_counts=True)
+        slots.append(v)
+        counts.append(n)
+    return slots, counts
+
+
+def test_pairs_of_terms_that_tell_nothing_alone():
+    rng = np.random.default_rng(0)
+    words = ["alpha delta", "bravo gamma", "alpha gamma", "bravo delta"]  # every word in half of either class
+    texts = [words[i % 4] + f" filler{rng.integers(9)}" for i in range(800)]
+    m = toxicity.train(*sample_of(texts), np.array([float(i % 4 < 2) for i in range(800)]))
+    a, b, c, d = m.score(words)
+    assert min(a, b) > 0.7 and max(c, d) < 0.3
+
+
+def test_terms_for_clean_lower_the_score():
+    texts = ["insult", "insult quoted", "weather", "weather quoted"] * 200
+    m = toxicity.train(*sample_of(texts), np.array([1.0, 0.0, 0.0, 0.0] * 200))
+    said, quoted = m.score(["insult", "insult quoted"])
+    assert said > 0.7 and quoted < 0.5
+
+
 def test_labels_of_held_out_rows_are_not_used(spark, sf_dir):
     docs, labels = both(spark, sf_dir, "sf0.01")
     turned = labels.withColumn(
