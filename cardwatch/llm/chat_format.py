@@ -3,18 +3,19 @@
 The participant at hand speaks as the assistant, everybody else as a named user, system messages stay what they are.
 Only what the participant says, with the marker that ends it, is a target; the masks give these spans in characters.
 
-A rendered dialogue is cut into blocks of 64 turn numbers, so that no task holds a whole long dialogue. A block with more
-messages than ``MAX_MESSAGES`` (many rows with one turn number) is cut further by turn and by ranges of a hash. Messages
+A rendered dialogue is cut into blocks of 64 turn numbers, so that no task holds a whole long dialogue, and every block
+into pieces of ``MAX_MESSAGES`` messages in their order: the message of rank r in its block, from 0, is in sub_block
+r // MAX_MESSAGES, so the pieces in order are the block. Ranks are found only where there can be a second piece. Messages
 are gathered once per block and only multiplied by the participants when they are rendered. All of it is DataFrame
 functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwatch.llm.common import saved, small_or_shuffled, unit_interval
+from cardwatch.llm.common import saved, shuffle_width, small_or_shuffled
 
 BLOCK_TURNS = 64
 MAX_MESSAGES = 4096
@@ -63,6 +64,35 @@ def _render(messages: Column, speaker: Column) -> Column:
     )[0]
 
 
+def _same_block(b: str, c: str) -> Column:
+    return F.col("conv_id").eqNullSafe(F.col(c)) & F.col("block").eqNullSafe(F.col(b))
+
+
+def _ranked(messages: DataFrame, max_messages: int) -> DataFrame:
+    """Distinct messages with their sub_block; a block of any size lies in as many tasks as its rows fill.
+
+    Rows are sorted over all tasks, so a rank is the place in the task plus what the block has in earlier tasks.
+    """
+    columns = ["conv_id", "block", "turn", "role", "text"]
+    ordered = saved(
+        messages.select(*columns).distinct()
+        .repartitionByRange(shuffle_width(messages), *columns).sortWithinPartitions(*columns)
+        .withColumn("at", F.monotonically_increasing_id()),
+        "ordered-messages",
+    )
+    task = F.shiftright("at", 33)
+    shares = ordered.groupBy("conv_id", "block", task.alias("task")).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("conv_id", "block").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begun = shares.select(
+        F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("task").alias("t"),
+        (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("shift"),
+    )
+    rank = F.col("at") + F.col("shift")
+    return ordered.join(
+        small_or_shuffled(begun, BROADCAST_ROWS), _same_block("b", "c") & (task == F.col("t"))
+    ).select(*columns, F.floor(rank / max_messages).cast("long").alias("sub_block"))
+
+
 def rotate(conversations: DataFrame, block_turns: int = BLOCK_TURNS, max_messages: int = MAX_MESSAGES) -> DataFrame:
     """One row per dialogue, participant and block: conv_id, speaker, block, sub_block, text, targets, n_messages.
 
@@ -70,27 +100,26 @@ def rotate(conversations: DataFrame, block_turns: int = BLOCK_TURNS, max_message
     repeat all four columns are one message. A null text is an empty message. A null role is a user named ``unknown``
     and, like ``system``, no participant, so a dialogue of such messages alone gives no rows. A null conv_id is one
     dialogue. Markers inside a text are escaped (``<|`` becomes ``<\\|``). An empty table gives no rows; other columns
-    are ignored. ``targets`` are character spans of ``text``.
+    are ignored. ``targets`` are character spans of ``text``; the pieces of a block in order of sub_block are its text.
     """
     rows = conversations.select(
         "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"),
         F.floor(F.col("turn") / block_turns).cast("long").alias("block"),
     )
+    # Rows count repeats, so these are all blocks that can have a second piece; elsewhere every rank is in the first.
     crowded = saved(
         rows.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_messages)
-        .select(F.col("conv_id").alias("c"), F.col("block").alias("b"),
-                (F.ceil(F.col("n") / max_messages) + 1).cast("long").alias("parts")),
+        .select(F.col("conv_id").alias("c"), F.col("block").alias("b")),
         "crowded",
     )
+    whole = F.lit(0).cast("long").alias("sub_block")
     if crowded.isEmpty():
-        placed = rows.withColumn("sub_block", F.lit(0).cast("long"))
+        placed = rows.select("*", whole)
     else:
-        spread = F.floor(unit_interval(F.col("role"), F.col("text")) * F.col("parts"))
-        within = F.coalesce(F.col("turn") - F.col("block") * block_turns, F.lit(0))
-        placed = rows.join(
-            small_or_shuffled(crowded, BROADCAST_ROWS),
-            F.col("conv_id").eqNullSafe(F.col("c")) & F.col("block").eqNullSafe(F.col("b")), "left",
-        ).withColumn("sub_block", F.coalesce(within * F.col("parts") + spread, F.lit(0)).cast("long"))
+        large = small_or_shuffled(crowded, BROADCAST_ROWS)
+        placed = rows.join(large, _same_block("b", "c"), "left_anti").select("*", whole).unionByName(
+            _ranked(rows.join(large, _same_block("b", "c"), "left_semi"), max_messages)
+        )
     blocks = placed.groupBy("conv_id", "block", "sub_block").agg(
         F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("messages")
     )

@@ -63,6 +63,21 @@ def test_crowded_blocks_are_cut(spark):
             assert mine[key][0].rstrip().endswith("last<|end|>")
 
 
+def test_pieces_in_order_give_the_dialogue(spark):
+    rows = [(c, 5 + i % 2, ["user", "bot", None][i % 3], f"m{i * 7919 % 500}") for c in (1, None) for i in range(300)]
+    rows += [(2, 5, "user", "again")] * 100 + [(2, None, "user", f"n{i}") for i in range(90)]
+    pieces = chat_format.rotate(spark.createDataFrame(rows, SCHEMA).repartition(5), max_messages=40)
+    assert gathered(pieces) == brute(rows)
+    sizes = {}
+    for r in pieces.collect():
+        sizes.setdefault((r.conv_id, r.speaker, r.block), []).append((r.sub_block, r.n_messages))
+    for found in sizes.values():
+        found.sort()
+        assert [k for k, _ in found] == list(range(len(found)))
+        assert all(n == 40 for _, n in found[:-1]) and found[-1][1] <= 40
+    assert sizes[(2, "user", 0)] == [(0, 1)]
+
+
 def test_empty_table(spark):
     assert chat_format.rotate(spark.createDataFrame([], SCHEMA)).collect() == []
 
