@@ -150,3 +150,30 @@ def test_only_a_better_run_is_promoted(spark):
         versions = registry.promote_if_better(versions, runs, "m", run, f"/{run}")
     assert [(r["run_id"], r["stage"]) for r in versions.orderBy("version").collect()] == [
         ("a", "Archived"), ("c", "Production")]
+
+
+def test_registered_fits_take_the_default_trees_and_return_values(spark, sf_dir, compared, monkeypatch):
+    asked = []
+    monkeypatch.setattr(training, "compare_models", lambda df, **given: asked.append(given) or compared)
+    metrics = {r["run_name"]: r for r in learned.LEARNED["model_metrics"](spark, sf_dir).collect()}
+    for run in compared.runs.collect():
+        assert all(metrics[run["run_name"]][k] == v for k, v in run["metrics"].items())
+    rows = learned.LEARNED["model_importances"](spark, sf_dir).collect()
+    assert len(rows) == 3 * len(schemas.MODEL_FEATURES)
+    assert sum(r["importance"] for r in rows if r["run_name"] == "RF") == pytest.approx(1)
+    learned.model_comparison(spark, sf_dir)
+    learned.feature_importance(spark, sf_dir)
+    assert asked == [{}] * 4
+
+
+def test_training_chain_takes_the_default_trees(spark, sf_dir, monkeypatch):
+    class Asked(Exception):
+        pass
+
+    def choose(df, **given):
+        raise Asked(given)
+
+    monkeypatch.setattr(training, "choose", choose)
+    with pytest.raises(Asked) as told:
+        learned.training_chain(spark, sf_dir)
+    assert told.value.args == ({},)
