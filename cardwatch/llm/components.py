@@ -44,7 +44,8 @@ def _state(edges: DataFrame):
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, root) for every node with an edge to another; the root is the least node reached.
 
-    Loops, repeated edges and edges in either direction are allowed; no edge gives no row.
+    Nodes may be of any type that has an order. Loops, repeated edges and edges in either direction are allowed; no
+    edge gives no row.
     """
     at = saved(
         edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b").distinct(),

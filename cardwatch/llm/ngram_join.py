@@ -1,6 +1,7 @@
 """Near-duplicate documents by a prefix-tree join over word shingles (Jaccard similarity).
 
-1. Every text becomes the set of its distinct word shingles (64-bit hashes); equal sets are one class.
+1. Every text becomes the set of its distinct word shingles (64-bit hashes); equal sets, told by 128 bits
+   (``print``), are one class.
 2. Tokens are dealt to buckets by hash, many texts to a row. A bucket counts in how many classes each of
    its tokens occurs and sends back those with two or more. That is the global order: rare first, ties
    by token.
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from cardwatch.llm import trie, wordhash
 from cardwatch.llm.common import discard, saved, shuffle_width, small_or_shuffled
@@ -40,6 +41,8 @@ GROUP_TOKENS = 4_000_000
 BUCKET_TOKENS = 4_000_000
 #: Ids of rows to drop that are broadcast at most; more are joined by a shuffle.
 BROADCAST_IDS = 2_000_000
+#: A print, as two numbers.
+PRINT = np.dtype([("a", "<u8"), ("b", "<u8")])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]):
@@ -54,18 +57,18 @@ def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
         sizes, prints = [], []
         for s in wordhash.shingle_sets(w, width):
             sizes.append(len(s))
-            prints.append(wordhash.set_hash(s) if len(s) else 0)
+            prints.append(wordhash.set_print(s))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id").slice(lo, hi - lo), pa.array(sizes, pa.int64()),
-             pa.array(prints, pa.int64())],
+             pa.array(prints, pa.binary())],
             names=["doc_id", "n_shingles", "print"],
         )
 
 
 def shingle_table(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, n_shingles, print) per row; equal sets have equal size and print."""
+    """(doc_id, n_shingles, print) per row; equal sets have equal prints, the empty set an empty one."""
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        partial(_describe, width=width), "doc_id long, n_shingles long, print long"
+        partial(_describe, width=width), "doc_id long, n_shingles long, print binary"
     )
 
 
@@ -73,7 +76,7 @@ def _deal(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterat
     for _, _, _, w in _texts(batches):
         sets, seen = [], set()
         for s in wordhash.shingle_sets(w, width):
-            key = (wordhash.set_hash(s), len(s)) if len(s) else None
+            key = wordhash.set_print(s)
             if key and key not in seen:
                 seen.add(key)
                 sets.append((key, s))
@@ -85,7 +88,7 @@ def _deal(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterat
         bucket = ((tokens >> np.uint64(20)) % np.uint64(buckets)).astype(np.uint16 if buckets < 65536 else np.int64)
         order = np.argsort(bucket, kind="stable")
         tokens, owner, bucket = tokens[order], owner[order], bucket[order]
-        prints = np.array([k[0] for k, _ in sets], np.int64)
+        prints = np.frombuffer(b"".join(k for k, _ in sets), PRINT)
         cuts = np.flatnonzero(np.diff(bucket)) + 1
         rows = []
         for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tokens)]):
@@ -127,7 +130,7 @@ def _count_bucket(batches: Iterator[pa.RecordBatch], homes: int) -> Iterator[pa.
     """Tokens of a bucket that two or more classes have, sent to the classes' homes."""
     for _, rows in _runs(batches, "bucket"):
         counts = _joined(rows, "counts", np.uint32)
-        prints = np.repeat(_joined(rows, "prints", np.int64), counts)
+        prints = np.repeat(_joined(rows, "prints", PRINT), counts)
         sizes = np.repeat(_joined(rows, "sizes", np.uint32), counts)
         tokens = _joined(rows, "tokens", np.uint64)
         del rows
@@ -139,26 +142,24 @@ def _count_bucket(batches: Iterator[pa.RecordBatch], homes: int) -> Iterator[pa.
         if not len(order):
             continue
         t, p, n = tokens[order], prints[order], sizes[order]
-        order = np.lexsort((n, p, t))
+        order = np.lexsort((p["b"], p["a"], t))
         t, p, n = t[order], p[order], n[order]
-        new = np.append(True, (t[1:] != t[:-1]) | (p[1:] != p[:-1]) | (n[1:] != n[:-1]))
+        new = np.append(True, (t[1:] != t[:-1]) | (p[1:] != p[:-1]))
         t, p, n = t[new], p[new], n[new]  # copies in different pieces count once
         heads = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
         classes = np.diff(np.append(heads, len(t)))
         f = np.minimum(np.repeat(classes, classes), 65535).astype(np.uint16)
         many = f > 1
         t, p, n, f = t[many], p[many], n[many], f[many]
-        home = (p.astype(np.uint64) >> np.uint64(24)) % np.uint64(homes)
-        order = np.lexsort((t, f, n, p, home))
+        home = (p["a"] >> np.uint64(24)) % np.uint64(homes)
+        order = np.lexsort((t, f, p["b"], p["a"], home))
         t, p, n, f, home = (x[order] for x in (t, p, n, f, home))
         out = []
         cuts = np.flatnonzero(np.diff(home)) + 1
         for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(t)]):
             if a == z:
                 continue
-            heads = np.flatnonzero(
-                np.append(True, (p[a + 1 : z] != p[a : z - 1]) | (n[a + 1 : z] != n[a : z - 1]))
-            )
+            heads = np.flatnonzero(np.append(True, p[a + 1 : z] != p[a : z - 1]))
             out.append(
                 (int(home[a]), p[a:z][heads].tobytes(), n[a:z][heads].tobytes(),
                  np.diff(np.append(heads, z - a)).astype(np.uint32).tobytes(),
@@ -168,32 +169,33 @@ def _count_bucket(batches: Iterator[pa.RecordBatch], homes: int) -> Iterator[pa.
             yield _blob_rows(out)
 
 
-_CANDIDATE = "print long, size long, n_kept long, tokens binary, prefix array<bigint>"
+_CANDIDATE = "print binary, size long, n_kept long, tokens binary, prefix array<bigint>"
 
 
 def _candidates(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Classes that have too few tokens of their own to be alone, with their prefix."""
     for _, rows in _runs(batches, "bucket"):
         counts = _joined(rows, "counts", np.uint32)
-        p = np.repeat(_joined(rows, "prints", np.int64), counts)
+        p = np.repeat(_joined(rows, "prints", PRINT), counts)
         n = np.repeat(_joined(rows, "sizes", np.uint32), counts).astype(np.int64)
         t, f = _joined(rows, "tokens", np.uint64), _joined(rows, "orders", np.uint16)
         del rows
-        order = np.lexsort((t, f, n, p))
+        order = np.lexsort((t, f, p["b"], p["a"]))
         p, n, t = p[order], n[order], t[order]
-        heads = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (n[1:] != n[:-1])))
+        heads = np.flatnonzero(np.append(True, p[1:] != p[:-1]))
         kept = np.diff(np.append(heads, len(p)))
         size = n[heads]
         take = size - (percent * size + 99) // 100 + 1 - (size - kept)
         out = [
-            (int(p[h]), int(s), int(k), t[h : h + k].tobytes(), t[h : h + c].astype(np.int64))
+            (p[h].tobytes(), int(s), int(k), t[h : h + k].tobytes(), t[h : h + c].astype(np.int64))
             for h, s, k, c in zip(heads.tolist(), size.tolist(), kept.tolist(), take.tolist())
             if c > 0
         ]
         for lo in range(0, len(out), 2000):
             columns = list(zip(*out[lo : lo + 2000]))
             yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, pa.int64()) for c in columns[:3]], pa.array(columns[3], pa.binary()),
+                [pa.array(columns[0], pa.binary()), *[pa.array(c, pa.int64()) for c in columns[1:3]],
+                 pa.array(columns[3], pa.binary()),
                  pa.array(columns[4], pa.list_(pa.int64()))],
                 names=["print", "size", "n_kept", "tokens", "prefix"],
             )
@@ -203,7 +205,7 @@ def _walk(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
     for _, rows in _runs(batches, "root", "i", "j"):
         if len(rows) > 1:
             keys = np.arange(len(rows))
-            by = sorted(rows, key=lambda r: (r["print"], r["size"]))
+            by = sorted(rows, key=lambda r: r["print"])
             to = trie.linked(
                 keys, [np.frombuffer(r["tokens"], np.uint64) for r in by],
                 np.array([r["size"] for r in by]), percent,
@@ -211,8 +213,8 @@ def _walk(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
             linked = [(by[k], by[m]) for k, m in zip(keys.tolist(), to.tolist()) if k != m]
             if linked:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x["print"] for x, _ in linked], pa.int64()),
-                     pa.array([y["print"] for _, y in linked], pa.int64())],
+                    [pa.array([x["print"] for x, _ in linked], pa.binary()),
+                     pa.array([y["print"] for _, y in linked], pa.binary())],
                     names=["a", "b"],
                 )
 
@@ -251,7 +253,7 @@ def link_components(sets: DataFrame, percent: int = PERCENT, group_tokens: int =
     blocks = F.greatest(F.lit(1), F.ceil(F.col("total") / group_tokens)).cast("int")
     dealt = (
         placed.join(sums.select("root", blocks.alias("k")), "root")
-        .withColumn("block", F.pmod(F.xxhash64("print", "size"), F.col("k")).cast("int"))
+        .withColumn("block", F.pmod(F.xxhash64("print"), F.col("k")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .select("print", "size", "tokens", "root", F.least("block", "other").alias("i"),
                 F.greatest("block", "other").alias("j"))
@@ -259,7 +261,7 @@ def link_components(sets: DataFrame, percent: int = PERCENT, group_tokens: int =
     links = (
         dealt.repartition(shuffle_width(sets), "root", "i", "j")
         .sortWithinPartitions("root", "i", "j")
-        .mapInArrow(partial(_walk, percent=percent), "a long, b long")
+        .mapInArrow(partial(_walk, percent=percent), "a binary, b binary")
     )
     found = components(links)
     discard(placed)
@@ -276,7 +278,7 @@ def _resolved(docs: DataFrame, width: int, percent: int, group_tokens: int) -> D
     discard(sets)
     classes = (
         described.where("n_shingles > 0")
-        .groupBy("print", "n_shingles")
+        .groupBy("print")
         .agg(F.min("doc_id").alias("least"))
         .join(roots, F.col("print") == F.col("node"), "left")
         .withColumn("root", F.coalesce("root", "print"))
@@ -284,11 +286,9 @@ def _resolved(docs: DataFrame, width: int, percent: int, group_tokens: int) -> D
     # A component's least id comes by an aggregate and an equality join: a component may be any size.
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(least, "root").select(
-        F.col("print").alias("p"), F.col("n_shingles").alias("s"), "root", "component_id"
+        F.col("print").alias("p"), "root", "component_id"
     )
-    return described.join(
-        named, (F.col("print") == F.col("p")) & (F.col("n_shingles") == F.col("s")), "left"
-    ).select(
+    return described.join(named, F.col("print") == F.col("p"), "left").select(
         "doc_id",
         "n_shingles",
         "print",
@@ -334,13 +334,12 @@ def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
 
 
 def _with_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """The rows as they are, with size and print of their sets behind."""
+    """The rows as they are, with the print of their sets behind."""
     for batch, lo, hi, w in _texts(batches):
-        sets = list(wordhash.shingle_sets(w, width))
+        prints = [wordhash.set_print(s) for s in wordhash.shingle_sets(w, width)]
         yield pa.RecordBatch.from_arrays(
-            [*batch.slice(lo, hi - lo).columns, pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([wordhash.set_hash(s) if len(s) else 0 for s in sets], pa.int64())],
-            names=[*batch.schema.names, "__size", "__print"],
+            [*batch.slice(lo, hi - lo).columns, pa.array(prints, pa.binary())],
+            names=[*batch.schema.names, "__print"],
         )
 
 
@@ -349,19 +348,18 @@ def _of_repeated_ids(docs: DataFrame, odd: DataFrame, found: DataFrame, width: i
     columns = docs.columns
     rows = docs.join(odd, F.col("doc_id").eqNullSafe(F.col("__odd")), "left_semi")
     worded = F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print", "n_shingles")).alias("first")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "print")).alias("first")
     stays = (
         found.where("n_shingles > 0").groupBy("root").agg(first)
-        .select(F.col("root").alias("__root"), F.col("first.doc_id").alias("__id"), F.col("first.print").alias("__p"),
-                F.col("first.n_shingles").alias("__s"))
+        .select(F.col("root").alias("__root"), F.col("first.doc_id").alias("__id"), F.col("first.print").alias("__p"))
         .join(odd, F.col("__id").eqNullSafe(F.col("__odd")), "left_semi")
     )
-    sized = StructType([*docs.schema.fields, StructField("__size", LongType()), StructField("__print", LongType())])
+    sized = StructType([*docs.schema.fields, StructField("__print", BinaryType())])
     kept = (
         rows.where(worded).mapInArrow(partial(_with_sets, width=width), sized)
         .join(
             small_or_shuffled(stays, BROADCAST_IDS),
-            F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__p")) & (F.col("__size") == F.col("__s")),
+            F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__print") == F.col("__p")),
         )
         .groupBy("__root").agg(F.min(F.struct("text", *[c for c in columns if c != "text"])).alias("one"))
     )

@@ -92,3 +92,9 @@ def test_small_table_equals_brute_force(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert rows_of(ngram_join.near_duplicates(docs)) == brute.components(rows)
+
+
+def test_words_that_collide_in_polynomial_hashes_differ(spark):
+    thue = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    rows = [(1, thue), (2, thue.translate(str.maketrans("ab", "ba"))), (3, thue[:8] * 3), (4, thue[:8] * 3 + "a")]
+    assert rows_of(ngram_join.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute.components(rows)
