@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardwatch.llm import chat_format, decontamination, language_id, ngram_join, packing, quality_rules, sharding, sql, token_counts, toxicity, url_filter
+from cardwatch.llm import chat_format, decontamination, language_id, minhash, ngram_join, packing, quality_rules, sharding, sql, token_counts, toxicity, url_filter, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +70,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.rotate(_table(spark, sf_dir, "conversations")))
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents, and the document of each that stays."""
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All usable embeddings on their first components, whitened."""
+    found = whitening.whitened(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+    # A sum of squares beyond 64 bits is in the decimal column alone.
+    return found.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_language_id": op2_language_id,
@@ -80,6 +93,8 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
+    "op12_minhash": op12_minhash,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
