@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import chat_format, decontamination, language_id, minhash, ngram_join, packing, quality_rules, sharding, sql, token_counts, toxicity, url_filter, whitening
+from cardwatch.llm import chat_format, decontamination, divergence, language_id, minhash, ngram_join, packing, quality_rules, sharding, sql, token_counts, toxicity, url_filter, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,6 +70,11 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.rotate(_table(spark, sf_dir, "conversations")))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ in their words, and which words tell them."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents, and the document of each that stays."""
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -93,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_ngram_join": op9_ngram_join,
     "op10_chat_format": op10_chat_format,
+    "op11_divergence": op11_divergence,
     "op12_minhash": op12_minhash,
     "op13_whitening": op13_whitening,
 }
@@ -102,4 +108,5 @@ SQL: dict[str, str] = {
     "op7_quality_rules": sql.OP7,
     "op8_url_filter": sql.OP8,
     "op10_chat_format": sql.OP10,
+    "op11_divergence": sql.OP11,
 }

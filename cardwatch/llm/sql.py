@@ -150,3 +150,48 @@ SELECT conv_id, speaker, block, CAST(0 AS BIGINT) AS sub_block, count(*) AS n_me
          FILTER (own), '') AS targets
 FROM placed GROUP BY conv_id, speaker, block
 """
+
+OP11 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), found AS (
+  SELECT row_id, lang, source, unnest(terms) AS term FROM docs
+), kept AS (
+  SELECT lang, term FROM found GROUP BY lang, term HAVING count(DISTINCT row_id) >= 30
+), counts AS (
+  SELECT lang, source, term, count(*) AS c FROM found SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v FROM kept GROUP BY lang
+), sources AS (
+  SELECT g.lang, g.source, coalesce(s.v, 0) AS v, coalesce(n.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN sizes s ON s.lang = g.lang
+  LEFT JOIN (SELECT lang, source, sum(c) AS n FROM counts GROUP BY ALL) n ON n.lang = g.lang AND n.source = g.source
+), shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(c.c, 0) AS c,
+         1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.c, 0) + 5) // CAST(s.n + 5 * s.v AS HUGEINT) AS p
+  FROM sources s JOIN kept k ON k.lang = s.lang
+  LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+), whole AS (
+  SELECT k.lang, k.term, 1 + CAST(1000000000 AS HUGEINT) * (sum(c) + 5) // CAST(any_value(n) + 5 * any_value(v) AS HUGEINT) AS q
+  FROM kept k JOIN counts c ON c.lang = k.lang AND c.term = k.term
+  JOIN (SELECT lang, sum(n) AS n, any_value(v) AS v FROM sources GROUP BY lang) t ON t.lang = k.lang
+  GROUP BY k.lang, k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+             FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) f
+    ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), every AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT s.lang, s.source, 'term', s.term, s.p - w.q FROM shares s JOIN whole w ON w.lang = s.lang AND w.term = s.term
+  WHERE s.c > 0 AND s.p > w.q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 50
+"""
