@@ -34,9 +34,9 @@ def available_features(df: DataFrame, wanted: Sequence[str]) -> list[str]:
 
 
 def training_table(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Features without nulls, label and the split."""
+    """Features without nulls, label and the split, which is exact in every class."""
     filled = df.select("transaction_id", LABEL, *features).na.fill(0, subset=list(features))
-    return sampling.stratified_split(filled)
+    return sampling.exact_split(filled, label=LABEL)
 
 
 def weighted(train: DataFrame) -> DataFrame:

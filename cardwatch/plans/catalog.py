@@ -200,6 +200,11 @@ def stratified_split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.split_counts(sampling.stratified_split(transactions(spark, sf_dir)))
 
 
+def stratified_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    split = sampling.exact_split(transactions(spark, sf_dir))
+    return split.select("transaction_id", "is_fraud", "split")
+
+
 def silver_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = derived.raw_feed(transactions(spark, sf_dir, country=True))
     clean = quality.silver_clean(
@@ -554,6 +559,7 @@ BATCH: dict[str, Query] = {
     "decode_requests": decode_requests,
     "hash_sample": hash_sample,
     "stratified_split_counts": stratified_split_counts,
+    "stratified_split_exact": stratified_split_exact,
     "silver_clean": silver_clean,
     "merchant_enrich": _merchant_join(hint=False),
     "merchant_enrich_broadcast": _merchant_join(hint=True),

@@ -214,7 +214,14 @@ FEATURES = (
     "avg_amount_7d_calc zscore_amount_calc risk_score"
 ).split()
 
-_BUCKET = "(('0x' || substr(md5('{seed}:' || transaction_id), 1, 8))::BIGINT % 1000000000)"
+_HASH = "('0x' || substr(md5('{seed}:' || transaction_id), 1, 15))::BIGINT"
+# The rank of a row in its class, and the number of training rows of the class.
+_RANKED = f"""
+, ranked AS (
+  SELECT transaction_id, is_fraud, row_number() OVER (PARTITION BY is_fraud ORDER BY {_HASH.format(seed=43)}, transaction_id) AS place,
+         round(count(*) OVER (PARTITION BY is_fraud) * 0.8::DOUBLE) AS n_train
+  FROM tx
+)"""
 
 _VARIANCES = "\n  UNION ALL ".join(
     f"SELECT '{c}' AS feature, var_pop({c}::DOUBLE) AS variance FROM gold" for c in FEATURES
@@ -360,12 +367,16 @@ SELECT transaction_id, amount, velocity_1h, round(V14, 6) AS V14, merchant_categ
 FROM requests""",
     "hash_sample": TX
     + f"""
-SELECT transaction_id, is_fraud FROM tx WHERE {_BUCKET.format(seed=42)} < 200000000""",
+SELECT transaction_id, is_fraud FROM tx WHERE {_HASH.format(seed=42)} / pow(16, 15) < 0.2""",
     "stratified_split_counts": TX
     + f"""
-SELECT is_fraud, CASE WHEN {_BUCKET.format(seed=43)} < 800000000 THEN 'train' ELSE 'test' END
+SELECT is_fraud, CASE WHEN {_HASH.format(seed=43)} / pow(16, 15) < 0.8 THEN 'train' ELSE 'test' END
          AS split, count(*) AS n
 FROM tx GROUP BY 1, 2""",
+    "stratified_split_exact": TX
+    + _RANKED
+    + """
+SELECT transaction_id, is_fraud, CASE WHEN place <= n_train THEN 'train' ELSE 'test' END AS split FROM ranked""",
     "silver_clean": TX
     + """
 SELECT transaction_id, "timestamp", amount, upper(trim(country)) AS country, is_fraud
@@ -630,10 +641,9 @@ SELECT 'p1-fraud-model' AS name, CAST(row_number() OVER (ORDER BY seq) AS INTEGE
        CASE WHEN seq = max(seq) OVER () THEN 'Production' ELSE 'Archived' END AS stage, 'run-' || run AS run_id
 FROM better"""
 )
-_SPLIT = TX + f"""
+_SPLIT = TX + _RANKED + """
 , split AS (
-  SELECT count(*) FILTER (b < 800000000) AS n_train, count(*) FILTER (b >= 800000000) AS n_test
-  FROM (SELECT {_BUCKET.format(seed=43)} AS b FROM tx)
+  SELECT count(*) FILTER (place <= n_train) AS n_train, count(*) FILTER (place > n_train) AS n_test FROM ranked
 )"""
 LEARNED["model_comparison"] = (
     _SPLIT

@@ -121,13 +121,33 @@ def test_selection(spark):
     assert selection.select_top_features(df, k=1) == ["strong"]
 
 
+@pytest.mark.parametrize("fraction", [0.01, 0.2, 0.8])
+def test_samples_have_their_share(spark, fraction):
+    """Within four standard deviations of a binomial count, and a hundredth of the rows."""
+    df = spark.range(200_000).withColumnRenamed("id", "transaction_id")
+    got = sampling.hash_sample(df, fraction).count() / 200_000
+    assert abs(got - fraction) < min(0.01, 4 * (fraction * (1 - fraction) / 200_000) ** 0.5)
+
+
+@pytest.mark.parametrize("n, train", [(20_000, 0.8), (7, 0.5), (1, 0.8), (3, 0.0), (3, 1.0)])
+def test_exact_split(spark, n, train):
+    df = spark.range(n).select(
+        F.col("id").alias("transaction_id"), F.when(F.col("id") % 7 > 0, (F.col("id") % 3 == 0).cast("int")).alias("is_fraud"))
+    split = sampling.exact_split(df, train)
+    sizes = {r[0]: r[1] for r in df.groupBy("is_fraud").count().collect()}
+    counts = {(r[0], r[1]): r[2] for r in sampling.split_counts(split).collect()}
+    for label, size in sizes.items():
+        assert counts.get((label, "train"), 0) == int(train * size + 0.5)
+    assert split.exceptAll(sampling.exact_split(df.repartition(5), train)).count() == 0
+
+
 def test_split_is_stable_and_proportional(spark):
     df = spark.range(20_000).select(
         F.col("id").alias("transaction_id"), (F.col("id") % 10 == 0).cast("int").alias("is_fraud"))
     split = sampling.stratified_split(df)
     counts = {(r[0], r[1]): r[2] for r in sampling.split_counts(split).collect()}
     for label, n in ((0, 18_000), (1, 2_000)):
-        assert counts[label, "train"] / n == pytest.approx(0.8, abs=0.03)
+        assert counts[label, "train"] / n == pytest.approx(0.8, abs=0.01)
     again = sampling.stratified_split(df.repartition(13))
     assert split.exceptAll(again).count() == 0
     assert sampling.hash_sample(df).count() == pytest.approx(4_000, rel=0.1)
