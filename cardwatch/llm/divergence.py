@@ -23,8 +23,8 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
-from itertools import groupby
-from operator import itemgetter
+from itertools import groupby, repeat
+from operator import itemgetter, ne
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,7 @@ BROADCAST_GROUPS = 100_000
 
 RUN = ("run string, shard int, lang string, names array<string>, terms array<binary>, docs array<bigint>, "
        "heads array<int>, whom array<int>, counts array<bigint>")
+KEPT = "lang string, shard int, term string, sources array<string>, counts array<bigint>"
 
 
 class Block:
@@ -68,42 +69,54 @@ class Block:
         self.docs.setdefault(lang, Counter()).update(set(terms))
 
     def run(self, name: str, shards: int) -> Iterator[pa.RecordBatch]:
-        """Rows of terms in order, by shard and language; the first shard names all sources, also those without terms."""
-        rows = []
+        """Rows of terms in order, by language and shard; the first shard names all sources, also those without terms."""
         for lang, docs in self.docs.items():
-            dealt: list[list[bytes]] = [[] for _ in range(shards)]
-            for term in sorted(docs):
-                dealt[zlib.crc32(term) % shards].append(term)
-            sources = sorted(self.counts[lang])
-            for shard, terms in enumerate(dealt):
-                if terms or shard == 0:
-                    merged = ((t, docs[t], [(s, self.counts[lang][s][t]) for s in sources if t in self.counts[lang][s]]) for t in terms)
-                    rows.append(_run_row(name, shard, lang, merged, sources if shard == 0 else ()))
-        yield _run_batch(rows)
-
-
-def _run_row(name: str, shard: int, lang: str, merged, sources) -> tuple:
-    """A row of ``RUN`` from (term, docs, postings) in order of terms."""
-    index = {s: k for k, s in enumerate(sources)}
-    terms, docs, heads, whom, counts = [], [], [0], [], []
-    for term, n, postings in merged:
-        terms.append(term)
-        docs.append(n)
-        for source, c in postings:
-            whom.append(index.setdefault(source, len(index)))
-            counts.append(c)
-        heads.append(len(whom))
-    return name, shard, lang, list(index), terms, docs, heads, whom, counts
-
-
-_RUN_TYPES = (pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.binary()), pa.list_(pa.int64()),
-              pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()))
-_RUN_NAMES = [c.split()[0] for c in RUN.split(", ")]
-
-
-def _run_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * len(_RUN_TYPES)
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _RUN_TYPES)], names=_RUN_NAMES)
+            order = sorted(docs)
+            home = np.array([zlib.crc32(t) % shards for t in order], np.int64)
+            by_shard = np.argsort(home, kind="stable")
+            terms = [order[k] for k in by_shard.tolist()]
+            place = dict(zip(terms, range(len(terms))))
+            names = sorted(self.counts[lang])
+            at, whom, counts = [], [], []
+            for k, source in enumerate(names):
+                own = self.counts[lang][source]
+                at.append(np.fromiter(map(place.__getitem__, own.keys()), np.int64, len(own)))
+                whom.append(np.full(len(own), k, np.int32))
+                counts.append(np.fromiter(own.values(), np.int64, len(own)))
+            at = np.concatenate(at)
+            sort = np.argsort(at, kind="stable")
+            heads = np.append(0, np.cumsum(np.bincount(at, minlength=len(terms))))
+            whole = Slice(names, terms, np.fromiter(map(docs.__getitem__, terms), np.int64, len(terms)), heads,
+                          np.concatenate(whom)[sort], np.concatenate(counts)[sort])
+            cuts = np.searchsorted(home[by_shard], np.arange(shards + 1))
+            for shard, (lo, hi) in enumerate(zip(cuts.tolist(), cuts[1:].tolist())):
+                if hi > lo or shard == 0:
+                    yield _run_batch(name, shard, lang, whole.part(lo, hi, all_names=shard == 0))
+
+
+class Slice:
+    """Terms in order, each with its texts and its postings: those of term k lie from heads[k] to heads[k + 1]."""
+
+    def __init__(self, names: list[str], terms: list[bytes], docs, heads, whom, counts) -> None:
+        self.names, self.terms, self.docs, self.heads, self.whom, self.counts = names, terms, docs, heads, whom, counts
+
+    def part(self, lo: int, hi: int, all_names: bool) -> Slice:
+        a, z = int(self.heads[lo]), int(self.heads[hi])
+        names, whom = self.names, self.whom[a:z]
+        if not all_names:
+            used, whom = np.unique(whom, return_inverse=True)
+            names = [names[k] for k in used.tolist()]
+        return Slice(names, self.terms[lo:hi], self.docs[lo:hi], self.heads[lo : hi + 1] - a, whom, self.counts[a:z])
+
+
+def _run_batch(name: str, shard: int, lang: str, s: Slice) -> pa.RecordBatch:
+    one = lambda values, kind: pa.array([values], pa.list_(kind))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([name]), pa.array([shard], pa.int32()), pa.array([lang]), one(s.names, pa.string()), one(s.terms, pa.binary()),
+         one(s.docs, pa.int64()), one(s.heads.astype(np.int32), pa.int32()), one(s.whom.astype(np.int32), pa.int32()),
+         one(s.counts, pa.int64())],
+        names=[c.split()[0] for c in RUN.split(", ")],
+    )
 
 
 def _index(batches: Iterator[pa.RecordBatch], shards: int, postings: int) -> Iterator[pa.RecordBatch]:
@@ -126,74 +139,112 @@ def runs(docs: DataFrame, shards: int, postings: int = BLOCK_POSTINGS) -> DataFr
     return docs.select("lang", "source", "text").mapInArrow(partial(_index, shards=shards, postings=postings), RUN)
 
 
-def _entries(row: dict) -> Iterator[tuple[bytes, int, list[tuple[str, int]]]]:
-    names, whom, counts = row["names"], row["whom"], row["counts"]
-    for term, n, a, z in zip(row["terms"], row["docs"], row["heads"], row["heads"][1:]):
-        yield term, n, [(names[whom[k]], counts[k]) for k in range(a, z)]
-
-
-def _added(entries) -> Iterator[tuple[bytes, int, list[tuple[str, int]]]]:
-    """Neighbours of one term as one entry."""
-    for term, same in groupby(entries, itemgetter(0)):
-        docs, postings = 0, Counter()
-        for _, n, found in same:
-            docs += n
-            for source, c in found:
-                postings[source] += c
-        yield term, docs, sorted(postings.items())
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, Slice]]:
+    """(into, shard, lang) and the slice of each row."""
+    for b in batches:
+        for k in range(len(b)):
+            row = {c: b.column(c)[k] for c in b.schema.names}
+            numbers = [row[c].values.to_numpy(zero_copy_only=False) for c in ("docs", "heads", "whom", "counts")]
+            key = tuple(row[c].as_py() for c in ("into", "shard", "lang"))
+            yield key, Slice(row["names"].as_py(), row["terms"].as_py(), *numbers)
+
+
+def _merged(slices: list[Slice], min_docs: int = 1) -> Slice:
+    """The slices merged by a heap, equal terms added up; terms in fewer than ``min_docs`` texts go."""
+    names = sorted({s for x in slices for s in x.names})
+    entries = list(heapq.merge(*[zip(x.terms, repeat(n), range(len(x.terms))) for n, x in enumerate(slices)]))
+    if not entries:
+        zero = np.zeros(0, np.int64)
+        return Slice(names, [], zero, np.zeros(1, np.int64), zero, zero)
+    terms, run, at = zip(*entries)
+    first = np.array([True, *map(ne, terms, terms[1:])])
+    starts = np.flatnonzero(first)
+    offset = np.append(0, np.cumsum([len(x.terms) for x in slices]))[:-1]
+    entry = offset[np.array(run)] + np.array(at)
+    docs = np.add.reduceat(np.concatenate([x.docs for x in slices])[entry], starts)
+    keep = docs >= min_docs
+    # The postings of the entries of kept terms, in order of terms.
+    index = {s: k for k, s in enumerate(names)}
+    whom = np.concatenate([np.array([index[s] for s in x.names], np.int64)[x.whom] for x in slices])
+    counts = np.concatenate([x.counts for x in slices])
+    sizes = np.concatenate([np.diff(x.heads) for x in slices])
+    begin = np.append(0, np.cumsum(sizes))[:-1]
+    term = np.cumsum(first) - 1
+    there = keep[term]
+    entry, term = entry[there], (np.cumsum(keep) - 1)[term[there]]
+    sizes, begin = sizes[entry], begin[entry]
+    which = np.repeat(begin - np.append(0, np.cumsum(sizes))[:-1], sizes) + np.arange(int(sizes.sum()))
+    key = np.repeat(term, sizes) * len(names) + whom[which]
+    key, back = np.unique(key, return_inverse=True)
+    added = np.zeros(len(key), np.int64)
+    np.add.at(added, back, counts[which])
+    n = int(keep.sum())
+    heads = np.searchsorted(key, np.arange(n + 1) * len(names))
+    return Slice(names, [terms[k] for k in starts[keep].tolist()], docs[keep], heads, key % max(len(names), 1), added)
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[Slice]]]:
+    for key, group in groupby(_slices(batches), itemgetter(0)):
+        yield key, [s for _, s in group]
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One longer run of the runs that share (into, shard, lang)."""
-    rows = (r for b in batches for r in b.to_pylist())
-    for (into, shard, lang), group in groupby(rows, itemgetter("into", "shard", "lang")):
-        group = list(group)
-        names = sorted({s for r in group for s in r["names"]}) if shard == 0 else ()
-        merged = _added(heapq.merge(*[_entries(r) for r in group], key=itemgetter(0)))
-        yield _run_batch([_run_row(into, shard, lang, merged, names)])
+    for (into, shard, lang), slices in _groups(batches):
+        yield _run_batch(into, shard, lang, _merged(slices))
+
+
+def _finish(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+    """Kept terms with the sources where they occur; a row without a term names all sources of a language."""
+    for (_, shard, lang), slices in _groups(batches):
+        s = _merged(slices, min_docs)
+        sources = pa.array(s.names, pa.string())
+        for lo in range(0, len(s.terms), 5000):
+            hi = min(lo + 5000, len(s.terms))
+            a, z = int(s.heads[lo]), int(s.heads[hi])
+            upto = pa.array((s.heads[lo : hi + 1] - a).astype(np.int32))
+            yield _kept_batch(lang, shard, pa.array(s.terms[lo:hi], pa.binary()).view(pa.string()),
+                              pa.ListArray.from_arrays(upto, sources.take(pa.array(s.whom[a:z]))),
+                              pa.ListArray.from_arrays(upto, pa.array(s.counts[a:z])))
+        if shard == 0:
+            yield _kept_batch(lang, shard, pa.array([None], pa.string()), pa.array([s.names], pa.list_(pa.string())),
+                              pa.array([[0] * len(s.names)], pa.list_(pa.int64())))
+
+
+def _kept_batch(lang: str, shard: int, terms: pa.Array, sources: pa.Array, counts: pa.Array) -> pa.RecordBatch:
+    n = len(terms)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * n, pa.string()), pa.array([shard] * n, pa.int32()), terms, sources, counts],
+        names=[c.split()[0] for c in KEPT.split(", ")],
+    )
 
 
-def merged(written: DataFrame, shards: int, fan_in: int) -> DataFrame:
-    """A written table of runs with one run left for each shard and language."""
+def frequencies(written: DataFrame, fan_in: int, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``KEPT`` rows of a written table of runs, which is removed if merges before the last one were needed."""
+    by = ("into", "shard", "lang")
     while True:
         count = written.select("run").distinct().count()
-        if count <= 1:
-            return written
-        groups = -(-count // fan_in)
-        into = F.lit("all") if groups == 1 else F.pmod(F.xxhash64("run"), F.lit(groups)).cast("string")
-        dealt = written.withColumn("into", into).repartition(shuffle_width(written), "into", "shard", "lang")
-        after = saved(dealt.sortWithinPartitions("into", "shard", "lang").mapInArrow(_merge, RUN), "runs")
+        groups_ = -(-count // fan_in)
+        into = F.lit("all") if groups_ <= 1 else F.pmod(F.xxhash64("run"), F.lit(groups_)).cast("string")
+        dealt = written.withColumn("into", into).repartition(shuffle_width(written), *by).sortWithinPartitions(*by)
+        if groups_ <= 1:
+            return dealt.mapInArrow(partial(_finish, min_docs=min_docs), KEPT)
+        after = saved(dealt.mapInArrow(_merge, RUN), "runs")
         discard(written)
         written = after
 
 
-def frequencies(run: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(lang, term, shard, postings): the kept terms with (source, count) where they occur."""
-    at = run.select("lang", "shard", "names", "heads", "whom", "counts", F.posexplode(F.arrays_zip("terms", "docs")).alias("k", "t"))
-    a = F.get("heads", F.col("k"))
-    length = F.get("heads", F.col("k") + 1) - a
-    postings = F.zip_with(
-        F.slice("whom", a + 1, length), F.slice("counts", a + 1, length),
-        lambda w, c: F.struct(F.get("names", w).alias("source"), c.alias("count")),
-    )
-    return at.where(F.col("t.docs") >= min_docs).select(
-        "lang", F.col("t.terms").cast("string").alias("term"), "shard", postings.alias("postings")
-    )
-
+def groups(found: DataFrame) -> DataFrame:
+    """(lang, source, n, v): every occurring group with its occurrences of kept terms and the size of the vocabulary.
 
-def groups(run: DataFrame, kept: DataFrame) -> DataFrame:
-    """(lang, source, n, v): every occurring group with its occurrences of kept terms and the size of the vocabulary."""
-    occurring = run.select("lang", F.explode("names").alias("source")).distinct()
+    The row that names all sources counts 0 for each, so it adds groups and no occurrences.
+    """
     sums = (
-        kept.select("lang", F.explode("postings").alias("p")).groupBy("lang", "p.source")
-        .agg(F.sum("p.count").alias("n")).select(F.col("lang").alias("l"), F.col("source").alias("s"), "n")
-    )
-    sizes = kept.groupBy(F.col("lang").alias("ll")).agg(F.count(F.lit(1)).alias("v"))
-    return (
-        occurring.join(sums, (F.col("lang") == F.col("l")) & (F.col("source") == F.col("s")), "left")
-        .join(sizes, F.col("lang") == F.col("ll"), "left")
-        .select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v"))
+        found.select("lang", F.explode(F.arrays_zip("sources", "counts")).alias("p"))
+        .groupBy("lang", F.col("p.sources").alias("source")).agg(F.sum("p.counts").alias("n"))
     )
+    sizes = found.groupBy(F.col("lang").alias("l")).agg(F.count("term").alias("v"))
+    return sums.join(sizes, F.col("lang") == F.col("l")).select("lang", "source", "n", "v")
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
@@ -219,16 +270,16 @@ class Side:
         self.n, self.v = np.array([s["n"] for s in sources], np.int64), v
         self.zero = _shares(np.zeros(len(sources), np.int64), self.n, v)
 
-    def of(self, postings: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-        here = [(self.at[p["source"]], p["count"]) for p in postings if p["source"] in self.at]
+    def of(self, r: dict) -> tuple[np.ndarray, np.ndarray]:
+        here = [(self.at[s], c) for s, c in zip(r["sources"], r["counts"]) if s in self.at]
         whom = np.array([k for k, _ in here], np.int64)
         return whom, _shares(np.array([c for _, c in here], np.int64), self.n[whom], self.v)
 
 
 def _correct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per pair of sources what its terms add to the constant; the block of sources comes before its terms."""
+    """Per pair of sources what the terms of this task add to the constant; the sources come before the terms."""
     rows = (r for b in batches for r in b.to_pylist())
-    for (lang, _, _, _), group in groupby(rows, itemgetter("lang", "shard", "i", "j")):
+    for (lang, _, _), group in groupby(rows, itemgetter("lang", "i", "j")):
         first = next(group)
         if first["left"] is None:
             continue  # a block without sources
@@ -236,8 +287,10 @@ def _correct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = np.abs(left.zero[:, None] - right.zero[None, :])
         total = np.zeros_like(base)
         for r in group:
-            a, pa_ = left.of(r["postings"])
-            b, pb = right.of(r["postings"])
+            if r["left"] is not None:
+                continue  # the same sources for another shard
+            a, pa_ = left.of(r)
+            b, pb = right.of(r)
             mine = right.zero.copy()
             mine[b] = pb
             total[a] += np.abs(pa_[:, None] - mine[None, :]) - base[a]
@@ -264,25 +317,27 @@ def pair_values(kept: DataFrame, grouped: DataFrame, source_block: int = SOURCE_
     )
     other = side.select(F.col("lang").alias("lang2"), F.col("i").alias("j"), F.col("left").alias("right"))
     shards = kept.select(F.col("lang").alias("lang3"), "shard").distinct()
-    nothing = F.array().cast("array<struct<source:string,count:bigint>>")
     heads = (
         side.join(other, (F.col("lang") == F.col("lang2")) & (F.col("i") <= F.col("j")))
         .join(shards, F.col("lang") == F.col("lang3"))
-        .select("lang", "shard", "i", "j", F.lit("").alias("term"), F.lit(0).alias("place"), "v", "left", "right", nothing.alias("postings"))
+        .select("lang", "shard", "i", "j", F.lit("").alias("term"), F.lit(0).alias("place"), "v", "left", "right",
+                F.lit(None).cast("array<string>").alias("sources"), F.lit(None).cast("array<bigint>").alias("counts"))
     )
     none = F.lit(None).cast("array<struct<source:string,n:bigint>>")
     each = (
         kept.join(small_or_shuffled(blocks, BROADCAST_GROUPS), F.col("lang") == F.col("l"))
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .withColumn("j", F.explode(F.sequence(F.col("i"), F.col("k") - 1)))
-        .withColumn("here", F.filter("postings", lambda p: F.pmod(F.xxhash64(p["source"]), F.col("k")).isin(F.col("i"), F.col("j"))))
+        .withColumn("here", F.filter(
+            F.arrays_zip("sources", "counts"), lambda p: F.pmod(F.xxhash64(p["sources"]), F.col("k")).isin(F.col("i"), F.col("j"))
+        ))
         .where(F.size("here") > 0)
         .select("lang", "shard", "i", "j", "term", F.lit(1).alias("place"), F.lit(0).cast("long").alias("v"),
-                none.alias("left"), none.alias("right"), F.col("here").alias("postings"))
+                none.alias("left"), none.alias("right"), F.col("here.sources").alias("sources"), F.col("here.counts").alias("counts"))
     )
     more = (
         heads.union(each).repartition(shuffle_width(kept), "lang", "shard", "i", "j")
-        .sortWithinPartitions("lang", "shard", "i", "j", "place")
+        .sortWithinPartitions("lang", "i", "j", "place")
         .mapInArrow(_correct, "lang string, a string, b string, more long")
         .groupBy("lang", "a", "b").agg(F.sum("more").alias("more"))
     )
@@ -306,13 +361,13 @@ def term_values(kept: DataFrame, grouped: DataFrame) -> DataFrame:
         grouped.select(F.col("lang").alias("l"), F.col("source").alias("s"), "n", "v"), BROADCAST_GROUPS
     )
     whole = grouped.groupBy(F.col("lang").alias("wl")).agg(F.sum("n").alias("all_n"))
-    count = F.aggregate("postings", F.lit(0).cast("long"), lambda a, p: a + p["count"])
+    count = F.aggregate("counts", F.lit(0).cast("long"), lambda a, c: a + c)
     rows = (
-        kept.select("lang", "term", count.alias("all_count"), F.explode("postings").alias("p"))
+        kept.select("lang", "term", count.alias("all_count"), F.explode(F.arrays_zip("sources", "counts")).alias("p"))
         .join(small_or_shuffled(whole, BROADCAST_GROUPS), F.col("lang") == F.col("wl"))
-        .join(side, (F.col("lang") == F.col("l")) & (F.col("p.source") == F.col("s")))
+        .join(side, (F.col("lang") == F.col("l")) & (F.col("p.sources") == F.col("s")))
     )
-    p = share(F.col("p.count"), F.col("n"), F.col("v"))
+    p = share(F.col("p.counts"), F.col("n"), F.col("v"))
     q = share(F.col("all_count"), F.col("all_n"), F.col("v"))
     return rows.select("lang", F.col("s").alias("source"), F.col("term").alias("item"), (p - q).alias("value")).where("value > 0")
 
@@ -332,11 +387,11 @@ def audit(
     each. Other columns are ignored.
     """
     shards = shuffle_width(docs)
-    first = saved(runs(docs, shards, postings), "runs")
-    one = merged(first, shards, fan_in or max(16, 4 * shards))
-    kept = saved(frequencies(one, min_docs), "frequencies")
-    grouped = saved(groups(one, kept), "groups")
-    discard(one)
+    written = saved(runs(docs, shards, postings), "runs")
+    found = saved(frequencies(written, fan_in or max(16, 4 * shards), min_docs), "frequencies")
+    discard(written)
+    grouped = saved(groups(found), "groups")
+    kept = found.where("term IS NOT NULL")
     by = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pair_values(kept, grouped, source_block).withColumn("rank", F.row_number().over(by))
     terms = term_values(kept, grouped).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= top)
