@@ -2,8 +2,10 @@
 
 A mask takes six of eight word positions and ignores the rest. Both masks are hashed at every position of the
 benchmark and of every document; equal hashes join. The two masks together hit every window of 13 words with up
-to two substitutions wherever they fall (all 78 pairs are covered), and every item of 8 to 12 words that occurs
-unchanged. A hit fixes an alignment of item and document, along which all words are then compared.
+to two substitutions wherever they fall (all 78 pairs are covered). Shorter items have masks without gaps: the two halves of
+8 to 12 words, one of which is whole after one substitution, and all words of 4 to 7. Documents are hashed by those
+lengths only that the benchmark asks for. A hit fixes an alignment of item and document, along which all words are then
+compared.
 
 Everything is DataFrame functions. The benchmark's hashes and the ids of hit documents are broadcast only after
 they were counted; beyond the bound both joins shuffle.
@@ -19,45 +21,83 @@ from cardwatch.llm.common import let, saved, small_or_shuffled
 # The positions that the masks look at.
 MASKS = ((0, 1, 2, 3, 6, 7), (0, 1, 3, 5, 6, 7))
 SPAN = 8
-#: A run of so many aligned words with so many equal ones is a leak; shorter items must be equal throughout.
+#: A run of so many aligned words with so many equal ones is a leak.
 WINDOW = 13
 WINDOW_EQUAL = 11
+#: Items shorter than a window may differ in one word from so many words on; shorter ones must be equal throughout.
+ONE_CHANGE = 8
+#: Items of fewer words are no passage: only a document that consists of them alone holds them.
+PASSAGE = 4
 BROADCAST_ROWS = 500_000
 
+# Scripts that set no spaces between words; each of their characters is a word here.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
 
 def words(text: Column) -> Column:
-    """Hashes of the lower-cased runs of letters and digits."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    """Hashes of the lower-cased runs of letters and digits; in unspaced scripts of every character."""
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    spaced = F.when(lowered.rlike(UNSPACED), F.regexp_replace(lowered, f"({UNSPACED})", " $1 ")).otherwise(lowered)
+    parts = F.split(spaced, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(w: Column) -> Column:
-    """Hashes of all masks at all positions, mask by mask."""
+def _spaced(w: Column) -> Column:
+    """(at, seed) of all masks at all positions."""
     starts = F.sequence(F.lit(0), F.size(w) - SPAN)
 
     def under(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(starts, lambda i: F.xxhash64(F.lit(number), *[F.get(w, i + o) for o in mask]))
+        return F.transform(
+            starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(number), *[F.get(w, i + o) for o in mask]).alias("seed"))
+        )
 
     every = F.concat(*[under(n, m) for n, m in enumerate(MASKS)])
-    return F.when(F.size(w) >= SPAN, every).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(w) >= SPAN, every).otherwise(_nothing())
 
 
-def _placed(df: DataFrame, key: str, w: Column) -> DataFrame:
-    """(key, at, seed): a row per seed and position."""
-    found = df.select(
-        key,
-        let(w, lambda x: F.struct((F.size(x) - (SPAN - 1)).alias("n"), _seeds(x).alias("seeds"))).alias("s"),
-    )
-    return found.select(key, F.col("s.n").alias("n"), F.posexplode("s.seeds").alias("k", "seed")).select(
-        key, (F.col("k") % F.col("n")).alias("at"), "seed"
-    )
+def _nothing() -> Column:
+    return F.array().cast("array<struct<at:int,seed:bigint>>")
+
+
+def _run(w: Column, at: Column, length: int) -> Column:
+    """(at, seed) of so many words from a position; the length is part of the hash."""
+    return F.struct(at.alias("at"), F.xxhash64(F.lit(100 + length), *[F.get(w, at + k) for k in range(length)]).alias("seed"))
+
+
+def _runs(w: Column, length: int) -> Column:
+    every = F.transform(F.sequence(F.lit(0), F.size(w) - length), lambda i: _run(w, i, length))
+    return F.when(F.size(w) >= length, every).otherwise(_nothing())
+
+
+def _alone(w: Column) -> Column:
+    """One seed for a text of fewer than ``PASSAGE`` words."""
+    short = (F.size(w) > 0) & (F.size(w) < PASSAGE)
+    return F.when(short, F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.lit(-1), w).alias("seed")))).otherwise(_nothing())
+
+
+def _item_seeds(w: Column) -> Column:
+    n, found = F.size(w), F.when(F.size(w) >= WINDOW, _spaced(w))
+    for length in range(ONE_CHANGE, WINDOW):
+        half = length // 2
+        found = found.when(n == length, F.array(_run(w, F.lit(0), half), _run(w, F.lit(half), length - half)))
+    for length in range(PASSAGE, ONE_CHANGE):
+        found = found.when(n == length, F.array(_run(w, F.lit(0), length)))
+    return found.otherwise(_alone(w))
+
+
+def _lengths(known: DataFrame) -> tuple[bool, list[int], bool]:
+    """What documents must be hashed by: the masks, runs of these lengths (8 values at most), whole short texts."""
+    sizes = {r[0] for r in known.select(F.least(F.size("w"), F.lit(WINDOW)).alias("n")).distinct().collect()}
+    runs = {h for n in sizes if ONE_CHANGE <= n < WINDOW for h in (n // 2, n - n // 2)}
+    runs |= {n for n in sizes if PASSAGE <= n < ONE_CHANGE}
+    return WINDOW in sizes, sorted(runs), any(n < PASSAGE for n in sizes)
 
 
 def items(benchmark: DataFrame) -> DataFrame:
-    """(item_id, w): benchmark items of 8 words or more, equal ones once under their least id."""
+    """(item_id, w): benchmark items with a word, equal ones once under their least id."""
     return (
         benchmark.select("item_id", words(F.col("text")).alias("w"))
-        .where(F.size("w") >= SPAN)
+        .where(F.size("w") > 0)
         .groupBy("w")
         .agg(F.min("item_id").alias("item_id"))
         .select("item_id", "w")
@@ -70,27 +110,40 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Columns: doc_id, text_hash (xxhash64 of the text), item_id (least id of equal items), n_equal (equal words along
     the best alignment), n_words (of the item), window_equal (most equal words in a run of 13).
 
-    Null and empty texts, and items of fewer than 8 words, hold nothing. Rows that repeat a doc_id are compared each
-    by its own text, and fully equal rows give one row. Empty tables give no rows. Columns other than doc_id and
-    text, item_id and text are ignored.
+    An item of 13 words or more is held if 11 of 13 words in a row are; one of 8 to 12 words if all or all but one are; one
+    of 4 to 7 if all are; a shorter one if the document has no other words. Null and empty texts and items hold
+    nothing and are held by nothing. Rows that repeat a doc_id, null ids too, are compared each by its own text, and
+    fully equal rows give one row. Empty tables give no rows. Columns other than doc_id and text, item_id and text are
+    ignored, whatever their names.
     """
-    known = saved(items(benchmark), "items")
+    docs = docs.select("doc_id", "text")
+    known = saved(items(benchmark.select("item_id", "text")), "items")
+    masks, lengths, alone = _lengths(known)
     seeds = small_or_shuffled(
-        _placed(known, "item_id", F.col("w")).select("item_id", F.col("at").alias("item_at"), "seed"),
+        known.select("item_id", F.explode(_item_seeds(F.col("w"))).alias("s"))
+        .select("item_id", F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")),
         BROADCAST_ROWS,
     )
+
+    def document_seeds(w: Column) -> Column:
+        kinds = [_spaced(w)] * masks + [_runs(w, n) for n in lengths] + [_alone(w)] * alone
+        return F.concat(*kinds) if kinds else _nothing()
+
+    placed = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), let(words(F.col("text")), document_seeds).alias("seeds")
+    ).select("doc_id", "text_hash", F.explode("seeds").alias("s"))
     hits = saved(
-        _placed(docs.select("doc_id", "text"), "doc_id", words(F.col("text")))
+        placed.select("doc_id", "text_hash", F.col("s.at").alias("at"), F.col("s.seed").alias("seed"))
         .join(seeds, "seed")
-        .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
+        .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct(),
         "hits",
     )
     ids = small_or_shuffled(hits.select(F.col("doc_id").alias("hit")).distinct(), BROADCAST_ROWS)
     suspects = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("hit")), "left_semi").select(
-        F.col("doc_id").alias("d"), F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("dw")
+        F.col("doc_id").alias("d"), F.xxhash64("text").alias("t"), words(F.col("text")).alias("dw")
     ).distinct()
-    pairs = hits.join(suspects, F.col("doc_id").eqNullSafe(F.col("d"))).join(
+    pairs = hits.join(suspects, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("t"))).join(
         small_or_shuffled(known, BROADCAST_ROWS // 10), "item_id"
     )
     equal = F.transform(
@@ -104,13 +157,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         )
     )
     compared = pairs.select(
-        "doc_id", "text_hash", "item_id", F.size("w").alias("n_words"),
+        "doc_id", "text_hash", "item_id", F.size("w").alias("n_words"), F.size("dw").alias("n_text"),
         let(equal, lambda e: F.struct(total(e).alias("n_equal"), runs(e).alias("window_equal"))).alias("c"),
     )
+    n, same = F.col("n_words"), F.col("c.n_equal")
     return (
         compared.where(
-            F.when(F.col("n_words") >= WINDOW, F.col("c.window_equal") >= WINDOW_EQUAL)
-            .otherwise(F.col("c.n_equal") == F.col("n_words"))
+            F.when(n >= WINDOW, F.col("c.window_equal") >= WINDOW_EQUAL)
+            .when(n >= ONE_CHANGE, same >= n - 1)
+            .otherwise((same == n) & ((n >= PASSAGE) | (F.col("n_text") == n)))
         )
         .groupBy("doc_id", "text_hash", "item_id", "n_words")
         .agg(F.max("c.n_equal").alias("n_equal"), F.max("c.window_equal").alias("window_equal"))
@@ -119,7 +174,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+
+    Rows are judged as in ``leaks``, each by its own text: null, empty and wordless texts stay, repeated rows stay or go
+    together, whatever their ids. With an empty benchmark all stay; an empty table stays empty.
+    """
     found = saved(
         leaks(docs, benchmark).select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__t")).distinct(),
         "leaks",

@@ -18,13 +18,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch.llm import wordhash
-from cardwatch.llm.common import saved
+from cardwatch.llm.common import saved, unit_interval
 
 #: Labelled rows that the fit reads, in expectation.
 SAMPLE_ROWS = 20_000
-#: The most frequent words, and n-grams of each order, that the model holds.
+#: The most frequent words, and n-grams of each order, that the model holds. They, the sample and ``LEAST_SEEN`` bound
+#: the model that every task holds; an unseen word falls back to n-grams in any case.
 MAX_WORDS = 200_000
 MAX_GRAMS = 30_000
+#: Words and n-grams that the sample has fewer times say nothing of a language yet.
+LEAST_SEEN = 2
 ORDERS = (4, 3, 2, 1)
 #: Evidence counts as that of so many words at most, so that a score tells mixed texts from plain ones.
 EVIDENCE_WORDS = 30
@@ -111,10 +114,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def training_rows(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """A sample of about ``sample_rows`` of the usable rows, the same ones in every run."""
+    """A sample of about ``sample_rows`` of the usable rows, the same ones in every run, however many rows there are."""
     n = docs.where(usable).select(F.count(F.lit(1))).first()[0]
-    share = min(1.0, sample_rows / max(n, 1))
-    return docs.where(usable).where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    return docs.where(usable & in_sample(n, sample_rows))
+
+
+def in_sample(n: int, sample_rows: int) -> Column:
+    """Whether a doc_id is in a sample of about ``sample_rows`` of ``n``; 53 bits of its hash are compared with the share."""
+    return unit_interval("doc_id") < F.lit(min(1.0, sample_rows / max(n, 1)))
 
 
 @dataclass
@@ -173,7 +180,10 @@ class Model:
         return out
 
 
-def fit(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(
+    docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS,
+    least_seen: int = LEAST_SEEN,
+) -> Model:
     """Count words and n-grams of the sample on the cluster; only the bounded tables reach the driver."""
     rows = training_rows(
         docs.select("doc_id", "text", "lang"), usable & F.col("text").isNotNull() & F.col("lang").isNotNull(),
@@ -195,7 +205,7 @@ def fit(docs: DataFrame, usable: Column, sample_rows: int = SAMPLE_ROWS) -> Mode
                 F.sum("n").alias("all"),
                 *[F.sum(F.when(F.col("lang") == x, F.col("n"))).alias(f"n{i}") for i, x in enumerate(langs)],
             )
-            .where("all > 1").orderBy(F.desc("all"), "hash").limit(MAX_GRAMS if kind else MAX_WORDS)
+            .where(F.col("all") >= least_seen).orderBy(F.desc("all"), "hash").limit(max_grams if kind else max_words)
             .toPandas()
         )
         keys = top["hash"].to_numpy(np.int64).astype(np.uint64)
@@ -252,7 +262,12 @@ def _usable() -> Column:
 
 
 def accepted(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is found with ``min_score`` or more; all columns stay."""
+    """The rows of ``docs`` whose language is found with ``min_score`` or more; all columns stay.
+
+    Null, empty and letterless texts go. Repeated rows stay or go together, a tie between languages goes to the first by
+    name and scores as it is. Without a row to learn from, all go; an empty table stays empty. Further columns, whatever
+    their names, are kept as they are.
+    """
     model = fit(docs, _usable())
     scored = predict(docs, model)
     return scored.where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= min_score)).select(*docs.columns)

@@ -3,8 +3,10 @@
 Fixed base rules need only the text. The further limits come from mergeable quantile sketches: per
 (lang, source, metric) a histogram with log-linear buckets (values below 64 exactly, above that 6
 leading bits, so a quantile is off by at most 1 in 32). Sketches of sources add up to those of a language,
-and these to that of the corpus, which stand in where a group has too few documents. A limit is
-a quartile plus three interquartile ranges plus a slack, so it cuts outliers, not a fixed share.
+and these to that of the corpus. A group's limits come from its own sketch plus that of its language, scaled to the
+weight of ``PRIOR`` documents; the language's has the corpus's in it with the same weight. So a source of any size is
+judged by its own spread as far as it shows one, and no size changes the rule. A limit is a quartile plus three
+interquartile ranges plus a slack, so it cuts outliers, not a fixed share.
 
 Everything is DataFrame functions; sketches are grouped before the shuffle and the limits, one row per
 language and source, are broadcast only after their number was counted.
@@ -21,8 +23,8 @@ from cardwatch.llm.common import SPACES, let, saved, small_or_shuffled
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: Groups of fewer documents take the limits of their language, languages those of the corpus.
-MIN_GROUP = 200
+#: Documents of its language that a group's sketch is mixed with, in weight; and of the corpus, a language's.
+PRIOR = 50
 #: Limits beyond so many rows are joined by a shuffle instead of a broadcast.
 BROADCAST_ROWS = 50_000
 
@@ -120,44 +122,46 @@ def sketches(measured: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "source", "m.metric", "m.bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _quartiles(histogram: DataFrame, *keys: str) -> DataFrame:
-    """(keys, metric, rows, q1, q3); a window here spans the buckets of one sketch, a few hundred."""
-    merged = histogram.groupBy(*keys, "metric", "bucket").agg(F.sum("n").alias("n"))
-    by = Window.partitionBy(*keys, "metric")
-    upto = F.sum("n").over(by.orderBy("bucket"))
-    total = F.sum("n").over(by)
-    first = lambda part: F.min(F.when(F.col("upto") * 4 >= F.col("total") * part, F.col("bucket")))
+def _quartiles(histogram: DataFrame, prior: int) -> DataFrame:
+    """(lang, source, metric, q1, q3) of the mixed sketches.
+
+    A window here spans the buckets of the corpus's sketch of a metric, some thousand at most by its make.
+    """
+    whole = histogram.groupBy("metric", "bucket").agg(F.sum("n").alias("all_n"))
+    lang = histogram.groupBy(F.col("lang").alias("l"), F.col("metric").alias("lm"), F.col("bucket").alias("lb")).agg(F.sum("n").alias("lang_n"))
+    own = histogram.select(
+        F.col("lang").alias("ol"), F.col("source").alias("os"), F.col("metric").alias("om"), F.col("bucket").alias("ob"),
+        F.col("n").alias("own_n"),
+    )
+    grid = histogram.select("lang", "source", "metric").distinct().join(F.broadcast(whole), "metric")
+    mixed = grid.join(
+        own,
+        F.col("lang").eqNullSafe(F.col("ol")) & F.col("source").eqNullSafe(F.col("os"))
+        & (F.col("metric") == F.col("om")) & (F.col("bucket") == F.col("ob")),
+        "left",
+    ).join(
+        lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("metric") == F.col("lm")) & (F.col("bucket") == F.col("lb")), "left"
+    )
+    by = Window.partitionBy("lang", "source", "metric")
+    sums = {c: F.sum(F.coalesce(c, F.lit(0))) for c in ("own_n", "lang_n", "all_n")}
+    upto = {c: s.over(by.orderBy("bucket")).cast("double") for c, s in sums.items()}
+    total = {c: s.over(by).cast("double") for c, s in sums.items()}
+    # A millionth of a document keeps quartiles that are met exactly from the rounding of the weights.
+    mass = upto["own_n"] + F.lit(float(prior)) * (
+        upto["lang_n"] + F.lit(float(prior)) * upto["all_n"] / total["all_n"]
+    ) / (total["lang_n"] + prior) + F.lit(1e-6)
+    first = lambda part: F.min(F.when(F.col("mass") * 4 >= part * (F.col("rows") + prior), F.col("bucket")))
     return (
-        merged.select(*keys, "metric", "bucket", upto.alias("upto"), total.alias("total"))
-        .groupBy(*keys, "metric")
-        .agg(F.max("total").alias("rows"), first(1).alias("q1"), first(3).alias("q3"))
+        mixed.select("lang", "source", "metric", "bucket", mass.alias("mass"), total["own_n"].alias("rows"))
+        .groupBy("lang", "source", "metric").agg(first(1).alias("q1"), first(3).alias("q3"))
     )
 
 
-def limits(histogram: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def limits(histogram: DataFrame, prior: int = PRIOR) -> DataFrame:
     """(lang, source, limits): a map from metric to its least and greatest accepted value."""
-    own = _quartiles(histogram, "lang", "source")
-    lang = _quartiles(histogram, "lang").select(
-        F.col("lang").alias("l"), F.col("metric").alias("lm"), F.col("rows").alias("lrows"),
-        F.col("q1").alias("lq1"), F.col("q3").alias("lq3"),
-    )
-    every = _quartiles(histogram).select(
-        F.col("metric").alias("em"), F.col("q1").alias("eq1"), F.col("q3").alias("eq3")
-    )
-    joined = own.join(
-        lang, F.col("lang").eqNullSafe(F.col("l")) & (F.col("metric") == F.col("lm"))
-    ).join(every, F.col("metric") == F.col("em"))
-
-    def pick(q: str) -> Column:
-        return (
-            F.when(F.col("rows") >= min_group, F.col(q))
-            .when(F.col("lrows") >= min_group, F.col(f"l{q}"))
-            .otherwise(F.col(f"e{q}"))
-        )
-
     slack = F.create_map(*[F.lit(x) for name, (s, _) in METRICS.items() for x in (name, s)])
     lower = F.create_map(*[F.lit(x) for name, (_, b) in METRICS.items() for x in (name, b)])
-    chosen = joined.select("lang", "source", "metric", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    chosen = _quartiles(histogram, prior)
     reach = 3 * (F.col("q3") - F.col("q1")) + slack[F.col("metric")]
     return chosen.groupBy("lang", "source").agg(
         F.map_from_entries(F.collect_list(F.struct(
@@ -170,9 +174,9 @@ def limits(histogram: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     )
 
 
-def judge(measured: DataFrame, counted: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def judge(measured: DataFrame, counted: DataFrame, prior: int = PRIOR) -> DataFrame:
     """Measured rows with ``__failed`` (base rules) and ``__kept``, by the limits of the ``counted`` rows."""
-    found = saved(limits(sketches(counted), min_group), "limits")
+    found = saved(limits(saved(sketches(counted), "sketches"), prior), "limits")
     side = small_or_shuffled(
         found.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), "__limits"),
         BROADCAST_ROWS,
@@ -197,7 +201,7 @@ def judge(measured: DataFrame, counted: DataFrame, min_group: int = MIN_GROUP) -
     )
 
 
-def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def verdicts(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
     """One row per document with its counts, base_failed and kept.
 
     A null or empty text, or one without words, has zero counts and fails. Null languages or sources are
@@ -205,7 +209,7 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     table gives no rows. Columns other than doc_id, text, lang and source are ignored.
     """
     counted = saved(measure(docs.select("doc_id", "text", "lang", "source")).drop("text"), "measured")
-    judged = judge(counted, counted, min_group)
+    judged = judge(counted, counted, prior)
     return judged.select(
         "doc_id",
         *[F.col("__rules")[c].alias(c) for c in
@@ -215,11 +219,14 @@ def verdicts(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     )
 
 
-def accepted(docs: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns.
+def accepted(docs: DataFrame, prior: int = PRIOR) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns, judged as in ``verdicts``.
+
+    Null, empty and wordless texts go, as they fail the base rules; rows that repeat stay or go together; null languages and
+    sources are groups of their own; an empty table stays empty; further columns, whatever their names, are kept as they are.
 
     The limits need all rows before the first one can be judged. Texts are measured a second time then, which
     leaves no copy of them behind and moves none.
     """
     counted = saved(measure(docs.select("text", "lang", "source")).drop("text"), "measured")
-    return judge(measure(docs), counted, min_group).where("__kept").select(*docs.columns)
+    return judge(measure(docs), counted, prior).where("__kept").select(*docs.columns)

@@ -41,24 +41,33 @@ WITH docs AS (
   SELECT *, CASE WHEN value < 64 THEN value
                  ELSE (value // (1 << (length(bin(value)) - 6))) * (1 << (length(bin(value)) - 6)) END AS bucket
   FROM long WHERE n_words > 0
-), by_group AS (
-  SELECT lang, source, metric, count(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
-  FROM sketched GROUP BY ALL
-), by_lang AS (
-  SELECT lang, metric, count(*) AS n, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
-  FROM sketched GROUP BY ALL
-), by_all AS (
-  SELECT metric, quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3 FROM sketched GROUP BY ALL
+), of_group AS (
+  SELECT lang, source, metric, bucket, count(*) AS n FROM sketched GROUP BY ALL
+), of_lang AS (
+  SELECT lang, metric, bucket, count(*) AS n FROM sketched GROUP BY ALL
+), of_all AS (
+  SELECT metric, bucket, count(*) AS n FROM sketched GROUP BY ALL
+), mixed AS (
+  SELECT g.lang, g.source, metric, a.bucket,
+         sum(coalesce(o.n, 0)) OVER upto AS own, sum(coalesce(l.n, 0)) OVER upto AS of_lang, sum(a.n) OVER upto AS of_all,
+         sum(coalesce(o.n, 0)) OVER whole AS own_n, sum(coalesce(l.n, 0)) OVER whole AS lang_n, sum(a.n) OVER whole AS all_n
+  FROM (SELECT DISTINCT lang, source, metric FROM of_group) g
+  JOIN of_all a USING (metric)
+  LEFT JOIN of_group o ON o.metric = g.metric AND o.bucket = a.bucket AND o.lang IS NOT DISTINCT FROM g.lang
+    AND o.source IS NOT DISTINCT FROM g.source
+  LEFT JOIN of_lang l ON l.metric = g.metric AND l.bucket = a.bucket AND l.lang IS NOT DISTINCT FROM g.lang
+  WINDOW upto AS (PARTITION BY g.lang, g.source, metric ORDER BY a.bucket),
+         whole AS (PARTITION BY g.lang, g.source, metric)
+), quartiles AS (
+  SELECT lang, source, metric,
+         min(bucket) FILTER (mass * 4 >= own_n + 50) AS q1, min(bucket) FILTER (mass * 4 >= 3 * (own_n + 50)) AS q3
+  FROM (SELECT *, own + 50::DOUBLE * (of_lang + 50::DOUBLE * of_all / all_n) / (lang_n + 50) + 1e-6::DOUBLE AS mass FROM mixed)
+  GROUP BY ALL
 ), slack(metric, slack, below) AS (
   VALUES ('word_length', 1500, true), ('symbol_share', 60, false), ('upper_share', 200, false),
          ('dup_line_share', 50, false), ('repeat_share', 250, false)
 ), chosen AS (
-  SELECT g.lang, g.source, metric, slack, below,
-         CASE WHEN g.n >= 200 THEN g.q1 WHEN l.n >= 200 THEN l.q1 ELSE a.q1 END AS q1,
-         CASE WHEN g.n >= 200 THEN g.q3 WHEN l.n >= 200 THEN l.q3 ELSE a.q3 END AS q3
-  FROM by_group g
-  JOIN by_lang l USING (metric) JOIN by_all a USING (metric) JOIN slack USING (metric)
-  WHERE g.lang IS NOT DISTINCT FROM l.lang
+  SELECT lang, source, metric, slack, below, q1, q3 FROM quartiles JOIN slack USING (metric)
 ), outside AS (
   SELECT DISTINCT s.row_id FROM long s JOIN chosen c
     ON s.metric = c.metric AND s.lang IS NOT DISTINCT FROM c.lang AND s.source IS NOT DISTINCT FROM c.source
@@ -77,28 +86,30 @@ WITH doc_rows AS (
   SELECT DISTINCT doc_id, text FROM documents
 ), docs AS (
   SELECT row_number() OVER () AS row_id, doc_id,
-         [w FOR w IN string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') IF w <> ''] AS w FROM doc_rows
+         [w FOR w IN string_split_regex(spaced, '[^\p{L}\p{N}]+') IF w <> ''] AS w FROM (
+    SELECT *, regexp_replace(lower(coalesce(text, '')), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g') AS spaced FROM doc_rows)
 ), items AS (
   SELECT min(item_id) AS item_id, w FROM (
-    SELECT item_id, [w FOR w IN string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') IF w <> ''] AS w
-    FROM benchmark)
-  WHERE len(w) >= 8 GROUP BY w
+    SELECT item_id, [w FOR w IN string_split_regex(spaced, '[^\p{L}\p{N}]+') IF w <> ''] AS w
+    FROM (SELECT item_id, regexp_replace(lower(coalesce(text, '')), '([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])', ' \1 ', 'g') AS spaced FROM benchmark))
+  WHERE len(w) >= 1 GROUP BY w
 ), doc_words AS (
-  SELECT row_id, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs
+  SELECT row_id, doc_id, len(w) AS n_text, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs
 ), item_words AS (
   SELECT item_id, len(w) AS n_words, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM items
 ), aligned AS (
-  SELECT row_id, doc_id, item_id, n_words, i - j AS shift, j,
+  SELECT row_id, doc_id, item_id, n_words, n_text, i - j AS shift, j,
          count(*) OVER (PARTITION BY row_id, item_id, i - j ORDER BY j RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS run
   FROM doc_words JOIN item_words USING (word)
 ), best AS (
-  SELECT row_id, doc_id, item_id, n_words, shift, count(*) AS n_equal, max(run) AS window_equal
+  SELECT row_id, doc_id, item_id, n_words, n_text, shift, count(*) AS n_equal, max(run) AS window_equal
   FROM aligned GROUP BY ALL
 )
 SELECT doc_id, item_id, CAST(max(n_equal) AS INTEGER) AS n_equal, CAST(n_words AS INTEGER) AS n_words,
        CAST(max(window_equal) AS INTEGER) AS window_equal
 FROM best
-WHERE CASE WHEN n_words >= 13 THEN window_equal >= 11 ELSE n_equal = n_words END
+WHERE CASE WHEN n_words >= 13 THEN window_equal >= 11 WHEN n_words >= 8 THEN n_equal >= n_words - 1
+           ELSE n_equal = n_words AND (n_words >= 4 OR n_text = n_words) END
 GROUP BY row_id, doc_id, item_id, n_words
 """
 

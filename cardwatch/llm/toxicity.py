@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwatch.llm import language_id, wordhash
-from cardwatch.llm.common import saved, small_or_shuffled
+from cardwatch.llm.common import saved, small_or_shuffled, unit_interval
 
 BITS = 18
 FACTORS = 4
@@ -220,7 +220,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     share = F.lit(0.0)
     for value in (0, 1):
         share = F.when(F.col("toxic") == value, min(1.0, sample_rows / 2 / max(n.get(value, 0), 1))).otherwise(share)
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < (share * (1 << 20)).cast("long"))
+    chosen = known.where(unit_interval("doc_id") < share)
     # Twice the expected number at most is broadcast, so that no text moves but those of the sample.
     chosen = small_or_shuffled(saved(chosen, "toxic-ids"), 2 * sample_rows)
     rows = saved(

@@ -33,16 +33,16 @@ def test_substitutions_and_near_misses(spark):
         if changes <= 2:
             expected.append((i, 7))
     short = [(100, "one two three four five six seven eight nine"), (101, "One, two. THREE four five six seven-eight"),
-             (102, "one two three four five six seven ate")]
+             (102, "one two three four five six seven ate"), (103, "one two three four five six sept ate")]
     bench = [(7, " ".join(item)), (9, " ".join(item).upper()), (8, "one two three four five six seven eight"),
              (5, "tiny item"), (4, None), (3, "")]
     df = spark.createDataFrame([(*r, 1) for r in docs + short + [(200, None), (201, ""), (None, docs[0][1]), docs[0]]],
                                DOCS + ", item_id int")
     got = d.leaks(df, spark.createDataFrame([(*r, 2) for r in bench], BENCH + ", doc_id int"))
-    assert ids(got) == sorted([*expected, (100, 8), (101, 8), (None, 7)], key=str)
+    assert ids(got) == sorted([*expected, (100, 8), (101, 8), (102, 8), (None, 7)], key=str)
     kept = d.clean(df, spark.createDataFrame(bench, BENCH))
     assert kept.columns == df.columns
-    gone = {i for i, _ in expected} | {100, 101, None}
+    gone = {i for i, _ in expected} | {100, 101, 102, None}
     assert {r.doc_id for r in kept.collect()} == {r[0] for r in docs + short} - gone | {200, 201}
 
 
@@ -73,3 +73,46 @@ def test_equals_sql(spark, sf_dir):
     docs, bench = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "benchmark"))
     with connect(folder) as con:
         assert differences(d.leaks(docs, bench).drop("text_hash"), con, sql.OP5) == []
+
+
+def test_short_items_and_unspaced_scripts(spark):
+    """Against the definition: the best alignment of all words."""
+    rng = random.Random(8)
+    letters = [f"q{i}" for i in range(12)]
+    bench = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in range(1, 13)] + [(50, "机器学习是一门人工智能的科学"), (51, "天地"), (52, "")]
+    docs = []
+    for n in range(1, 13):
+        words = bench[n - 1][1].split()
+        for changes in (0, 1, 2):
+            part = list(words)
+            for at in rng.sample(range(n), min(changes, n)):
+                part[at] = rng.choice(letters)
+            around = lambda: [rng.choice(letters) for _ in range(rng.randrange(1, 6))]
+            docs.append((len(docs), " ".join(around() + part + around())))
+            docs.append((len(docs), " ".join(part)))
+    docs += [(900, "前面机器学习是一门人工智能的科学后面"), (901, "机器学习是一门人工智能的技学"), (902, "天地"), (903, "天地玄黄"), (904, "机器")]
+    df = spark.createDataFrame([(*r, True, 1, 2, 3) for r in docs], DOCS + ", hit boolean, seed int, w int, shift int")
+    cut = lambda t: [w for part in t.split() for w in (part if part[0] > "\u3000" else [part])]
+
+    def holds(text, item):
+        t, n = cut(text), len(item)
+        best = max((sum(0 <= k + s < len(t) and t[k + s] == x for k, x in enumerate(item)) for s in range(-n, len(t))), default=0)
+        if n >= 13:
+            return any(sum(a == b for a, b in zip(t[s + o :], item[o : o + 13])) >= 11 for o in range(n - 12) for s in range(len(t)))
+        return bool(n) and (best >= n - 1 if n >= 8 else best == n and (n >= 4 or len(t) == n))
+
+    expected = [(i, b) for i, t in docs for b, item in bench if holds(t, cut(item))]
+    assert ids(d.leaks(df, spark.createDataFrame(bench, BENCH))) == sorted(expected, key=str)
+    assert {r.doc_id for r in d.clean(df, spark.createDataFrame(bench, BENCH)).collect()} == {i for i, _ in docs} - {i for i, _ in expected}
+
+
+def test_sql_holds_short_items_too(spark, tmp_path):
+    bench = [(1, "a b c d e f g"), (2, "p q r s t u v w x y"), (3, "solo"), (4, "天地玄黄宇宙")]
+    docs = [(1, "x a b c d e f g y"), (2, "p q r s t u v w x z"), (3, "solo"), (4, "solo act"), (5, "说天地玄黄宇宙"), (6, None)]
+    frames = {"documents": spark.createDataFrame(docs, DOCS), "benchmark": spark.createDataFrame(bench, BENCH)}
+    for name, df in frames.items():
+        df.toPandas().to_parquet(f"{tmp_path}/{name}.parquet")
+    got = d.leaks(frames["documents"], frames["benchmark"])
+    assert ids(got) == [(1, 1), (2, 2), (3, 3), (5, 4)]
+    with connect(str(tmp_path)) as con:
+        assert differences(got.drop("text_hash"), con, sql.OP5) == []

@@ -93,3 +93,13 @@ def test_nothing_to_learn_from(spark):
 def test_invalid_bytes_do_not_stop_it(spark):
     df = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS STRING) AS text, 'en' AS lang")
     assert len(language_id.languages(df).collect()) == 1
+
+
+def test_samples_of_huge_tables_are_not_empty(spark):
+    """The rule for a table of 10^11 rows takes its share of 2 * 10^7 of them."""
+    from cardwatch.llm import language_id
+
+    rows = spark.range(20_000_000).withColumnRenamed("id", "doc_id")
+    got = rows.where(language_id.in_sample(10**11, 50_000_000)).count()
+    assert 9_500 < got < 10_500
+    assert rows.limit(1000).where(language_id.in_sample(1000, 20_000)).count() == 1000

@@ -64,3 +64,16 @@ def test_equals_sql(spark, sf_dir, name):
     got = quality_rules.verdicts(spark.read.parquet(f"{folder}/documents.parquet"))
     with connect(folder) as con:
         assert differences(got, con, sql.OP7) == []
+
+
+def test_limits_move_smoothly_with_the_size_of_a_group(spark):
+    """A source unlike its language, of 1 to 400 documents beside 2 000 plain ones of another source."""
+    sizes = [1, 5, 10, 16, 17, 25, 40, 80, 150, 199, 200, 201, 400]
+    rows = [(f"l{n}", s, "symbol_share", b, c) for n in sizes for s, b, c in (("plain", 0, 1000), ("plain", 4, 1000))]
+    rows += [(f"l{n}", "odd", "symbol_share", 96 + 2 * (k % 4), 1) for n in sizes for k in range(n)]
+    histogram = spark.createDataFrame(rows, "lang string, source string, metric string, bucket long, n long").groupBy(
+        "lang", "source", "metric", "bucket").sum("n").withColumnRenamed("sum(n)", "n")
+    most = {r.lang: r["__limits"]["symbol_share"]["most"] for r in quality_rules.limits(histogram).where("source = 'odd'").collect()}
+    assert most["l199"] == most["l200"] == most["l201"] and most["l1"] < 96 < most["l25"]
+    kept = [sum(96 + 2 * (k % 4) <= most[f"l{n}"] for k in range(n)) for n in sizes]
+    assert kept == [0 if n <= 16 else n for n in sizes]  # from a quarter of the weight on the source speaks for itself
