@@ -663,6 +663,42 @@ SELECT n_train, n_test, CAST(0 AS BIGINT) AS n_changed, true AS recall_reached,
        'auc_roc,f1,precision,recall' AS gates, CAST(1 AS BIGINT) AS n_versions, 'Production' AS stage
 FROM split"""
 )
+LEARNED["boosted_trees"] = (
+    TX
+    + _RANKED
+    + """
+SELECT CAST(100 AS INTEGER) AS n_trees, count(*) AS n_test, CAST(sum(is_fraud) AS BIGINT) AS n_fraud, true AS in_range,
+       true AS above_floor
+FROM ranked WHERE place > n_train"""
+)
+LEARNED["boosted_root_gains"] = (
+    TX
+    + """
+, long AS (
+  SELECT f.feature, CAST(f.x AS DOUBLE) AS x, is_fraud FROM (
+    SELECT is_fraud, unnest([{'feature': 'amount', 'x': CAST(amount AS DOUBLE)}, {'feature': 'V14', 'x': CAST(V14 AS DOUBLE)},
+                             {'feature': 'V17', 'x': CAST(V17 AS DOUBLE)}]) AS f FROM tx WHERE is_fraud IS NOT NULL)
+), spans AS (
+  SELECT feature, min(x) AS low, max(x) AS high FROM long GROUP BY feature
+), weights AS (
+  SELECT count(*) FILTER (is_fraud = 0) / CAST(count(*) FILTER (is_fraud = 1) AS DOUBLE) AS positive FROM tx
+), binned AS (
+  SELECT feature, len(list_filter(range(1, 64), lambda k: low + (high - low) * k / 64 < x)) AS bin,
+         CASE WHEN is_fraud = 1 THEN positive ELSE 1 END AS w, 0.5::DOUBLE - is_fraud AS g
+  FROM long JOIN spans USING (feature), weights
+), sums AS (
+  SELECT feature, bin, sum(w * g) AS g, sum(w * 0.25::DOUBLE) AS h FROM binned GROUP BY ALL
+), sides AS (
+  SELECT feature, bin, sum(g) OVER upto AS lg, sum(h) OVER upto AS lh, sum(g) OVER whole AS ag, sum(h) OVER whole AS ah
+  FROM sums WINDOW upto AS (PARTITION BY feature ORDER BY bin), whole AS (PARTITION BY feature)
+), gains AS (
+  SELECT feature, bin, (pow(greatest(abs(lg) - 0.1, 0), 2) / (lh + 1) + pow(greatest(abs(ag - lg) - 0.1, 0), 2) / (ah - lh + 1)
+                        - pow(greatest(abs(ag) - 0.1, 0), 2) / (ah + 1)) / 2 AS gain
+  FROM sides WHERE lh >= 1 AND ah - lh >= 1
+)
+SELECT feature, CAST(bin AS INTEGER) AS cut, round(gain, 6) AS gain FROM gains
+QUALIFY row_number() OVER (PARTITION BY feature ORDER BY round(gain, 6) DESC, bin) = 1"""
+)
 LEARNED["score_fitted"] = (
     REQUESTS
     + """
