@@ -49,6 +49,19 @@ def rejected(validated: DataFrame) -> DataFrame:
     return validated.where(F.size("violations") > 0)
 
 
+def route(ingested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rescued) of ingested requests: the clean and valid ones, and the others with their text and reasons.
+
+    A faulty record has its fault as the one reason; a clean one that breaks rules has their names, and no text.
+    """
+    checked = validate(ingested)
+    clean = F.col("fault").isNull()
+    taken = checked.where(clean & (F.size("violations") == 0)).drop("violations", "fault", "body")
+    reasons = F.when(clean, F.col("violations")).otherwise(F.array("fault"))
+    rescued = checked.where(~clean | (F.size("violations") > 0)).select("transaction_id", "body", reasons.alias("reasons"))
+    return taken, rescued
+
+
 def rejects_by_rule(validated: DataFrame) -> DataFrame:
     return (
         validated.select(F.explode("violations").alias("rule"))

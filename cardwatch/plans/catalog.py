@@ -10,6 +10,7 @@ from cardwatch.functions.display import risk_level
 from cardwatch.operators import (
     evaluation,
     gold,
+    incremental,
     joins,
     monitoring,
     profiles,
@@ -18,6 +19,7 @@ from cardwatch.operators import (
     sampling,
     scoring,
     selection,
+    sketches,
     trailing,
 )
 from cardwatch.plans.common import (
@@ -96,6 +98,19 @@ def gold_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return day.select("transaction_id", "client_id", "velocity_1h_calc", "risk_score")
 
 
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gold table brought up to date after a late delivery for one day; the days before it are not read again."""
+    tx = transactions(spark, sf_dir)
+    bronze, made = scratch_path(spark, "bronze"), scratch_path(spark, "gold")
+    late = (F.col(lake.PARTITION) == F.to_date(F.lit(PROBE_DAY))) & (F.col("transaction_id") % 2 == 0)
+    lake.append_by_date(tx.where(~late), bronze)
+    lake.write_by_date(gold.compute_features(lake.read_lake(spark, bronze)), made)
+    delivery = tx.where(late)
+    lake.append_by_date(delivery, bronze)
+    incremental.rebuild(lake.read_lake(spark, bronze), made, incremental.changed_days(delivery))
+    return _gold_rows(lake.read_lake(spark, made))
+
+
 def bronze_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appended deliveries of raw rows, counted per day."""
     path = scratch_path(spark, "bronze")
@@ -192,6 +207,25 @@ def decode_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ingest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests from files of JSON lines, some of them broken: accepted and rescued ones by reason."""
+    bodies = requests.encode_requests(request_table(spark, sf_dir))
+    number = F.get_json_object("body", "$.transaction_id").cast("long")
+    broken = (
+        F.when(number % 19 == 0, F.substring("body", 1, 20))
+        .when(number % 23 == 0, F.regexp_replace("body", '"amount":[^,}]*', '"amount":"high"'))
+        .otherwise(F.col("body"))
+    )
+    path = scratch_path(spark, "requests")
+    bodies.select(broken.alias("value")).write.text(path)
+    taken, rescued = quality.route(requests.ingest_files(spark, path))
+    return (
+        taken.select(F.lit("accepted").alias("reason"))
+        .unionByName(rescued.select(F.explode("reasons").alias("reason")))
+        .groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.hash_sample(transactions(spark, sf_dir)).select("transaction_id", "is_fraud")
 
@@ -371,6 +405,24 @@ def night_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def distinct_daily_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct merchants of a client over seven calendar days, from merged daily sketches."""
+    daily = sketches.daily_distinct(transactions(spark, sf_dir), "merchant_id")
+    return sketches.trailing_distinct(daily, 7).withColumnRenamed("distinct_values", "distinct_merchants_7d")
+
+
+def latency_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latency percentiles of every day from daily sketches, held against the rows: rank errors below 1 %."""
+    log, points = _log(spark, sf_dir), {"p50": 0.50, "p95": 0.95}
+    daily = sketches.daily_percentiles(log, "latency_ms")
+    errors = sketches.rank_errors(log, "latency_ms", sketches.percentiles(daily, points, "day"), points)
+    whole = sketches.percentiles(daily.withColumn("all", F.lit(0)), points, "all").withColumn("day", F.col("all").cast("long"))
+    every = sketches.rank_errors(log.withColumn("timestamp", F.lit(0).cast("long")), "latency_ms", whole.drop("all", "n"), points)
+    return errors.select(F.col("day").cast("string").alias("day"), "n", (F.col("p50") < 0.01).alias("p50_ok"), (F.col("p95") < 0.01).alias("p95_ok")).unionByName(
+        every.select(F.lit("all").alias("day"), "n", (F.col("p50") < 0.01).alias("p50_ok"), (F.col("p95") < 0.01).alias("p95_ok"))
+    )
+
+
 DISTINCT_SPECS = [
     ("distinct_merchants_7d", "merchant_id", gold.DAYS_7),
     ("distinct_countries_30d", "country", gold.DAYS_30),
@@ -557,6 +609,10 @@ BATCH: dict[str, Query] = {
     "apply_defaults": apply_defaults,
     "resolve_features": resolve_features,
     "decode_requests": decode_requests,
+    "ingest_requests": ingest_requests,
+    "gold_incremental": gold_incremental,
+    "distinct_daily_sketch": distinct_daily_sketch,
+    "latency_rollup": latency_rollup,
     "hash_sample": hash_sample,
     "stratified_split_counts": stratified_split_counts,
     "stratified_split_exact": stratified_split_exact,

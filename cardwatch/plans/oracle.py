@@ -365,6 +365,25 @@ FROM resolved""",
     + """
 SELECT transaction_id, amount, velocity_1h, round(V14, 6) AS V14, merchant_category
 FROM requests""",
+    "ingest_requests": REQUESTS
+    + """
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN transaction_id::BIGINT % 19 = 0 THEN 'malformed' WHEN transaction_id::BIGINT % 23 = 0 AND amount IS NOT NULL THEN 'wrong_type'
+              WHEN violations = '' THEN 'accepted' ELSE rule END AS reason
+  FROM checked, unnest(string_split(violations, ',')) AS u(rule)
+  QUALIFY row_number() OVER (PARTITION BY transaction_id, reason) = 1
+) GROUP BY reason""",
+    "gold_incremental": _GOLD_ROWS,
+    "distinct_daily_sketch": TX
+    + """
+, days AS (SELECT DISTINCT client_id, "timestamp" // 86400 AS day FROM tx WHERE merchant_id IS NOT NULL)
+SELECT d.client_id, d.day, count(DISTINCT t.merchant_id) AS distinct_merchants_7d
+FROM days d JOIN tx t ON t.client_id = d.client_id AND t."timestamp" // 86400 BETWEEN d.day - 6 AND d.day
+GROUP BY ALL""",
+    "latency_rollup": LOG
+    + """
+SELECT CAST("timestamp" // 86400 AS VARCHAR) AS day, count(*) AS n, true AS p50_ok, true AS p95_ok FROM log GROUP BY 1
+UNION ALL SELECT 'all', count(*), true, true FROM log""",
     "hash_sample": TX
     + f"""
 SELECT transaction_id, is_fraud FROM tx WHERE {_HASH.format(seed=42)} / pow(16, 15) < 0.2""",
@@ -752,6 +771,24 @@ SELECT s.user_id, s.event_type AS merchant_category, s.id AS transaction_id, s.t
 FROM seen s JOIN kept USING (user_id, event_type, t)""",
     "stream_scoring": BATCH["score_batch"],
     "stream_stats": BATCH["prediction_stats"],
+    "stream_late_rows": TX
+    + """
+, span AS (
+  SELECT min("timestamp") AS lo, max("timestamp") AS hi FROM tx
+), parts AS (
+  SELECT transaction_id, "timestamp", ("timestamp" - lo) * 4 // (hi - lo + 1) AS part FROM tx, span
+), arrived AS (
+  SELECT transaction_id, "timestamp", CASE WHEN transaction_id % 10 = 0 THEN least(part + 1, 3) ELSE part END AS batch FROM parts
+)
+SELECT a.transaction_id, CAST(a.batch AS BIGINT) AS batch FROM arrived a
+WHERE a."timestamp" < (SELECT max("timestamp") FROM arrived l WHERE l.batch < a.batch) - 600""",
+    "stream_feature_store": TX
+    + """
+SELECT client_id, max("timestamp") AS updated_at,
+       arg_max(amount, "timestamp" * 1000000000 + transaction_id) AS last_amount,
+       arg_max(transaction_id, "timestamp" * 1000000000 + transaction_id) AS last_id
+FROM tx GROUP BY client_id""",
+    "stream_feature_lookup": BATCH["feature_asof"],
     "stream_feature_upsert": TX
     + """
 SELECT client_id, max("timestamp") AS updated_at,

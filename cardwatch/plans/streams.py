@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.operators import scoring
+from cardwatch.operators import joins, scoring
 from cardwatch.plans.common import (
     LINEAR_INTERCEPT,
     LINEAR_THRESHOLD,
@@ -14,8 +14,10 @@ from cardwatch.plans.common import (
     Query,
     rounded,
 )
+from cardwatch.session import scratch_path
 from cardwatch.sources import derived
-from cardwatch.streaming import io, pipeline, stateful, windows
+from cardwatch.sources.tables import as_transactions, epoch_seconds, read_table
+from cardwatch.streaming import io, late, pipeline, stateful, store, windows
 
 WINDOW = ["client_id", "window_start", "window_end"]
 
@@ -92,7 +94,64 @@ def stream_feature_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.current_features(spark, path)
 
 
+PARTS = 4
+#: All files that are there make one micro-batch.
+ALL_FILES = 1_000_000
+
+
+def _deliveries(spark: SparkSession, sf_dir: str, path: str):
+    """The events written to ``path`` in four parts of their time, a tenth of each one part later; yields after each."""
+    events = read_table(spark, sf_dir, "events").withColumn("s", epoch_seconds(F.col("ts")))
+    low, high = events.agg(F.min("s"), F.max("s")).first()
+    part = F.floor((F.col("s") - F.lit(low)) * PARTS / F.lit((high or 0) - (low or 0) + 1))
+    arrives = F.when(F.col("event_id") % 10 == 0, F.least(part + 1, F.lit(PARTS - 1))).otherwise(part)
+    for i in range(PARTS):
+        events.where(arrives == i).drop("s").write.parquet(f"{path}/part{i}")
+        yield io.transaction_stream(spark, f"{path}/part*", files_per_batch=ALL_FILES)
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that came more than ten minutes behind the batches before, with the batch that brought them."""
+    path = scratch_path(spark, "deliveries")
+    for stream in _deliveries(spark, sf_dir, f"{path}/events"):
+        found = late.split_late(stream, f"{path}/split")
+    rows = spark.read.parquet(found.late)
+    return rows.select("transaction_id", F.col("batch_id").cast("long").alias("batch"))
+
+
+def stream_feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest features of every client, merged batch by batch and compacted."""
+    path = scratch_path(spark, "deliveries")
+    kept = store.Store(spark, f"{path}/store", "client_id", ["updated_at", "last_id"])
+    for stream in _deliveries(spark, sf_dir, f"{path}/events"):
+        rows = stream.select(
+            "client_id", F.col("timestamp").alias("updated_at"), F.col("transaction_id").alias("last_id"),
+            F.col("amount").alias("last_amount"),
+        )
+        store.feed(rows, kept, f"{path}/checkpoint")
+    kept.compact()
+    return kept.read()
+
+
+def stream_feature_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transaction of a stream with the features that were valid then, out of the versioned store."""
+    path = scratch_path(spark, "lookup")
+    snapshots = derived.feature_snapshots(as_transactions(read_table(spark, sf_dir, "events"), labelled=False))
+    history = store.Store(spark, f"{path}/store", "entry", ["valid_from"])
+    history.merge(snapshots.withColumn("entry", F.concat_ws(":", "client_id", "valid_from")), 0)
+    tx = _stream(spark, sf_dir).select("transaction_id", "client_id", "timestamp")
+    store.lookup(
+        tx, history, path, f"{path}/checkpoint",
+        lambda batch, features: joins.asof_lookup(batch, features.drop("entry")),
+    )
+    found = spark.read.parquet(f"{path}/data").drop("batch_id")
+    return rounded(found, "avg_amount_day")
+
+
 STREAMS: dict[str, Query] = {
+    "stream_late_rows": stream_late_rows,
+    "stream_feature_store": stream_feature_store,
+    "stream_feature_lookup": stream_feature_lookup,
     "stream_velocity": stream_velocity,
     "stream_trailing_velocity": stream_trailing_velocity,
     "stream_distinct_merchants": stream_distinct_merchants,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardwatch import schemas
 from cardwatch.functions.display import padded_id
@@ -19,6 +20,35 @@ def parse_requests(df: DataFrame, body: str) -> DataFrame:
     return df.select(F.from_json(body, schemas.REQUEST).alias("r")).select("r.*")
 
 
+CORRUPT = "_corrupt"
+
+
+def ingest(df: DataFrame, body: str = "value") -> DataFrame:
+    """Typed requests of a column of JSON text, with ``body`` and ``fault`` for those that cannot be taken as they are.
+
+    ``fault`` is null for a clean record; ``malformed`` for text that is no JSON object (an empty line and null too);
+    ``wrong_type`` where a field does not have its declared type. Nothing is lost: the text of a faulty record stays in
+    ``body``. Unknown fields are ignored.
+    """
+    schema = T.StructType([*schemas.REQUEST.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = df.select(
+        F.col(body).alias("__body"), F.from_json(body, schema, options).alias("r"), F.try_parse_json(F.col(body)).alias("v")
+    )
+    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    fault = F.when(~is_object, "malformed").when(F.col(f"r.{CORRUPT}").isNotNull(), "wrong_type")
+    return parsed.select(
+        *[F.col(f"r.{f.name}").alias(f.name) for f in schemas.REQUEST.fields],
+        fault.alias("fault"),
+        F.when(fault.isNotNull(), F.col("__body")).alias("body"),
+    )
+
+
+def ingest_files(spark: SparkSession, path: str) -> DataFrame:
+    """``ingest`` of text files with one record a line."""
+    return ingest(spark.read.text(path))
+
+
 def encode_requests(df: DataFrame, body: str = "body") -> DataFrame:
     fields = [f.name for f in schemas.REQUEST.fields if f.name in df.columns]
     return df.select(F.to_json(F.struct(*fields)).alias(body))
