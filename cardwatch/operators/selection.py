@@ -33,22 +33,24 @@ def variance_filter(
 
 
 def _class_moments(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Count, mean and squared deviations per feature and class: one aggregate over the table.
+    """Count, mean and squared deviations per feature and class: one aggregate over the table, one row a class.
 
-    Features become rows of one double column, which are combined before they are shuffled.
+    The features become rows only behind it.
     """
-    values = df.select(label, *[F.col(c).cast("double").alias(c) for c in features])
+    value = lambda c: F.col(c).cast("double")
+    by_class = df.groupBy(label).agg(
+        *[F.struct(F.count(value(c)).alias("n"), F.avg(value(c)).alias("mean"), F.var_pop(value(c)).alias("v")).alias(c) for c in features]
+    )
+    lines = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("of")) for c in features]
     return (
-        values.unpivot(label, list(features), "feature", "value")
-        .groupBy(label, "feature")
-        .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_pop("value").alias("v"))
-        .where("n > 0")
+        by_class.select(F.col(label).alias("__label"), F.inline(F.array(*lines)))
+        .where("of.n > 0")
         .select(
             "feature",
-            F.col(label).isNotNull().alias("labelled"),
-            "n",
-            "mean",
-            (F.col("v") * F.col("n")).alias("m2"),
+            F.col("__label").isNotNull().alias("labelled"),
+            F.col("of.n").alias("n"),
+            F.col("of.mean").alias("mean"),
+            (F.col("of.v") * F.col("of.n")).alias("m2"),
         )
     )
 

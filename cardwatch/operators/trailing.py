@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cardwatch.functions.moments import Moments, zscore
-from cardwatch.operators.skew import equal_on, running_totals
+from cardwatch.operators.skew import equal_on
 
 
 @dataclass(frozen=True)
@@ -63,151 +63,133 @@ def _deviation(finite: Column, n: Column, nan: Column, up: Column, down: Column)
     return F.when(odd == 0, finite).otherwise(F.when(n + odd > 1, float("nan")))
 
 
-SIDES = ("head", "tail")
-
-
 def trailing(
     df: DataFrame, specs: Sequence[Trailing], key: str = "client_id", ts: str = "timestamp"
 ) -> DataFrame:
     """Add one column per spec, in work linear in the rows whatever the size of a key.
 
-    Rows first collapse to one row per key and second. For each frame length W time is cut
-    into blocks of W seconds, so the frame ending at t is the tail of the block before, from
-    t - W on, plus the head of the block of t. Heads are running sums forwards. Tails are
-    running sums backwards, read off at a marker row that every second leaves in the block
-    before. A task never holds more than the 2W rows of one block and its markers, and no frame is
-    summed again for a row.
+    Time is cut into blocks as long as a frame. A row leaves a copy in the block after its own, so a frame lies within the
+    rows of one (key, block): one exchange and one sort by time serve all counts and shares, whatever their lengths, and
+    one exchange each length of means and deviations. The rows travel along, so the input is read once and joined with
+    nothing, and a task never holds more than the rows of two blocks of a key.
 
     NaN and infinities count as in SQL, but only in frames that hold them; nulls count nowhere. Rows without a
     time, or without a key, are each other's.
     """
-    columns = sorted({s.column for s in specs})
-    means = sorted({s.column for s in specs if s.function == "avg"})
-    shares = sorted({s.column for s in specs if s.function == "share"})
-    spread = sorted({s.column for s in specs if s.function == "stddev"})
-    measured = sorted({*means, *spread})
-    lengths = sorted({s.seconds for s in specs})
-
-    per_second = df.groupBy(key, ts).agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.sum(F.col(c).cast("int")).alias(f"true_{c}") for c in shares],
-        *[F.count(_finite(F.col(c))).alias(f"f_{c}") for c in measured],
-        *[
-            F.count_if(odd(F.col(c).cast("double"))).alias(f"{name}_{c}")
-            for c in measured
-            for name, odd in ODD.items()
-        ],
-        *[F.sum(_finite(F.col(c))).alias(f"sum_{c}") for c in means],
-        *[F.avg(_finite(F.col(c))).alias(f"mean_{c}") for c in spread],
-        *[
-            F.coalesce(F.var_pop(_finite(F.col(c))) * F.count(_finite(F.col(c))), F.lit(0.0)).alias(f"m2_{c}")
-            for c in spread
-        ],
-    )
-    places = [
-        F.struct(
-            F.lit(w).alias("length"),
-            F.lit(own).alias("own"),
-            (F.floor(F.col(ts) / w) - (0 if own else 1)).alias("block"),
-            F.pmod(F.col(ts), F.lit(w)).alias("offset"),
-        )
-        for w in lengths
-        for own in (True, False)
-    ]
-    # Rows without a time are each other's frame and leave no marker.
-    placed = per_second.select("*", F.inline(F.array(*places))).where(
-        F.col("own") | F.col(ts).isNotNull()
+    names = df.columns
+    counted = [s for s in specs if s.function in ("count", "share")]
+    if counted:
+        df = _with_counts(df, counted, key, ts)
+    measured = [s for s in specs if s.function in ("avg", "stddev")]
+    for seconds in sorted({s.seconds for s in measured}):
+        df = _with_moments(df, [s for s in measured if s.seconds == seconds], key, ts)
+    return df.select(*names, *[s.alias for s in specs])
+
+
+def _placed(df: DataFrame, terms: dict[str, Column], seconds: int, key: str, ts: str) -> DataFrame:
+    """(k, t, terms, b, row): every row in its block, and without itself, as a copy, in the next one."""
+    block = F.floor(F.col(ts) / seconds)
+    places = F.array(
+        F.struct(block.alias("b"), F.struct(*df.columns).alias("row")),
+        F.struct((block + 1).alias("b"), F.lit(None).cast(df.schema).alias("row")),
     )
+    return df.select(
+        F.col(key).alias("k"), F.col(ts).alias("t"), *[c.alias(name) for name, c in terms.items()], F.inline(places)
+    ).where(F.col("row").isNotNull() | F.col("t").isNotNull())
 
-    def own(column: str) -> Column:
-        return F.when(F.col("own"), F.coalesce(column, F.lit(0))).otherwise(0)
 
-    block = Window.partitionBy(key, "length", "block")
-    # Deviations are taken from the mean of the block, against cancellation.
-    centred = placed.select(
-        "*",
-        *[
-            F.coalesce(
-                F.try_divide(
-                    F.sum(own(f"f_{c}") * F.col(f"mean_{c}")).over(block),
-                    F.sum(own(f"f_{c}")).over(block),
-                ),
-                F.lit(0.0),
-            ).alias(f"centre_{c}")
-            for c in spread
-        ],
-    )
-    terms = {f"n_{c}": own(f"n_{c}") for c in columns}
-    terms |= {f"true_{c}": own(f"true_{c}") for c in shares}
-    terms |= {f"sum_{c}": own(f"sum_{c}") for c in means}
-    terms |= {f"{x}_{c}": own(f"{x}_{c}") for c in measured for x in ("f", *ODD)}
-    for c in spread:
-        shift = F.coalesce(F.col(f"mean_{c}") - F.col(f"centre_{c}"), F.lit(0.0))
-        terms[f"s1_{c}"] = own(f"f_{c}") * shift
-        terms[f"s2_{c}"] = own(f"m2_{c}") + own(f"f_{c}") * shift * shift
-    start, now = Window.unboundedPreceding, Window.currentRow
-    forwards = block.orderBy(F.asc("offset")).rangeBetween(start, now)
-    backwards = block.orderBy(F.desc("offset")).rangeBetween(start, now)
-    sides = centred.select(
-        key,
-        ts,
-        "length",
-        "own",
-        *[F.col(f"centre_{c}").alias(f"{side}_centre_{c}") for c in spread for side in SIDES],
-        *[F.sum(term).over(forwards).alias(f"head_{name}") for name, term in terms.items()],
-        *[F.sum(term).over(backwards).alias(f"tail_{name}") for name, term in terms.items()],
-    )
+_BLOCK = ("k", "b")
+
+
+def _with_counts(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
+    """Counts and shares: the running count at a row less that at the last row before its frame. Whole numbers, so exact."""
+    terms = {f"n_{s.column}": F.col(s.column).isNotNull().cast("long") for s in specs}
+    terms |= {f"true_{s.column}": F.coalesce(F.col(s.column).cast("long"), F.lit(0)) for s in specs if s.function == "share"}
+    placed = _placed(df, terms, max(s.seconds for s in specs), key, ts)
+    by_time = Window.partitionBy(*_BLOCK).orderBy("t")
+    upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    running = placed.select("k", "t", "b", "row", *[F.sum(name).over(upto).alias(name) for name in terms])
+
+    def within(name: str, seconds: int) -> Column:
+        before = F.last(name).over(by_time.rangeBetween(Window.unboundedPreceding, -(seconds + 1)))
+        # Rows without a time have none before them.
+        return F.col(name) - F.when(F.col("t").isNotNull(), F.coalesce(before, F.lit(0))).otherwise(0)
+
+    def result(s: Trailing) -> Column:
+        n = within(f"n_{s.column}", s.seconds)
+        if s.function == "count":
+            return n
+        return F.try_divide(within(f"true_{s.column}", s.seconds).cast("double"), n)
+
+    found = running.select("row", *[result(s).alias(s.alias) for s in specs]).where(F.col("row").isNotNull())
+    return found.select("row.*", *[s.alias for s in specs])
 
-    statistics = {
-        "count": ("n",),
-        "share": ("n", "true"),
-        "avg": ("f", "sum", *ODD),
-        "stddev": ("f", "s1", "s2", "centre", *ODD),
-    }
-    wanted = sorted(
-        {(f"{x}_{s.column}", s.seconds) for s in specs for x in statistics[s.function]}
+
+def _with_moments(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
+    """Means and deviations over frames of one length.
+
+    A frame is the tail of the block before, from t - W on, plus the head of the block of t. Heads are running sums
+    forwards over the block's own rows, tails are running sums backwards over the copies, read off at the last row before
+    the frame. Both add up values of the frame alone, so nothing large is taken off again, and deviations are taken
+    from the mean of their block, against cancellation.
+    """
+    w = specs[0].seconds
+    columns = sorted({s.column for s in specs})
+    terms = {f"x_{c}": _finite(F.col(c)) for c in columns}
+    terms |= {f"{name}_{c}": odd(F.col(c).cast("double")) for c in columns for name, odd in ODD.items()}
+    placed = _placed(df, terms, w, key, ts).withColumn("own", F.col("row").isNotNull())
+    whole = Window.partitionBy(*_BLOCK)
+    sides = {"head": F.col("own"), "tail": ~F.col("own")}
+    placed = placed.select(
+        "*", *[F.avg(F.when(here, F.col(f"x_{c}"))).over(whole).alias(f"{side}_centre_{c}") for c in columns for side, here in sides.items()]
     )
-    gathered = sides.groupBy(key, ts).agg(
-        *[
-            F.max(
-                F.when(
-                    (F.col("length") == w) & (F.col("own") == (side == "head")),
-                    F.col(f"{side}_{name}"),
-                )
-            ).alias(f"{side}_{name}_{w}")
-            for name, w in wanted
-            for side in SIDES
-        ]
+
+    def sums(side: str) -> dict[str, Column]:
+        """What a side adds up of a row: nothing of the other side's rows."""
+        out = {}
+        for c in columns:
+            x = F.when(sides[side], F.col(f"x_{c}"))
+            shift = x - F.col(f"{side}_centre_{c}")
+            out |= {f"f_{c}": x.isNotNull().cast("long"), f"sum_{c}": x, f"s1_{c}": shift, f"s2_{c}": shift * shift}
+            out |= {f"{name}_{c}": F.coalesce(F.col(f"{name}_{c}") & sides[side], F.lit(False)).cast("long") for name in ODD}
+        return out
+
+    def added(term: Column, over) -> Column:
+        total = F.sum(term).over(over)
+        return F.coalesce(total, F.lit(0).cast("double"))
+
+    later = whole.orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, -1)
+    by_time = whole.orderBy("t")
+    upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    before = by_time.rangeBetween(Window.unboundedPreceding, -(w + 1))
+    kept = ["k", "t", "b", "row", "own", *[f"{side}_centre_{c}" for side in sides for c in columns]]
+    tails, heads = sums("tail"), sums("head")
+    behind = placed.select(
+        "*",
+        F.struct(*[added(term, later).alias(name) for name, term in tails.items()]).alias("later"),
+        F.struct(*[added(term, whole).alias(name) for name, term in tails.items()]).alias("all"),
     )
+    both = behind.select(
+        *kept,
+        *[added(term, upto).alias(f"head_{name}") for name, term in heads.items()],
+        F.coalesce(F.last("later").over(before), F.col("all")).alias("tail"),
+    ).where("own")
 
-    def both(name: str, w: int) -> Column:
-        head, tail = (F.coalesce(f"{side}_{name}_{w}", F.lit(0)) for side in SIDES)
-        return head + tail
+    def total(name: str) -> Column:
+        return F.col(f"head_{name}") + F.col(f"tail.{name}")
 
-    def moments(side: str, c: str, w: int) -> Moments:
-        n, s1, s2, centre = (
-            F.coalesce(f"{side}_{x}_{c}_{w}", F.lit(0)) for x in ("f", "s1", "s2", "centre")
-        )
-        mean = F.when(n > 0, centre + s1 / n)
-        m2 = F.when(n > 0, F.greatest(s2 - s1 * s1 / n, F.lit(0.0))).otherwise(0.0)
-        return Moments(n, mean, m2)
+    def moments(side: str, c: str) -> Moments:
+        n, s1, s2 = (F.col(f"head_{x}_{c}") if side == "head" else F.col(f"tail.{x}_{c}") for x in ("f", "s1", "s2"))
+        mean = F.when(n > 0, F.col(f"{side}_centre_{c}") + s1 / n)
+        return Moments(n, mean, F.when(n > 0, F.greatest(s2 - s1 * s1 / n, F.lit(0.0))).otherwise(0.0))
 
     def result(s: Trailing) -> Column:
-        def total(name: str) -> Column:
-            return both(f"{name}_{s.column}", s.seconds)
-
-        if s.function == "count":
-            return total("n")
-        if s.function == "share":
-            return F.when(total("n") > 0, total("true").cast("double") / total("n"))
-        n, odd = total("f"), [total(name) for name in ODD]
+        n, odd = total(f"f_{s.column}"), [total(f"{name}_{s.column}") for name in ODD]
         if s.function == "avg":
-            return _mean(F.when(n > 0, total("sum") / n), *odd)
-        head, tail = (moments(side, s.column, s.seconds) for side in SIDES)
-        return _deviation(head.merge(tail).stddev(), n, *odd)
+            return _mean(F.when(n > 0, total(f"sum_{s.column}") / n), *odd)
+        return _deviation(moments("head", s.column).merge(moments("tail", s.column)).stddev(), n, *odd)
 
-    frames = gathered.select(key, ts, *[result(s).alias(s.alias) for s in specs])
-    return equal_on(df, frames, [key, ts])
+    return both.select("row.*", *[result(s).alias(s.alias) for s in specs])
 
 
 def trailing_distinct(
@@ -220,57 +202,51 @@ def trailing_distinct(
 
     An occurrence of a value covers the seconds from its own up to the value's next occurrence
     or the end of its frame, whichever is first. Spans of one value do not overlap, so the
-    number of open spans at t is the number of distinct values in the frame of t. Spans are found per
-    day and counted in day blocks, so no key needs a task of its own. Rows need a time.
+    number of open spans at t is the number of distinct values in the frame of t.
+
+    Time is cut into blocks as long as the frame. The next occurrence that matters is in the block of a row or the one
+    after, and a span reaches into the block after at most, so rows and spans leave a copy there and no block needs
+    another's result: two exchanges a spec, no join, and the rows themselves travel along, so the input is read once. No key
+    needs a task of its own. Rows need a time.
     """
     for alias, c, seconds in specs:
-        counts = _distinct_by_spans(df.select(key, ts, c), alias, c, seconds, key, ts)
-        df = equal_on(df, counts, [key, ts])
+        df = _with_distinct(df, alias, c, seconds, key, ts)
     return df
 
 
-DAY = 86_400
-
-
-def _distinct_by_spans(
-    df: DataFrame, alias: str, column: str, seconds: int, key: str, ts: str
-) -> DataFrame:
-    """Distinct values per key and second; spans are found per value, then counted by day."""
-    day = F.floor(F.col(ts) / DAY)
-    seen = df.select(key, column, ts).distinct().withColumn("day", day)
-    in_day = Window.partitionBy(key, column, "day").orderBy(ts)
-    days = seen.groupBy(key, column, "day").agg(F.min(ts).alias("first"))
-    across = Window.partitionBy(key, column).orderBy("day")
-    later = days.select(key, column, "day", F.lead("first").over(across).alias("next_day"))
-    spans = equal_on(
-        seen.where(F.col(column).isNotNull()).select(
-            "*", F.lead(ts).over(in_day).alias("next")
-        ),
-        later,
-        [key, column, "day"],
-    )
-    closes = F.least(F.col(ts) + seconds + 1, F.coalesce("next", "next_day"))
-    changes = spans.select(
-        key,
-        F.inline(
-            F.array(
-                F.struct(F.col(ts).alias(ts), F.lit(1).alias("open"), F.lit(1).alias("real")),
-                F.struct(closes.alias(ts), F.lit(-1).alias("open"), F.lit(0).alias("real")),
-            )
-        ),
-    )
-    # Seconds without a value still need a count.
-    silent = seen.where(F.col(column).isNull()).select(
-        key, ts, F.lit(0).alias("open"), F.lit(1).alias("real")
+def _with_distinct(df: DataFrame, alias: str, column: str, seconds: int, key: str, ts: str) -> DataFrame:
+    block = F.floor(F.col(ts) / seconds)
+    # The copy in the block before tells the rows there of the next occurrence; a null is no value.
+    places = F.array(
+        F.struct(block.alias("b"), F.struct(*df.columns).alias("row")),
+        F.struct((block - 1).alias("b"), F.lit(None).cast(df.schema).alias("row")),
     )
-    per_second = (
-        changes.unionByName(silent)
-        .groupBy(key, ts)
-        .agg(F.sum("open").alias("open"), F.max("real").alias("real"))
-        .withColumn("day", day)
+    placed = df.select(
+        F.col(key).alias("k"), F.col(column).alias("v"), F.col(ts).alias("t"), F.inline(places)
+    ).where(F.col("row").isNotNull() | (F.col("v").isNotNull() & F.col("t").isNotNull()))
+    following = F.lead("t").over(Window.partitionBy("k", "b", "v").orderBy("t"))
+    end = F.col("t") + seconds + 1
+    rows = placed.select("k", "v", "t", "b", "row", F.least(end, F.coalesce(following, end)).alias("c")).where(F.col("row").isNotNull())
+    there, border = F.col("v").isNotNull(), (F.col("b") + 1) * seconds
+    closes_in = F.floor(F.col("c") / seconds)
+    nothing = F.lit(None).cast(df.schema)
+
+    def event(b: Column, t: Column, change: int, when: Column) -> Column:
+        return F.when(there & when, F.struct(b.alias("b"), t.alias("t"), F.lit(change).alias("change"), nothing.alias("row")))
+
+    own = F.struct(F.col("b").alias("b"), F.col("t").alias("t"), there.cast("int").alias("change"), F.col("row").alias("row"))
+    events = rows.select(
+        "k",
+        F.inline(F.array_compact(F.array(
+            own,
+            event(F.col("b"), F.col("c"), -1, closes_in == F.col("b")),
+            event(F.col("b") + 1, border, 1, F.col("c") > border),
+            event(F.col("b") + 1, F.col("c"), -1, (F.col("c") > border) & (closes_in == F.col("b") + 1)),
+        ))),
     )
-    counted = running_totals(per_second, ts, "day", ["open"], by=[key])
-    return counted.where("real = 1").select(key, ts, F.col("cum_open").alias(alias))
+    upto = Window.partitionBy("k", "b").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = events.select("row", F.sum("change").over(upto).alias("n")).where(F.col("row").isNotNull())
+    return counted.select("row.*", F.col("n").cast("long").alias(alias))
 
 
 def running_zscore(

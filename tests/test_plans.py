@@ -70,3 +70,21 @@ def test_no_cross_join(spark, sf_dir, name):
 
 def test_top_rows_need_no_full_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in plan(catalog.recent_predictions(spark, sf_dir))
+
+
+def test_distinct_counts_read_their_input_once(spark, sf_dir):
+    text = plan(catalog.BATCH["distinct_trailing"](spark, sf_dir))
+    for table in ("events", "customer", "nation"):
+        assert len(re.findall(rf"FileScan parquet .*?{table}\.parquet", text)) == 1
+    assert not re.search(r"hashpartitioning\(k#\d+L?, \d+\)", text)
+
+
+def test_feature_ranking_needs_no_row_per_feature(spark, sf_dir):
+    text = plan(catalog.BATCH["anova_topk"](spark, sf_dir))
+    assert "Expand" not in text
+
+
+def test_gold_features_take_two_exchanges_and_one_scan(spark, sf_dir):
+    text = plan(gold.compute_features(transactions(spark, sf_dir)))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 2
+    assert len(re.findall(r"FileScan parquet", text)) == 1 and "Join" not in text
