@@ -33,64 +33,95 @@ BROADCAST_ROWS = 500_000
 # Scripts that set no spaces between words; each of their characters is a word here.
 UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 
+#: All of them lie here; a look for one range is cheap, and most texts have nothing in it.
+BEYOND = "[\u0e00-\\x{10FFFF}]"
+
 
 def words(text: Column) -> Column:
     """Hashes of the lower-cased runs of letters and digits; in unspaced scripts of every character."""
     lowered = F.lower(F.coalesce(text, F.lit("")))
-    spaced = F.when(lowered.rlike(UNSPACED), F.regexp_replace(lowered, f"({UNSPACED})", " $1 ")).otherwise(lowered)
+    spaced = F.when(lowered.rlike(BEYOND), F.regexp_replace(lowered, f"({UNSPACED})", " $1 ")).otherwise(lowered)
     parts = F.split(spaced, r"[^\p{L}\p{N}]+")
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _spaced(w: Column) -> Column:
-    """(at, seed) of all masks at all positions."""
-    starts = F.sequence(F.lit(0), F.size(w) - SPAN)
+_LONGS = "array<bigint>"
 
-    def under(number: int, mask: tuple[int, ...]) -> Column:
-        return F.transform(
-            starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit(number), *[F.get(w, i + o) for o in mask]).alias("seed"))
-        )
 
-    every = F.concat(*[under(n, m) for n, m in enumerate(MASKS)])
-    return F.when(F.size(w) >= SPAN, every).otherwise(_nothing())
+class Kind:
+    """A way to hash words at every position of a text: the words at some places, under a number of their own."""
+
+    def __init__(self, number: int, places: tuple[int, ...], span: int) -> None:
+        self.number, self.places, self.span = number, places, span
+
+    def at(self, w: Column, i: Column) -> Column:
+        return F.xxhash64(F.lit(self.number), *[F.get(w, i + o) for o in self.places])
+
+    def count(self, n: Column) -> Column:
+        return F.greatest(n - (self.span - 1), F.lit(0))
+
+    def seeds(self, w: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.size(w) - self.span), lambda i: self.at(w, i))
+        return F.when(F.size(w) >= self.span, every).otherwise(F.array().cast(_LONGS))
 
 
-def _nothing() -> Column:
-    return F.array().cast("array<struct<at:int,seed:bigint>>")
+class Alone(Kind):
+    """One hash of all words of a text of fewer than ``PASSAGE``."""
 
+    def __init__(self) -> None:
+        super().__init__(-1, (), 1)
 
-def _run(w: Column, at: Column, length: int) -> Column:
-    """(at, seed) of so many words from a position; the length is part of the hash."""
-    return F.struct(at.alias("at"), F.xxhash64(F.lit(100 + length), *[F.get(w, at + k) for k in range(length)]).alias("seed"))
+    def count(self, n: Column) -> Column:
+        return ((n > 0) & (n < PASSAGE)).cast("int")
 
+    def seeds(self, w: Column) -> Column:
+        return F.when(self.count(F.size(w)) > 0, F.array(F.xxhash64(F.lit(-1), w))).otherwise(F.array().cast(_LONGS))
 
-def _runs(w: Column, length: int) -> Column:
-    every = F.transform(F.sequence(F.lit(0), F.size(w) - length), lambda i: _run(w, i, length))
-    return F.when(F.size(w) >= length, every).otherwise(_nothing())
 
+MASK_KINDS = [Kind(n, mask, SPAN) for n, mask in enumerate(MASKS)]
 
-def _alone(w: Column) -> Column:
-    """One seed for a text of fewer than ``PASSAGE`` words."""
-    short = (F.size(w) > 0) & (F.size(w) < PASSAGE)
-    return F.when(short, F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.lit(-1), w).alias("seed")))).otherwise(_nothing())
 
+def run_of(length: int) -> Kind:
+    return Kind(100 + length, tuple(range(length)), length)
 
-def _item_seeds(w: Column) -> Column:
-    n, found = F.size(w), F.when(F.size(w) >= WINDOW, _spaced(w))
-    for length in range(ONE_CHANGE, WINDOW):
-        half = length // 2
-        found = found.when(n == length, F.array(_run(w, F.lit(0), half), _run(w, F.lit(half), length - half)))
-    for length in range(PASSAGE, ONE_CHANGE):
-        found = found.when(n == length, F.array(_run(w, F.lit(0), length)))
-    return found.otherwise(_alone(w))
 
+def _placed(df: DataFrame, keys: list[str], w: Column, kinds: list[Kind]) -> DataFrame:
+    """(keys, at, seed): a row per kind and position; plain numbers, since there is one for every word."""
+    found = df.select(
+        *keys, let(w, lambda x: F.struct(F.size(x).alias("n"), F.concat(*[k.seeds(x) for k in kinds]).alias("seeds"))).alias("s")
+    ).select(*keys, F.col("s.n").alias("n"), F.posexplode("s.seeds").alias("k", "seed"))
+    start, at = F.lit(0), None
+    for kind in kinds:
+        behind = start + kind.count(F.col("n"))
+        here = F.col("k") - start
+        at = F.when(F.col("k") < behind, here) if at is None else at.when(F.col("k") < behind, here)
+        start = behind
+    return found.select(*keys, at.alias("at"), "seed")
 
-def _lengths(known: DataFrame) -> tuple[bool, list[int], bool]:
-    """What documents must be hashed by: the masks, runs of these lengths (8 values at most), whole short texts."""
+
+def _item_seeds(known: DataFrame) -> DataFrame:
+    """(item_id, item_at, seed): by masks from 13 words on, by halves from 8, by all words below."""
+    w, n, found = F.col("w"), F.size("w"), None
+    for length in range(PASSAGE, WINDOW):
+        half = length // 2 if length >= ONE_CHANGE else length
+        parts = [F.struct(F.lit(0).alias("at"), run_of(half).at(w, F.lit(0)).alias("seed"))]
+        if half < length:
+            parts.append(F.struct(F.lit(half).alias("at"), run_of(length - half).at(w, F.lit(half)).alias("seed")))
+        found = F.when(n == length, F.array(*parts)) if found is None else found.when(n == length, F.array(*parts))
+    alone = F.struct(F.lit(0).alias("at"), F.xxhash64(F.lit(-1), w).alias("seed"))
+    short = known.where(n < WINDOW).select(
+        "item_id", F.inline(found.otherwise(F.array(alone)))
+    )
+    long = _placed(known.where(n >= WINDOW), ["item_id"], w, MASK_KINDS)
+    return long.unionByName(short).select("item_id", F.col("at").alias("item_at"), "seed")
+
+
+def _kinds(known: DataFrame) -> list[Kind]:
+    """What documents must be hashed by: the masks, runs of some lengths (at most 4), whole short texts."""
     sizes = {r[0] for r in known.select(F.least(F.size("w"), F.lit(WINDOW)).alias("n")).distinct().collect()}
     runs = {h for n in sizes if ONE_CHANGE <= n < WINDOW for h in (n // 2, n - n // 2)}
     runs |= {n for n in sizes if PASSAGE <= n < ONE_CHANGE}
-    return WINDOW in sizes, sorted(runs), any(n < PASSAGE for n in sizes)
+    return MASK_KINDS * (WINDOW in sizes) + [run_of(n) for n in sorted(runs)] + [Alone()] * any(n < PASSAGE for n in sizes)
 
 
 def items(benchmark: DataFrame) -> DataFrame:
@@ -118,23 +149,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     known = saved(items(benchmark.select("item_id", "text")), "items")
-    masks, lengths, alone = _lengths(known)
-    seeds = small_or_shuffled(
-        known.select("item_id", F.explode(_item_seeds(F.col("w"))).alias("s"))
-        .select("item_id", F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed")),
-        BROADCAST_ROWS,
+    # Without items nothing is searched for; a kind keeps the plan whole.
+    kinds = _kinds(known) or [Alone()]
+    seeds = small_or_shuffled(_item_seeds(known), BROADCAST_ROWS)
+    placed = _placed(
+        docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")), ["doc_id", "text_hash"], words(F.col("text")), kinds
     )
-
-    def document_seeds(w: Column) -> Column:
-        kinds = [_spaced(w)] * masks + [_runs(w, n) for n in lengths] + [_alone(w)] * alone
-        return F.concat(*kinds) if kinds else _nothing()
-
-    placed = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), let(words(F.col("text")), document_seeds).alias("seeds")
-    ).select("doc_id", "text_hash", F.explode("seeds").alias("s"))
     hits = saved(
-        placed.select("doc_id", "text_hash", F.col("s.at").alias("at"), F.col("s.seed").alias("seed"))
-        .join(seeds, "seed")
+        placed.join(seeds, "seed")
         .select("doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
         .distinct(),
         "hits",
