@@ -30,6 +30,8 @@ REMEMBERED = 200_000
 BROADCAST_TASKS = 100_000
 
 _PLAIN = re.compile(rb"([A-Za-z]+)([.,]?)")
+#: A text that tells whether a tokenizer gives the ids of its words in a row: cases, marks, accents, runs of white space.
+_PROBE = "The plain Words, and THE rest.  don't  x1 e\u0301t\u00e9 \u4e2d\u6587\nNew\t\tline, again .".encode()
 
 
 class WordIds:
@@ -37,7 +39,8 @@ class WordIds:
 
     For tokenizers whose pre-tokenizer drops white space and splits at it, the ids of a text are those of its
     words in a row. A word of plain letters goes to the model alone, lower-cased, and a full stop or comma
-    behind it is a token of its own; any other word goes through the whole tokenizer.
+    behind it is a token of its own; any other word goes through the whole tokenizer. A tokenizer whose ids of a probing
+    text are others than that (one that keeps white space or cases, say) gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -48,6 +51,8 @@ class WordIds:
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.marks = {m: self._whole(m) for m in (b".", b",")} | {b"": b""}
+        self.by_words = True
+        self.by_words = self.ids(_PROBE) == self._whole(_PROBE)
 
     def _whole(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
@@ -68,6 +73,8 @@ class WordIds:
         return found
 
     def ids(self, text: bytes) -> bytes:
+        if not self.by_words:
+            return self._whole(text)
         known, learn = self.young.get, self._learn
         return b"".join([known(w) or learn(w) for w in text.split()])
 

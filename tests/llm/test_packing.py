@@ -85,3 +85,13 @@ def test_odd_rows(spark, tokenizer):
 
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_tokenizers_that_keep_white_space_get_whole_texts():
+    text = "Two  Spaces, and\n\nlines THEN 中文 don't."
+    for name, by_words in (("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)):
+        path = public_tokenizers.path(name)
+        ids = packing.WordIds(path)
+        want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert ids.by_words is by_words
+        assert list(memoryview(ids.ids(text.encode())).cast("I")) == want
