@@ -28,13 +28,11 @@ def score_histogram(
 def _ranked(df: DataFrame, score: str, label: str, digits: int | None) -> DataFrame:
     """The histogram with counts at or above each score and the class totals."""
     histogram = score_histogram(df, score, label, digits)
-    totals = histogram.agg(F.struct(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))).scalar()
     blocked = with_value_blocks(histogram, "threshold").withColumn("one", F.lit(1))
     return (
         running_totals(blocked, "threshold", "block", ["pos", "neg", "one"], descending=True)
-        .withColumn("totals", totals)
-        .withColumn("tpr", F.try_divide(F.col("cum_pos").cast("double"), "totals.pos"))
-        .withColumn("fpr", F.try_divide(F.col("cum_neg").cast("double"), "totals.neg"))
+        .withColumn("tpr", F.try_divide(F.col("cum_pos").cast("double"), "all_pos"))
+        .withColumn("fpr", F.try_divide(F.col("cum_neg").cast("double"), "all_neg"))
     )
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cardwatch import schemas
-from cardwatch.operators.skew import equal_on
 
 DAY = 86_400
 
@@ -39,40 +38,44 @@ def asof_lookup(
 ) -> DataFrame:
     """Add the history columns that were valid for the key at the time of each row.
 
-    History is gathered per key and time block, at most one entry per second, with the last
-    entry of earlier blocks carried in front. The rows then meet it in an equality join on key
-    and block, which adaptive execution splits where a key is hot.
+    Time is cut into blocks. Rows and entries, at most one a second, meet in their (key, block), where one pass in the
+    order of time gives every row the entry before it; the last entry of earlier blocks stands in front. The work is
+    linear in rows and entries, and a task holds no more than one block of a key at once. Entries without a time are never
+    valid, and rows without one find none; a null key is a key of its own.
     """
     payload = [c for c in history.columns if c not in (on, valid_from)]
-    at_block = F.floor(F.col(valid_from) / block_seconds)
-    row_block = F.floor(F.col(ts) / block_seconds)
-    per_second = history.groupBy(on, valid_from).agg(
-        *[F.max_by(c, F.struct(*payload)).alias(c) for c in payload]
+    entries = (
+        history.where(F.col(valid_from).isNotNull())
+        .groupBy(F.col(on).alias("_key"), F.col(valid_from).alias("_at"))
+        .agg(F.max(F.struct(*payload)).alias("_entry"))
+        .withColumn("_block", F.floor(F.col("_at") / block_seconds))
     )
-    entries = per_second.select(
-        on,
-        at_block.alias("_block"),
-        F.struct(F.col(valid_from).alias("_from"), *payload).alias("_entry"),
+    block = F.floor(F.col(ts) / block_seconds)
+    asked = df.select(F.col(on).alias("_key"), block.alias("_block")).distinct()
+    # One line per key and block: the entry that earlier blocks leave.
+    last = (
+        entries.groupBy("_key", "_block").agg(F.max_by("_entry", "_at").alias("_entry"))
+        .unionByName(asked, allowMissingColumns=True)
+        .groupBy("_key", "_block").agg(F.first("_entry", ignorenulls=True).alias("_entry"))
     )
-    # Blocks that only hold rows need the carried entry too.
-    blocks = df.select(on, row_block.alias("_block"), F.lit(None).cast(
-        entries.schema["_entry"].dataType).alias("_entry")
-    ).distinct().unionByName(entries)
-    per_block = blocks.groupBy(on, "_block").agg(
-        F.sort_array(F.collect_list("_entry")).alias("_entries"), F.max("_entry").alias("_last")
+    earlier = Window.partitionBy("_key").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = last.select("_key", "_block", F.last("_entry", ignorenulls=True).over(earlier).alias("_entry"))
+    rows = df.select(
+        F.col(on).alias("_key"), block.alias("_block"), F.col(ts).alias("_at"), F.struct(*df.columns).alias("_row")
     )
-    earlier = Window.partitionBy(on).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_block.select(
-        on,
-        "_block",
-        F.array_compact(
-            F.concat(F.array(F.last("_last", ignorenulls=True).over(earlier)), "_entries")
-        ).alias("_entries"),
+    together = rows.unionByName(entries, allowMissingColumns=True).unionByName(
+        carried.where(F.col("_entry").isNotNull()), allowMissingColumns=True
     )
-    joined = equal_on(df.withColumn("_block", row_block), carried, [on, "_block"])
-    valid = F.filter("_entries", lambda e: e["_from"] <= F.col(ts))
-    return joined.withColumn("_hit", F.try_element_at(valid, F.lit(-1))).select(
-        *df.columns, *[F.col(f"_hit.{c}").alias(c) for c in payload]
+    # What is carried has no time and comes first; an entry is valid from its own second on.
+    upto = (
+        Window.partitionBy("_key", "_block")
+        .orderBy(F.asc_nulls_first("_at"), F.col("_row").isNotNull())
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        together.withColumn("_hit", F.last("_entry", ignorenulls=True).over(upto))
+        .where(F.col("_row").isNotNull())
+        .select("_row.*", *[F.col(f"_hit.{c}").alias(c) for c in payload])
     )
 
 

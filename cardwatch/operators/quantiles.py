@@ -21,15 +21,14 @@ def exact_quantiles(df: DataFrame, column: str, points: Mapping[str, float]) ->
         .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
-    ranked = running_totals(with_value_blocks(counts, "value"), "value", "block", ["n"]).withColumn("total", total)
+    ranked = running_totals(with_value_blocks(counts, "value"), "value", "block", ["n"])
 
     def value_at(rank):
         return F.min(F.when(F.col("cum_n") > rank, F.col("value")))
 
     parts = []
     for name, p in points.items():
-        place = F.col("total").cast("double") * p - p
+        place = F.col("all_n").cast("double") * p - p
         parts += [
             value_at(F.floor(place)).alias(f"low_{name}"),
             value_at(F.ceil(place)).alias(f"high_{name}"),

@@ -33,7 +33,7 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``cum_<c>``: the sum of ``c`` over all rows at or before this one in ``order``.
+    """Add ``cum_<c>``, the sum of ``c`` over all rows at or before this one in ``order``, and ``all_<c>``, over all.
 
     ``block`` must rise with ``order`` (fall with it if ``descending``: it is read in the same
     direction). A block is one task's work; between blocks only their totals are combined.
@@ -55,11 +55,13 @@ def running_totals(
         *by,
         block,
         *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_b_{c}") for c in sums],
+        *[F.sum(f"_t_{c}").over(Window.partitionBy(*by)).alias(f"all_{c}") for c in sums],
     )
     joined = equal_on(local, before, [*by, block])
     return joined.select(
         *df.columns,
         *[(F.col(f"_in_{c}") + F.col(f"_b_{c}")).alias(f"cum_{c}") for c in sums],
+        *[f"all_{c}" for c in sums],
     )
 
 

@@ -104,6 +104,14 @@ def test_country_without_a_class_has_no_rate(spark):
     assert rows == [("FR", 1, 1, 50.0), ("DE", 1, None, None)]
 
 
+def test_profile_gives_the_figures_the_table_has(spark):
+    df = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 4.0)], "is_fraud int, V14 double")
+    got = profiles.vfeature_profile(df)
+    assert got.columns == ["is_fraud", "V14_moy", "V14_std"]
+    assert [tuple(r) for r in got.collect()] == [(0, 1.5, 0.707), (1, 4.0, None)]
+    assert [r[0] for r in profiles.class_profile(df, []).collect()] == [0, 1]
+
+
 def test_class_weights_without_positives(spark):
     df = spark.createDataFrame([(0,), (0,)], "is_fraud int")
     row = profiles.class_weights(df).first()

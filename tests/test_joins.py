@@ -29,6 +29,20 @@ def test_asof_is_valid_from_its_own_second(spark):
     assert got == {1: None, 2: 1.5}
 
 
+def test_asof_without_times_keys_or_history(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, 7, None), (3, 7, 200_000), (4, 8, 5), (4, 8, 5)],
+                               "transaction_id long, client_id long, timestamp long")
+    types = "client_id long, valid_from long, x double"
+    history = spark.createDataFrame([(None, 1, 1.0), (7, None, 2.0), (7, 1, 3.0), (7, 1, 4.0), (7, 9, None)], types)
+    got = joins.asof_lookup(df, history)
+    assert got.columns == ["transaction_id", "client_id", "timestamp", "x"]
+    # The entry of second 9 is the newest and says null.
+    assert sorted((r["transaction_id"], r["x"]) for r in got.collect()) == [
+        (1, 1.0), (2, None), (3, None), (4, None), (4, None)]
+    empty = joins.asof_lookup(df, spark.createDataFrame([], types))
+    assert [r["x"] for r in empty.collect()] == [None] * 5
+
+
 def test_latest_feedback_wins(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "transaction_id long, is_fraud int")
     feedback = spark.createDataFrame(

@@ -88,3 +88,14 @@ def test_gold_features_take_two_exchanges_and_one_scan(spark, sf_dir):
     text = plan(gold.compute_features(transactions(spark, sf_dir)))
     assert len(re.findall(r"Exchange hashpartitioning", text)) <= 2
     assert len(re.findall(r"FileScan parquet", text)) == 1 and "Join" not in text
+
+
+def test_asof_holds_no_array_of_entries(spark, sf_dir):
+    text = plan(catalog.BATCH["feature_asof"](spark, sf_dir))
+    assert "collect_list" not in text and "Join" not in text
+
+
+def test_roc_totals_need_no_scan_of_their_own(spark, sf_dir):
+    text = plan(catalog.BATCH["roc_curve"](spark, sf_dir))
+    # Two branches, each printed with the cuts of its blocks.
+    assert len(re.findall(r"FileScan parquet", text)) <= 4
