@@ -806,3 +806,5 @@ def _stable(sql: str) -> str:
 BATCH = {name: _stable(sql) for name, sql in BATCH.items()}
 LEARNED = {name: _stable(sql) for name, sql in LEARNED.items()}
 STREAMS = {name: _stable(sql) for name, sql in STREAMS.items()}
+for _name in ("trailing_velocity", "running_zscore", "reuse"):
+    STREAMS[f"stream_{_name}_state"] = STREAMS[f"stream_{_name}"]

@@ -17,7 +17,7 @@ from cardwatch.plans.common import (
 from cardwatch.session import scratch_path
 from cardwatch.sources import derived
 from cardwatch.sources.tables import as_transactions, epoch_seconds, read_table
-from cardwatch.streaming import io, late, pipeline, stateful, store, windows
+from cardwatch.streaming import io, late, pipeline, stateful, store, variables, windows
 
 WINDOW = ["client_id", "window_start", "window_end"]
 
@@ -72,6 +72,26 @@ def stream_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.read_output(spark, io.run_append(kept, "reuse"), kept)
 
 
+def stream_trailing_velocity_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_trailing_velocity``, on state variables and timers."""
+    with variables.with_rocksdb(spark):
+        rows = variables.trailing_velocity(_stream(spark, sf_dir))
+        return io.read_output(spark, io.run_append(rows, "trailing"), rows)
+
+
+def stream_running_zscore_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with variables.with_rocksdb(spark):
+        rows = variables.running_zscore(_stream(spark, sf_dir))
+        written = io.read_output(spark, io.run_append(rows, "zscore"), rows)
+    return rounded(written.select("transaction_id", "zscore_running"), "zscore_running")
+
+
+def stream_reuse_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with variables.with_rocksdb(spark):
+        kept = variables.reuse_results(_stream(spark, sf_dir), ["user_id", "merchant_category"])
+        return io.read_output(spark, io.run_append(kept, "reuse"), kept)
+
+
 def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     requests = derived.requests(_stream(spark, sf_dir))
     model = scoring.linear_model(LINEAR_WEIGHTS, LINEAR_INTERCEPT)
@@ -160,6 +180,9 @@ STREAMS: dict[str, Query] = {
     "stream_night_ratio": stream_night_ratio,
     "stream_running_zscore": stream_running_zscore,
     "stream_reuse": stream_reuse,
+    "stream_trailing_velocity_state": stream_trailing_velocity_state,
+    "stream_running_zscore_state": stream_running_zscore_state,
+    "stream_reuse_state": stream_reuse_state,
     "stream_scoring": stream_scoring,
     "stream_stats": stream_stats,
     "stream_feature_upsert": stream_feature_upsert,
