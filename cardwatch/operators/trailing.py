@@ -98,6 +98,11 @@ def _placed(df: DataFrame, terms: dict[str, Column], seconds: int, key: str, ts:
     ).where(F.col("row").isNotNull() | F.col("t").isNotNull())
 
 
+def _restored(df: DataFrame, key: str) -> list[Column]:
+    """The columns of the row; the key is the one that was dealt by, so that a table laid out by it stays so."""
+    return [F.col("k").alias(c) if c == key else F.col("row")[c].alias(c) for c in df.columns]
+
+
 _BLOCK = ("k", "b")
 
 
@@ -121,8 +126,8 @@ def _with_counts(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) ->
             return n
         return F.try_divide(within(f"true_{s.column}", s.seconds).cast("double"), n)
 
-    found = running.select("row", *[result(s).alias(s.alias) for s in specs]).where(F.col("row").isNotNull())
-    return found.select("row.*", *[s.alias for s in specs])
+    found = running.select("k", "row", *[result(s).alias(s.alias) for s in specs]).where(F.col("row").isNotNull())
+    return found.select(*_restored(df, key), *[s.alias for s in specs])
 
 
 def _with_moments(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -> DataFrame:
@@ -189,7 +194,7 @@ def _with_moments(df: DataFrame, specs: Sequence[Trailing], key: str, ts: str) -
             return _mean(F.when(n > 0, total(f"sum_{s.column}") / n), *odd)
         return _deviation(moments("head", s.column).merge(moments("tail", s.column)).stddev(), n, *odd)
 
-    return both.select("row.*", *[result(s).alias(s.alias) for s in specs])
+    return both.select(*_restored(df, key), *[result(s).alias(s.alias) for s in specs])
 
 
 def trailing_distinct(
@@ -245,8 +250,8 @@ def _with_distinct(df: DataFrame, alias: str, column: str, seconds: int, key: st
         ))),
     )
     upto = Window.partitionBy("k", "b").orderBy("t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = events.select("row", F.sum("change").over(upto).alias("n")).where(F.col("row").isNotNull())
-    return counted.select("row.*", F.col("n").cast("long").alias(alias))
+    counted = events.select("k", "row", F.sum("change").over(upto).alias("n")).where(F.col("row").isNotNull())
+    return counted.select(*_restored(df, key), F.col("n").cast("long").alias(alias))
 
 
 def running_zscore(

@@ -33,10 +33,12 @@ from cardwatch.plans.common import (
     rounded,
 )
 from cardwatch.session import scratch_path
-from cardwatch.sources import derived, lake, requests
+from cardwatch.sources import derived, lake, layout, requests
 from cardwatch.sources.tables import as_transactions, read_table, transactions
 
 PROBE_DAY = "2024-01-15"
+#: For the given tables; one bucket should fit one task.
+LAYOUT_BUCKETS = 32
 FEATURES = [
     "amount",
     "V14",
@@ -259,6 +261,27 @@ def _merchant_join(hint: bool) -> Query:
     return query
 
 
+def _bucketed(spark: SparkSession, df: DataFrame, order: str) -> DataFrame:
+    """``df`` read back from a new table that is laid out by client."""
+    path = scratch_path(spark, "bucketed")
+    table = path.rsplit("/", 1)[-1].replace("-", "_")
+    layout.write_bucketed(df, table, path, order=order, buckets=LAYOUT_BUCKETS)
+    return layout.read_bucketed(spark, table)
+
+
+def gold_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gold features of a table laid out by client: no exchange after the write."""
+    return _gold_rows(gold.compute_features(_bucketed(spark, transactions(spark, sf_dir), "timestamp")))
+
+
+def asof_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The as-of lookup between two tables laid out by client."""
+    tx = transactions(spark, sf_dir, labelled=False)
+    history = _bucketed(spark, derived.feature_snapshots(tx), "valid_from")
+    rows = _bucketed(spark, tx.select("transaction_id", "client_id", "timestamp"), "timestamp")
+    return rounded(joins.asof_lookup(rows, history), "avg_amount_day")
+
+
 def feature_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = transactions(spark, sf_dir, labelled=False)
     found = joins.asof_lookup(
@@ -620,6 +643,8 @@ BATCH: dict[str, Query] = {
     "merchant_enrich": _merchant_join(hint=False),
     "merchant_enrich_broadcast": _merchant_join(hint=True),
     "feature_asof": feature_asof,
+    "gold_bucketed": gold_bucketed,
+    "asof_bucketed": asof_bucketed,
     "feedback_relabel": feedback_relabel,
     "class_distribution": class_distribution,
     "vfeature_profile": vfeature_profile,

@@ -803,6 +803,8 @@ def _stable(sql: str) -> str:
     return re.sub(r"\bround\((\"?\w+\"?), 6\)", lambda m: _r(m[1]), sql)
 
 
+BATCH["gold_bucketed"] = BATCH["gold_features"]
+BATCH["asof_bucketed"] = BATCH["feature_asof"]
 BATCH = {name: _stable(sql) for name, sql in BATCH.items()}
 LEARNED = {name: _stable(sql) for name, sql in LEARNED.items()}
 STREAMS = {name: _stable(sql) for name, sql in STREAMS.items()}
