@@ -9,6 +9,7 @@ document that crosses borders leaves boundary records in each window, and only t
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,22 +26,25 @@ from cardwatch.llm.common import saved, small_or_shuffled
 LENGTH = 4096
 END_ID = 2
 #: Words whose ids a worker remembers, in either of two generations.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 #: More tasks than this take their offsets by a shuffle join instead of a broadcast.
 BROADCAST_TASKS = 100_000
 
-_PLAIN = re.compile(rb"([A-Za-z]+)([.,]?)")
+#: Letters that may go to the model alone, if the tokenizer takes them one by one: Latin ones.
+_LETTERS = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+#: Marks that may stand behind them: ASCII ones but the apostrophe, behind which letters can be a token.
+_MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 #: A text that tells whether a tokenizer gives the ids of its words in a row: cases, marks, accents, runs of white space.
-_PROBE = "The plain Words, and THE rest.  don't  x1 e\u0301t\u00e9 \u4e2d\u6587\nNew\t\tline, again .".encode()
+_PROBE = "The plain Words, and THE rest.  don't  x1 e\u0301t\u00e9 \u00c9T\u00c9*** a,% \u4e2d\u6587\nNew\t\tline, again .".encode()
 
 
 class WordIds:
     """Token ids of texts by their words, as little-endian 32-bit bytes.
 
     For tokenizers whose pre-tokenizer drops white space and splits at it, the ids of a text are those of its
-    words in a row. A word of plain letters goes to the model alone, lower-cased, and a full stop or comma
-    behind it is a token of its own; any other word goes through the whole tokenizer. A tokenizer whose ids of a probing
-    text are others than that (one that keeps white space or cases, say) gets whole texts.
+    words in a row. A word of Latin letters, each in the form that the tokenizer gives it, goes to the model alone, and the
+    marks behind it are words of their own; any other word goes through the whole tokenizer. A tokenizer whose ids of a
+    probing text are others than that (one that keeps white space, say) gets whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,10 +54,27 @@ class WordIds:
         self.model = self.tokenizer.model
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.marks = {m: self._whole(m) for m in (b".", b",")} | {b"": b""}
+        self.marks = {"": b""}
+        self.forms = self._letter_forms()
+        self.simple = re.compile(f"([{re.escape(''.join(map(chr, self.forms)))}]+)([{re.escape(_MARKS)}]*)") if self.forms else None
         self.by_words = True
         self.by_words = self.ids(_PROBE) == self._whole(_PROBE)
 
+    def _pieces(self, text: str) -> list[str]:
+        """What the model would get, one by one."""
+        if self.tokenizer.normalizer:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        return [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+
+    def _letter_forms(self) -> dict[int, str]:
+        """The forms of those letters that are one piece; none if all of them in a row are not one piece of these forms."""
+        if not self.tokenizer.pre_tokenizer:
+            return {}
+        pieces = {ord(c): self._pieces(c) for c in _LETTERS}
+        forms = {c: found[0] for c, found in pieces.items() if len(found) == 1}
+        row = "".join(map(chr, forms))
+        return forms if self._pieces(row) == [row.translate(forms)] else {}
+
     def _whole(self, word: bytes) -> bytes:
         ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
@@ -61,10 +82,15 @@ class WordIds:
     def _learn(self, word: bytes) -> bytes:
         found = self.old.get(word)
         if found is None:
-            plain = _PLAIN.fullmatch(word)
-            if plain:
-                ids = [t.id for t in self.model.tokenize(plain[1].lower().decode())]
-                found = np.array(ids, "<u4").tobytes() + self.marks[plain[2]]
+            simple = self.simple and self.simple.fullmatch(word.decode("utf-8", "replace"))
+            if simple:
+                ids = [t.id for t in self.model.tokenize(simple[1].translate(self.forms))]
+                marks = self.marks.get(simple[2])
+                if marks is None:
+                    marks = self._whole(simple[2].encode())
+                    if len(simple[2]) < 4:  # so that few are kept
+                        self.marks[simple[2]] = marks
+                found = struct.pack(f"<{len(ids)}I", *ids) + marks
             else:
                 found = self._whole(word)
         if len(self.young) >= REMEMBERED:

@@ -95,3 +95,21 @@ def test_tokenizers_that_keep_white_space_get_whole_texts():
         want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
         assert ids.by_words is by_words
         assert list(memoryview(ids.ids(text.encode())).cast("I")) == want
+
+
+def test_words_of_latin_letters_and_marks_are_as_the_library_gives_them():
+    import random
+
+    import numpy as np
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    rng = random.Random(3)
+    chars = [chr(c) for c in range(0x250)] + list("'.,*#<|>  \u0301\u0307\u4e2d") * 6
+    texts = ["".join(rng.choice(chars) for _ in range(rng.randrange(40))) for _ in range(2000)]
+    texts += ["\u0130stanbul <|endoftext|> x<|endoftext|>.. a'' b''s", "\u00c9T\u00c9*** stonou$$$ na\u00efve,%", "\u01c5 \u0149 \u00df \u017f"]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        whole, words = Tokenizer.from_file(path(name)), packing.WordIds(path(name))
+        for text in texts:
+            got = np.frombuffer(words.ids(text.encode()), "<u4").tolist()
+            assert got == whole.encode(text, add_special_tokens=False).ids
