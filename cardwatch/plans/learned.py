@@ -70,7 +70,9 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The runs of the plain scores one after another; each that beats production becomes a version."""
-    runs = plain_runs(spark, sf_dir).cache()
+    path = scratch_path(spark, "runs")
+    plain_runs(spark, sf_dir).write.parquet(path)
+    runs = spark.read.parquet(path)
     versions = registry.no_versions(spark)
     for name in PLAIN_SCORES:
         versions = registry.promote_if_better(versions, runs, MODEL_NAME, f"run-{name}", f"plain/{name}")

@@ -11,7 +11,9 @@ from cardwatch.sources.tables import transactions
 
 @pytest.fixture(scope="module")
 def table(spark, sf_dir):
-    return gold.compute_features(transactions(spark, sf_dir, pca=True)).cache()
+    features = gold.compute_features(transactions(spark, sf_dir, pca=True)).cache()
+    yield features
+    features.unpersist()
 
 
 @pytest.fixture(scope="module")

@@ -33,7 +33,9 @@ def stream(spark, folder):
 @pytest.fixture(scope="module")
 def batch(spark, sf_dir):
     tx = as_transactions(read_table(spark, sf_dir, "events"))
-    return tx.withColumn("at", F.timestamp_seconds("timestamp")).cache()
+    rows = tx.withColumn("at", F.timestamp_seconds("timestamp")).cache()
+    yield rows
+    rows.unpersist()
 
 
 def same(a, b):
