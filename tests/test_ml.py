@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from cardwatch import schemas
 from cardwatch.ml import isolation, registry, training
-from cardwatch.operators import gold, quality, scoring
+from cardwatch.operators import gold, quality, sampling, scoring
 from cardwatch.plans import learned
 from cardwatch.sources import derived
 from cardwatch.sources.tables import transactions
@@ -179,3 +179,18 @@ def test_training_chain_takes_the_default_trees(spark, sf_dir, monkeypatch):
     with pytest.raises(Asked) as told:
         learned.training_chain(spark, sf_dir)
     assert told.value.args == ({},)
+
+
+def test_split_leaves_the_rows_where_they_are(spark):
+    """Dealt by the label, the table would lie in two tasks, and every pass of a fit with it."""
+    rows = spark.range(0, 4000, 1, 8).select(F.col("id").alias("transaction_id"), (F.col("id") % 10 == 0).cast("int").alias("is_fraud"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = sampling.exact_split(rows)
+        sizes = [r["count"] for r in split.groupBy(F.spark_partition_id()).count().collect()]
+        trained = split.where("split = 'train'").groupBy("is_fraud").count().collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(sizes) == [500] * 8
+    assert {r["is_fraud"]: r["count"] for r in trained} == {0: 2880, 1: 320}
