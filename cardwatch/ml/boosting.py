@@ -3,7 +3,8 @@
 Features are binned once by their quantiles (or by equal widths) into a written table of bytes. Each level of a tree is one
 job: a task adds up gradients and hessians of its rows per (node, feature, bin), Spark sums the tasks' cells, and the
 driver, which sees nodes x features x bins numbers whatever the number of rows, picks the splits. The margin of the trees
-so far is written with the bins every few trees, so that no task evaluates more than those, and lineage stays short.
+so far is kept beside the bins: after every tree it is stored on the executors, so that no tree is evaluated twice, and
+every few trees it is written, so that lineage stays short.
 
 Per node with gradient sum G and hessian sum H, and T the sum shrunk by the L1 penalty towards 0:
 gain = (T_left^2 / (H_left + l2) + T_right^2 / (H_right + l2) - T^2 / (H + l2)) / 2, leaf = -rate T / (H + l2).
@@ -18,6 +19,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,8 +132,10 @@ def width_edges(df: DataFrame, features: Sequence[str], bins: int) -> list[list[
 
 
 def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    bins = batch.column("__bins")
-    return np.frombuffer(b"".join(bins.to_pylist()), np.uint8).reshape(len(batch), width)
+    # Every row has one byte a feature, so the values lie in a row.
+    bins = batch.column("__bins").cast(pa.binary())
+    first = np.frombuffer(bins.buffers()[1], np.int32)[bins.offset] if len(bins) else 0
+    return np.frombuffer(bins.buffers()[2] or b"", np.uint8, len(bins) * width, first).reshape(len(bins), width)
 
 
 def _margin(trees: Sequence[Tree], binned: np.ndarray) -> np.ndarray:
@@ -151,13 +155,35 @@ def _score(batches: Iterator[pa.RecordBatch], trees: list[Tree], width: int, nam
         yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(p)], names=[*names, "probability"])
 
 
-def _add_margin(batches: Iterator[pa.RecordBatch], trees: list[Tree], width: int) -> Iterator[pa.RecordBatch]:
+#: A block holds the rows of one Arrow batch, a column as the bytes of its array: the margin that was written, and that of
+#: the trees since then, are apart.
+BLOCK = {"__key": np.int64, "__bins": np.uint8, "__label": np.float64, "__margin": np.float64, "__since": np.float64}
+_BLOCKS = ", ".join(f"{c} binary" for c in BLOCK)
+
+
+def _block(arrays: Sequence[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=list(BLOCK))
+
+
+def _pack(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        margin = batch.column("__margin").to_numpy() + _margin(trees, _matrix(batch, width))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in ("__key", "__bins", "__label")] + [pa.array(margin)],
-            names=["__key", "__bins", "__label", "__margin"],
-        )
+        key, label, margin = (batch.column(c).to_numpy() for c in ("__key", "__label", "__margin"))
+        yield _block([key, _matrix(batch, width), label, margin, np.zeros(len(key))])
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[list[np.ndarray]]:
+    """Per block the key, the bins by row, label, margin and margin since."""
+    for batch in batches:
+        columns = [batch.column(c) for c in BLOCK]
+        for i in range(len(batch)):
+            key, bins, *rest = (np.frombuffer(c[i].as_buffer(), t) for c, t in zip(columns, BLOCK.values()))
+            yield [key, bins.reshape(len(key), width), *rest]
+
+
+def _add_margin(batches: Iterator[pa.RecordBatch], tree: Tree, width: int, fold: bool) -> Iterator[pa.RecordBatch]:
+    for key, binned, label, margin, since in _unpacked(batches, width):
+        since = since + tree.margin(binned)
+        yield _block([key, binned, label, *((margin + since, np.zeros(len(key))) if fold else (margin, since))])
 
 
 def gradients(label: np.ndarray, margin: np.ndarray, positive: float) -> tuple[np.ndarray, np.ndarray]:
@@ -167,20 +193,20 @@ def gradients(label: np.ndarray, margin: np.ndarray, positive: float) -> tuple[n
 
 
 def _histograms(
-    batches: Iterator[pa.RecordBatch], trees: list[Tree], grown: Tree, open_nodes: list[int], columns: list[int],
+    batches: Iterator[pa.RecordBatch], grown: Tree, open_nodes: list[int], columns: list[int],
     width: int, bins: int, positive: float, turn: int, share: float,
 ) -> Iterator[pa.RecordBatch]:
     place = np.full(len(grown.feature), -1)
     place[open_nodes] = np.arange(len(open_nodes))
     cells = np.zeros((2, len(open_nodes) * len(columns) * bins))
-    for batch in batches:
+    for key, binned, label, margin, since in _unpacked(batches, width):
         # The sample of a tree goes by the row's key and the tree's number.
-        key = batch.column("__key").to_numpy().astype(np.uint64) + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15)
+        key = key.astype(np.uint64) + np.uint64(turn) * np.uint64(0x9E3779B97F4A7C15)
         key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         drawn = ((key ^ (key >> np.uint64(29))) >> np.uint64(11)).astype(float) / (1 << 53) < share
-        binned = _matrix(batch, width)[drawn]
-        margin = batch.column("__margin").to_numpy()[drawn] + _margin(trees, binned)
-        g, h = gradients(batch.column("__label").to_numpy()[drawn], margin, positive)
+        binned = binned[drawn]
+        margin = (margin + since)[drawn]
+        g, h = gradients(label[drawn], margin, positive)
         node = place[grown.leaf_of(binned)]
         here = node >= 0
         binned, g, h, node = binned[here], g[here], h[here], node[here]
@@ -219,7 +245,7 @@ def _cells(rows: DataFrame, task, shape: tuple[int, ...]) -> np.ndarray:
     return out.reshape(2, *shape)
 
 
-def _grow(rows: DataFrame, trees: list[Tree], turn: int, width: int, bins: int, positive: float, spec: Penalised) -> Tree:
+def _grow(rows: DataFrame, turn: int, width: int, bins: int, positive: float, spec: Penalised) -> Tree:
     """One tree, level by level."""
     size = (1 << (spec.depth + 1)) - 1
     tree = Tree([-1] * size, [0] * size, [0.0] * size)
@@ -228,7 +254,7 @@ def _grow(rows: DataFrame, trees: list[Tree], turn: int, width: int, bins: int,
     nodes = [0]
     for _ in range(spec.depth):
         task = partial(
-            _histograms, trees=trees, grown=tree, open_nodes=nodes, columns=columns, width=width, bins=bins,
+            _histograms, grown=tree, open_nodes=nodes, columns=columns, width=width, bins=bins,
             positive=positive, turn=turn, share=spec.rows,
         )
         g, h = _cells(rows, task, (len(nodes), len(columns), bins))
@@ -280,14 +306,21 @@ def fit(
     rows = _written(prepared(df, model, label, id_column, spec.seed))
     n, positives = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("__label"), F.lit(0.0))).first()
     positive = (n - positives) / positives if positives else 1.0
-    since: list[Tree] = []
-    for turn in range(spec.trees if n else 0):
-        tree = _grow(rows, since, turn, len(features), bins, positive or 1.0, spec)
-        model.trees.append(tree)
-        since.append(tree)
-        if len(since) == WRITE_EVERY:
-            rows = _written(rows.mapInArrow(partial(_add_margin, trees=since, width=len(features)), rows.schema))
-            since = []
+    blocks = rows.mapInArrow(partial(_pack, width=len(features)), _BLOCKS)
+    stored = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for turn in range(spec.trees if n else 0):
+            tree = _grow(stored, turn, len(features), bins, positive or 1.0, spec)
+            model.trees.append(tree)
+            if len(model.trees) == spec.trees:
+                break
+            fold = len(model.trees) % WRITE_EVERY == 0
+            before, blocks = stored, stored.mapInArrow(partial(_add_margin, tree=tree, width=len(features), fold=fold), _BLOCKS)
+            stored = (_written(blocks) if fold else blocks).persist(StorageLevel.MEMORY_AND_DISK)
+            stored.count()
+            before.unpersist()
+    finally:
+        stored.unpersist()
     return model
 
 
@@ -303,10 +336,10 @@ def root_gains(
     positive = ((n - positives) / positives if positives else 1.0) or 1.0
     leaf = Tree([-1], [0], [0.0])
     task = partial(
-        _histograms, trees=[], grown=leaf, open_nodes=[0], columns=list(range(len(features))), width=len(features), bins=bins,
+        _histograms, grown=leaf, open_nodes=[0], columns=list(range(len(features))), width=len(features), bins=bins,
         positive=positive, turn=0, share=2.0,
     )
-    g, h = _cells(rows, task, (1, len(features), bins))
+    g, h = _cells(rows.mapInArrow(partial(_pack, width=len(features)), _BLOCKS), task, (1, len(features), bins))
     gains = np.round(split_gains(g, h, spec)[0], 6)
     best = [(c, int(np.argmax(x)), float(x.max())) for c, x in zip(features, gains) if np.isfinite(x).any()]
     return df.sparkSession.createDataFrame(best, "feature string, cut int, gain double")

@@ -85,3 +85,20 @@ def test_nothing_to_learn(spark):
         df = spark.createDataFrame(rows, SCHEMA)
         model = boosting.fit(df, ["a", "b"], spec=Penalised(trees=2))
         assert model.splits() == 0 and model.score(df).count() == len(rows)
+
+
+def test_every_tree_is_evaluated_once(spark, monkeypatch):
+    """The rows of a level hold the margin of all trees so far, so none of these is evaluated again there."""
+    seen, grow = [], boosting._grow
+
+    def watched(rows, *rest):
+        seen.append([np.frombuffer(r["__margin"]) + np.frombuffer(r["__since"]) for r in rows.collect()])
+        return grow(rows, *rest)
+
+    monkeypatch.setattr(boosting, "_grow", watched)
+    monkeypatch.setattr(boosting, "WRITE_EVERY", 2)
+    model = boosting.fit(data(spark, 300), ["a", "b"], spec=Penalised(trees=4))
+    for turn, blocks in enumerate(seen):
+        widest = sum(max(map(abs, t.value)) for t in model.trees[:turn])
+        assert all((np.abs(b) <= widest + 1e-12).all() for b in blocks)
+        assert turn == 0 or max(np.abs(b).max() for b in blocks) > 0
