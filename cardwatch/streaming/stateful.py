@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cardwatch.functions.moments import EPSILON
@@ -130,10 +131,74 @@ def running_zscore(tx: DataFrame, alias: str = "zscore_running") -> DataFrame:
     )
 
 
+#: Groups that result reuse deals its keys into. A call of Python costs far more than a row, and keys have few rows each.
+BUCKETS = 4096
+
+
+def reuse_buckets(tx: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """``names`` of the rows with a time, their bucket, and which of their keys are null.
+
+    A bucket's rows have the same null keys, and a null id travels beside a filled one, as whole numbers would become
+    floating ones beside a null.
+    """
+    absent = F.concat(*[F.when(F.isnull(k), "1").otherwise("0") for k in keys])
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+    rows = tx.where(F.col("timestamp").isNotNull())
+    given = F.isnotnull("transaction_id")
+    if "transaction_id" not in keys and isinstance(tx.schema["transaction_id"].dataType, T.IntegralType):
+        rows = rows.withColumns({"_given": given, "transaction_id": F.coalesce("transaction_id", F.lit(0))})
+    else:
+        rows = rows.withColumn("_given", given)
+    return rows.select(bucket.alias("_bucket"), absent.alias("_absent"), *names, "_given", "at")
+
+
+def reuse_state(tx: DataFrame, keys: list[str]) -> str:
+    """The state of a bucket: its keys, a column an array, and the times of their last kept rows."""
+    return ", ".join([f"k{i} array<{tx.schema[k].dataType.simpleString()}>" for i, k in enumerate(keys)] + ["last array<bigint>"])
+
+
+def keep_of_bucket(
+    parts: Iterator[pd.DataFrame], state: tuple | None, keys: list[str], names: list[str], lifetime: int, oldest: int
+) -> tuple[pd.DataFrame, tuple | None]:
+    """The kept rows of a bucket, and its state after them without the times before ``oldest``."""
+    last = {}
+    if state is not None:
+        *columns, times = state
+        last = {key: at for key, at in zip(zip(*columns), times) if at >= oldest}
+    parts = [part for part in parts if len(part)]
+    if not parts:
+        return pd.DataFrame(columns=names), _as_state(last, len(keys))
+    rows = pd.concat(parts, ignore_index=True)
+    rows = rows.assign(_lacks=~rows["_given"].astype(bool)).sort_values(["timestamp", "_lacks", "transaction_id"], kind="stable")
+    code = rows.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+    first = np.unique(code, return_index=True)[1]
+    own = list(zip(*[[None if pd.isna(x) else x for x in rows[k].iloc[first].tolist()] for k in keys]))
+    opens = [last[key] + lifetime if key in last else None for key in own]
+    kept = []
+    for i, (c, at) in enumerate(zip(code.tolist(), rows["timestamp"].to_numpy(np.int64).tolist())):
+        if opens[c] is None or at >= opens[c]:
+            kept.append(i)
+            opens[c] = at + lifetime
+    last.update((key, at - lifetime) for key, at in zip(own, opens))
+    out = rows.iloc[kept]
+    if not out["_given"].all() and pd.api.types.is_integer_dtype(out.get("transaction_id")):
+        out = out.assign(transaction_id=out["transaction_id"].astype("Int64").where(out["_given"].astype(bool)))
+    return out[names], _as_state(last, len(keys))
+
+
+def _as_state(last: dict[tuple, int], n_keys: int) -> tuple | None:
+    if not last:
+        return None
+    return (*[[key[i] for key in last] for i in range(n_keys)], list(last.values()))
+
+
 def reuse_results(
     tx: DataFrame, keys: list[str], lifetime: int = 3600, late: int = LATE_SECONDS
 ) -> DataFrame:
-    """Rows that are scored anew; repeats within the lifetime of the last kept row are dropped."""
+    """Rows that are scored anew; repeats within the lifetime of the last kept row, and rows without a time, are dropped.
+
+    Keys are dealt into buckets, and one call handles all of a bucket; its state is one time per key that can still repeat.
+    """
     columns = [c for c in ("transaction_id", "timestamp") if c not in keys]
     fields = {f.name: f.dataType.simpleString() for f in tx.schema.fields}
     names = [*keys, *columns]
@@ -144,26 +209,19 @@ def reuse_results(
         if state.hasTimedOut:
             state.remove()
             return
-        rows = _collect(parts, ["timestamp", *(c for c in columns if c != "timestamp")])
-        rows = rows[rows["timestamp"].notna()]  # without a time nothing can be reused or kept
-        if not len(rows):
-            return
-        t = rows["timestamp"].to_numpy(np.int64)
-        last = state.get[0] if state.exists else None
-        i, kept = 0 if last is None else int(np.searchsorted(t, last + lifetime)), []
-        while i < len(t):
-            kept.append(i)
-            last = int(t[i])
-            i = int(np.searchsorted(t, last + lifetime))
-        state.update((last,))
-        _expire(state, last + lifetime + late)
-        yield rows.iloc[kept][names]
-
-    narrow = tx.select(*names, "at")
-    return narrow.groupBy(*keys).applyInPandasWithState(
+        oldest = state.getCurrentWatermarkMs() // 1000 - lifetime - late
+        kept, after = keep_of_bucket(parts, state.get if state.exists else None, keys, names, lifetime, oldest)
+        if after is not None:
+            state.update(after)
+            _expire(state, max(after[-1]) + lifetime + late)
+        elif state.exists:
+            state.remove()
+        yield kept
+
+    return reuse_buckets(tx, keys, names).groupBy("_bucket", "_absent").applyInPandasWithState(
         first_of,
         ", ".join(f"{c} {fields[c]}" for c in names),
-        "last bigint",
+        reuse_state(tx, keys),
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )

@@ -182,3 +182,22 @@ def test_odd_rows_on_a_stream(spark, tmp_path):
         assert (w != w and r["zscore_running"] is None) or abs(w - r["zscore_running"]) < 1e-6
     kept = io.read_output(spark, io.run_append(stateful.reuse_results(stream, ["client_id"]), "r"), stateful.reuse_results(stream, ["client_id"]))
     assert kept.where("timestamp IS NULL").count() == 0 and kept.count() == 2
+
+
+def test_reuse_takes_many_keys_in_one_call(spark, tmp_path, monkeypatch):
+    """One call handles a bucket of keys, null ones and null ids among them."""
+    monkeypatch.setattr(stateful, "BUCKETS", 1)
+    big = 2**53 + 1
+    rows = [(big, "a", 0, big + 2), (big, "a", 10, 2), (big, "a", 3600, 3), (None, "a", 5, 4), (None, "a", 6, 5),
+            (7, None, 5, None), (7, None, 5, 6), (7, "b", 9, None), (7, "b", None, 8)]
+    schema, start = "user_id long, kind string, timestamp long, transaction_id long", 1_000_000
+    spark.createDataFrame(rows, schema).withColumn("timestamp", F.col("timestamp") + start).coalesce(1).write.parquet(f"{tmp_path}/in")
+    stream = io.file_stream(spark, f"{tmp_path}/in", spark.createDataFrame([], schema).schema)
+    stream = stream.withColumn("at", F.timestamp_seconds("timestamp")).withWatermark("at", "10 minutes")
+    dealt = stateful.reuse_buckets(stream, ["user_id", "kind"], ["user_id", "kind", "timestamp", "transaction_id"])
+    found = spark.read.schema(dealt.schema).parquet(io.run_append(dealt, "dealt"))
+    assert found.select("_bucket", "_absent").distinct().count() == 3
+    kept = stateful.reuse_results(stream, ["user_id", "kind"])
+    got = io.read_output(spark, io.run_append(kept, "kept"), kept)
+    want = {(big, "a", 0, big + 2), (big, "a", 3600, 3), (None, "a", 5, 4), (7, None, 5, 6), (7, "b", 9, None)}
+    assert {(r["user_id"], r["kind"], r["timestamp"] - start, r["transaction_id"]) for r in got.collect()} == want
