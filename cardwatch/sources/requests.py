@@ -32,11 +32,11 @@ def ingest(df: DataFrame, body: str = "value") -> DataFrame:
     """
     schema = T.StructType([*schemas.REQUEST.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    parsed = df.select(
-        F.col(body).alias("__body"), F.from_json(body, schema, options).alias("r"), F.try_parse_json(F.col(body)).alias("v")
-    )
-    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
-    fault = F.when(~is_object, "malformed").when(F.col(f"r.{CORRUPT}").isNotNull(), "wrong_type")
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(body))).startswith("OBJECT"), F.lit(False))
+    # A generator runs once per row; the filters behind would parse the text again for each field and rule they look at.
+    once = F.struct(F.col(body).alias("__body"), F.from_json(body, schema, options).alias("r"), is_object.alias("__object"))
+    parsed = df.select(F.inline(F.array(once)))
+    fault = F.when(~F.col("__object"), "malformed").when(F.col(f"r.{CORRUPT}").isNotNull(), "wrong_type")
     return parsed.select(
         *[F.col(f"r.{f.name}").alias(f.name) for f in schemas.REQUEST.fields],
         fault.alias("fault"),

@@ -122,3 +122,15 @@ def test_synthetic_mix(spark):
     assert shares["card_testing"] == pytest.approx(0.2, abs=0.03)
     assert df.where("kind = 'repeat'").select("transaction_id").distinct().count() == 1
     assert quality.rejected(quality.validate(df)).count() == 0
+
+
+def test_requests_are_parsed_once_however_many_rules_look_at_them(spark):
+    lines = ['{"transaction_id":"a","amount":5.0,"velocity_1h":1.0,"night_tx_ratio":0.1,"V14":0.0,"V17":0.0}',
+             '{"transaction_id":"b","amount":"high"}', '{"transaction_id":"c","amount":-5.0}', "[1]", "", None]
+    taken, rescued = quality.route(requests.ingest(spark.createDataFrame([(x,) for x in lines], "value string")))
+    for part in (taken, rescued):
+        text = part._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_json(") == 1 and text.count("parseJson(") == 1
+    assert [r["transaction_id"] for r in taken.collect()] == ["a"]
+    found = sorted((r["body"] or "", r["reasons"][0]) for r in rescued.collect())
+    assert found == [("", "malformed"), ("", "malformed"), ("", "velocity_1h_missing"), ("[1]", "malformed"), (lines[1], "wrong_type")]
