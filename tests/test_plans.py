@@ -90,6 +90,15 @@ def test_gold_features_take_two_exchanges_and_one_scan(spark, sf_dir):
     assert len(re.findall(r"FileScan parquet", text)) == 1 and "Join" not in text
 
 
+def test_means_and_deviations_sort_a_task_twice_and_copies_carry_one_value(spark, sf_dir):
+    df = transactions(spark, sf_dir)
+    text = plan(gold.amount_zscore(df))
+    assert len(re.findall(r"Sort \[", text)) <= 2
+    # The second sort holds rows only, without their copies.
+    second = re.findall(r"(?:Sort|Filter isnotnull|Generate inline)", text)
+    assert second[:3] == ["Sort", "Filter isnotnull", "Sort"]
+
+
 def test_asof_holds_no_array_of_entries(spark, sf_dir):
     text = plan(catalog.BATCH["feature_asof"](spark, sf_dir))
     assert "collect_list" not in text and "Join" not in text
