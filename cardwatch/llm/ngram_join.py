@@ -117,31 +117,44 @@ def _blob_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 def _runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple, list[dict]]]:
     """Rows of sorted batches by key; one key's rows at a time."""
-    rows = (r for b in batches for r in b.to_pylist())
+    # A batch may hold many groups of large blobs, so few of its rows become Python objects at a time.
+    rows = (r for b in batches for i in range(0, b.num_rows, 64) for r in b.slice(i, 64).to_pylist())
     for key, group in groupby(rows, lambda r: tuple(r[k] for k in keys)):
         yield key, list(group)
+    pa.default_memory_pool().release_unused()  # workers outlive a task
 
 
 def _joined(rows: list[dict], name: str, kind) -> np.ndarray:
     return np.frombuffer(b"".join(r[name] for r in rows), kind)
 
 
+def _repeated(tokens: np.ndarray) -> np.ndarray:
+    """Places of the tokens that come twice or more, by token; a share of the tokens is sorted at a time."""
+    found, share = [], (tokens >> np.uint64(61)).astype(np.uint8)
+    for i in range(8):
+        order = np.flatnonzero(share == i)
+        order = order[np.argsort(tokens[order])]
+        t = tokens[order]
+        same = t[1:] == t[:-1]
+        found.append(order[np.append(same, False) | np.append(False, same)] if len(t) else order)
+    return np.concatenate(found)
+
+
 def _count_bucket(batches: Iterator[pa.RecordBatch], homes: int) -> Iterator[pa.RecordBatch]:
     """Tokens of a bucket that two or more classes have, sent to the classes' homes."""
     for _, rows in _runs(batches, "bucket"):
         counts = _joined(rows, "counts", np.uint32)
-        prints = np.repeat(_joined(rows, "prints", PRINT), counts)
-        sizes = np.repeat(_joined(rows, "sizes", np.uint32), counts)
+        prints, sizes = _joined(rows, "prints", PRINT), _joined(rows, "sizes", np.uint32)
         tokens = _joined(rows, "tokens", np.uint64)
         del rows
-        order = np.argsort(tokens)
-        t = tokens[order]
-        same = t[1:] == t[:-1]
-        again = np.append(same, False) | np.append(False, same)
-        order = order[again]
+        # Most tokens occur once; a print beside each of them would be thrice their size.
+        owner = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        order = _repeated(tokens)
         if not len(order):
             continue
-        t, p, n = tokens[order], prints[order], sizes[order]
+        t, own = tokens[order], owner[order]
+        del tokens, owner, order
+        p, n = prints[own], sizes[own]
         order = np.lexsort((p["b"], p["a"], t))
         t, p, n = t[order], p[order], n[order]
         new = np.append(True, (t[1:] != t[:-1]) | (p[1:] != p[:-1]))

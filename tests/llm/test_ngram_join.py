@@ -1,5 +1,8 @@
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from cardwatch.llm import ngram_join
@@ -98,3 +101,24 @@ def test_words_that_collide_in_polynomial_hashes_differ(spark):
     thue = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
     rows = [(1, thue), (2, thue.translate(str.maketrans("ab", "ba"))), (3, thue[:8] * 3), (4, thue[:8] * 3 + "a")]
     assert rows_of(ngram_join.near_duplicates(spark.createDataFrame(rows, SCHEMA))) == brute.components(rows)
+
+
+def test_a_bucket_is_counted_in_little_more_memory_than_its_tokens():
+    rng = np.random.default_rng(3)
+    n, rows = 50_000, []
+    shared = rng.integers(0, 2**64, 10, np.uint64)
+    for i in range(16):
+        tokens = np.append(rng.integers(0, 2**64, n - 10, np.uint64), shared)
+        prints = rng.integers(0, 2**64, 2 * n // 100, np.uint64)
+        sizes = counts = np.full(n // 100, 100, np.uint32)
+        rows.append((0, prints.tobytes(), sizes.tobytes(), counts.tobytes(), tokens.tobytes()))
+    batch = ngram_join._blob_rows(rows)
+    del rows
+    tracemalloc.start()
+    out = list(ngram_join._count_bucket(iter([batch]), 1))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 36 * 16 * n  # bytes; a token has eight
+    # Tokens that two or more classes have come back once for each of them.
+    found = np.frombuffer(pa.Table.from_batches(out).column("tokens")[0].as_py(), np.uint64)
+    assert sorted(found.tolist()) == sorted(shared.tolist() * 16)
